@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from refyield.functions._memo import memo_columns
+
 # Fixed value: code 1 standing alone in the list, blanks allowed around it.
 PURCHASE_EVENT_REGEX = r"(^|,)\s*1\s*(,|$)"
 
@@ -22,21 +24,25 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@memo_columns
 def is_purchase(event_list: Column | str = "event_list") -> Column:
     """True when event code 1 appears on its own (10, 11, ... do not count)."""
     return _col(event_list).rlike(PURCHASE_EVENT_REGEX)
 
 
+@memo_columns
 def has_products(product_list: Column | str = "product_list") -> Column:
     pl = _col(product_list)
     return pl.isNotNull() & (pl != F.lit(""))
 
 
+@memo_columns
 def product_entries(product_list: Column | str = "product_list") -> Column:
     """Array of product entries (split on ``,``)."""
     return F.split(_col(product_list), ",")
 
 
+@memo_columns
 def product_revenue(entry: Column | str, *, strict: bool = False) -> Column:
     """Revenue of one product entry.
 
@@ -54,6 +60,7 @@ def product_revenue(entry: Column | str, *, strict: bool = False) -> Column:
     return F.when(F.size(parts) > 3, value).otherwise(F.lit(0.0))
 
 
+@memo_columns
 def product_revenue_decimal(entry: Column | str) -> Column:
     """Exact-money variant: the same rule, as ``DECIMAL(18,2)``."""
     parts = F.split(_col(entry), ";")

@@ -28,10 +28,13 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from refyield.functions._memo import memo_columns
 from refyield.functions.engines import ENGINE_PARAMS, effective_engines, params_by_engine
 
-_CLEAN = r"^[\x00-\x20]+|[\t\r\n]"
+_C0_OR_SPACE = "".join(chr(i) for i in range(0x21))
 _NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
+# Same, but empty when the netloc holds a bracket (those never name an engine).
+_PLAIN_NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#\[\]]*)(?![^/?#])"
 _QUERY = r"^[^#?]*\?([^#]*)"
 _PAIR_NAME = r"^([^=]*)="
 _PAIR_VALUE = r"(?s)^[^=]*=(.*)\z"
@@ -44,45 +47,80 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def engine_pattern(engines: tuple[tuple[str, str], ...] = ENGINE_PARAMS) -> str:
-    """One anchored alternation over all engines: ``(?:prefix.)?(engine)`` at end.
+def engine_pattern(engines: tuple[tuple[str, str], ...] = ENGINE_PARAMS, *, strict: bool = False) -> str:
+    r"""Regexp finding the engine at the end of a lower-cased, bracket-free host.
 
-    A single regexp keeps the plan small; a CASE per engine would repeat the
-    host expression once per branch after Catalyst inlines it.
+    ``(?:^[w.]*|\.)(engine)\z``: the engine is the whole host, or follows a
+    dot, or follows the leading run of ``w``/``.`` that the loose rule strips
+    (exact because no engine starts with ``w`` or ``.``). It has no nested
+    quantifiers, so matching is linear in the host length. A CASE per engine
+    would repeat the host expression once per branch after inlining.
     """
     alternation = "|".join(re.escape(d) for d, _ in effective_engines(engines))
-    return r"^(?:[^\[\]]*\.)?(" + alternation + r")\z"
+    lead = "^" if strict or not _can_fold(engines) else "^[w.]*"
+    return "(?:" + lead + r"|\.)(" + alternation + r")\z"
 
 
-def maybe_search(url: Column | str, engines: tuple[tuple[str, str], ...] = ENGINE_PARAMS) -> Column:
-    """Cheap necessary condition for ``search_domain(url) IS NOT NULL``.
+def _can_fold(engines) -> bool:
+    return not any(d[:1] in ("w", ".") for d, _ in effective_engines(engines))
 
-    True when the lower-cased URL (tab, CR, LF removed) contains an engine
-    domain. Filter on this, not on the parsed domain: Catalyst pushes a
-    filter below the projection that computes its column and inlines the
-    expression, so filtering on the domain would run the regexps twice.
+
+@memo_columns
+def clean_url(url: Column | str) -> Column:
+    """Drop leading blanks/control characters and every tab, CR and LF.
+
+    Native string functions (no regexp): delete tab/CR/LF, then strip the
+    leading run of characters U+0000..U+0020.
     """
-    alternation = "|".join(re.escape(d) for d, _ in effective_engines(engines))
-    return F.lower(F.translate(_col(url), "\t\r\n", "")).rlike(alternation)
+    return F.ltrim(F.translate(_col(url), "\t\r\n", ""), F.lit(_C0_OR_SPACE))
 
 
-def clean_url(url: Column | str) -> Column:
-    """Drop leading blanks/control characters and every tab, CR and LF."""
-    return F.regexp_replace(_col(url), _CLEAN, "")
+def _netloc_text(url: Column | str, cleaned: bool) -> Column:
+    u = _col(url) if cleaned else clean_url(url)
+    return F.regexp_extract(u, _NETLOC, 1)
+
 
+def _engine_text(url: Column | str, strict: bool, cleaned: bool, engines) -> Column:
+    """Engine domain or '' (two regexps: bracket-free netloc, then engine suffix)."""
+    u = _col(url) if cleaned else clean_url(url)
+    h = F.lower(F.regexp_extract(u, _PLAIN_NETLOC, 1))
+    if not strict and not _can_fold(engines):
+        h = F.regexp_replace(h, _LOOSE_PREFIX, "")
+    return F.regexp_extract(h, engine_pattern(engines, strict=strict), 1)
 
+
+@memo_columns
 def netloc(url: Column | str, *, cleaned: bool = False) -> Column:
     """Network location (``user@host:port``) of a URL; NULL when there is none."""
-    u = _col(url) if cleaned else clean_url(url)
-    return F.nullif(F.regexp_extract(u, _NETLOC, 1), F.lit(""))
+    return F.nullif(_netloc_text(url, cleaned), F.lit(""))
 
 
+@memo_columns
 def host(url: Column | str, *, strict: bool = False, cleaned: bool = False) -> Column:
     """Lower-cased netloc without its ``www`` prefix; NULL when there is no netloc."""
     prefix = _STRICT_PREFIX if strict else _LOOSE_PREFIX
     return F.regexp_replace(F.lower(netloc(url, cleaned=cleaned)), prefix, "")
 
 
+@memo_columns
+def is_search(
+    url: Column | str,
+    *,
+    strict: bool = False,
+    cleaned: bool = False,
+    engines: tuple[tuple[str, str], ...] = ENGINE_PARAMS,
+) -> Column:
+    """Exactly ``search_domain(url) IS NOT NULL``, written for filters.
+
+    Catalyst pushes a filter below the projection that computes its column
+    and inlines the expression; this form references the regexps once, so
+    a pushed-down copy costs one parse per row (``IS NOT NULL`` over a
+    ``nullif`` would evaluate them twice).
+    """
+    return _engine_text(url, strict, cleaned, engines) != F.lit("")
+
+
+@memo_columns
 def search_domain(
     url: Column | str,
     *,
@@ -91,10 +129,10 @@ def search_domain(
     engines: tuple[tuple[str, str], ...] = ENGINE_PARAMS,
 ) -> Column:
     """Canonical engine domain (e.g. ``google.com``) of a referrer, else NULL."""
-    h = host(url, strict=strict, cleaned=cleaned)
-    return F.nullif(F.regexp_extract(h, engine_pattern(engines), 1), F.lit(""))
+    return F.nullif(_engine_text(url, strict, cleaned, engines), F.lit(""))
 
 
+@memo_columns
 def query_string(url: Column | str, *, cleaned: bool = False) -> Column:
     """Raw query string (between ``?`` and ``#``); empty string when absent."""
     u = _col(url) if cleaned else clean_url(url)
@@ -106,6 +144,7 @@ def decode_component(c: Column) -> Column:
     return F.try_url_decode(F.regexp_replace(c, _BAD_ESCAPE, "%25"))
 
 
+@memo_columns
 def query_param(url: Column | str, name: Column | str, *, cleaned: bool = False) -> Column:
     """First non-empty decoded value of query parameter ``name``, else NULL.
 
@@ -130,10 +169,11 @@ def keyword_param(domain: Column, engines: tuple[tuple[str, str], ...] = ENGINE_
     return expr
 
 
+@memo_columns
 def search_keyword(
     url: Column | str,
     *,
-    domain: Column | None = None,
+    domain: Column | str | None = None,
     strict: bool = False,
     cleaned: bool = False,
     engines: tuple[tuple[str, str], ...] = ENGINE_PARAMS,
@@ -144,5 +184,5 @@ def search_keyword(
     regexps are not evaluated twice; the query parse then only runs on rows
     whose domain is not NULL.
     """
-    d = domain if domain is not None else search_domain(url, strict=strict, cleaned=cleaned, engines=engines)
+    d = _col(domain) if domain is not None else search_domain(url, strict=strict, cleaned=cleaned, engines=engines)
     return F.when(d.isNotNull(), query_param(url, keyword_param(d, engines), cleaned=cleaned))

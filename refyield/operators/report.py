@@ -30,7 +30,7 @@ from refyield.functions.commerce import (
 )
 from refyield.functions import urls
 from refyield.operators import sessions as S
-from refyield.operators.search import search_candidates, with_search_attributes
+from refyield.operators.search import search_hits, with_search_attributes
 
 REVENUE = "revenue"
 
@@ -47,10 +47,9 @@ _REV = "__rev"
 
 
 def _line_revenue(money: str, strict: bool) -> Column:
-    entry = F.col(_ENTRY)
     if money == "decimal":
-        return product_revenue_decimal(entry)
-    return product_revenue(entry, strict=strict)
+        return product_revenue_decimal(_ENTRY)
+    return product_revenue(_ENTRY, strict=strict)
 
 
 def _round(c: Column, money: str) -> Column:
@@ -75,7 +74,7 @@ def keyword_revenue(
     sessions with no extra job.
     """
     keys = S.normalize_keys(keys)
-    buy = is_purchase(F.col("event_list")) & has_products(F.col("product_list"))
+    buy = is_purchase("event_list") & has_products("product_list")
     if lookahead:
         per_session = _fused_sessions(hits, keys, buy, coupled=coupled, money=money, strict=strict)
     else:
@@ -93,7 +92,7 @@ def keyword_revenue(
 
 def _fused_sessions(hits, keys, buy, *, coupled, money, strict) -> DataFrame:
     needed = hits.select(*dict.fromkeys([*keys, S.TIME, "event_list", "product_list", "referrer"]))
-    wanted = needed.filter(urls.maybe_search(F.col("referrer")) | buy)
+    wanted = needed.filter(urls.is_search("referrer", strict=strict) | buy)
     parsed = with_search_attributes(wanted, strict=strict)
     rows = parsed.select(
         *S.key_columns(keys),
@@ -127,7 +126,7 @@ def _joined_purchases(hits, keys, buy, *, coupled, money, strict) -> DataFrame:
     )
     lines = lines.withColumn(_REV, _line_revenue(money, strict))
     joined = lines.join(touch, on=S.key_names(keys), how="inner")
-    domain, keyword = S.credited(False, F.col("__hit_key"))
+    domain, keyword = S.credited(False, "__hit_key")
     credited = joined.select(
         domain.alias("__domain"),
         keyword.alias("__keyword"),
@@ -174,7 +173,7 @@ def revenue_share(report: DataFrame) -> DataFrame:
 
 def engine_count(hits: DataFrame, *, strict: bool = False) -> DataFrame:
     """One row: number of distinct search engines seen in referrers, and search hits."""
-    parsed = with_search_attributes(search_candidates(hits.select("referrer")), strict=strict)
+    parsed = with_search_attributes(search_hits(hits.select("referrer"), strict=strict), strict=strict)
     return parsed.agg(
         F.count_distinct(S.DOMAIN).alias("engines"),
         F.count(S.DOMAIN).alias("search_hits"),

@@ -14,7 +14,7 @@ from refyield.operators.search import with_search_attributes
 
 def purchase_hits(df: DataFrame) -> DataFrame:
     """Hits whose event list holds code 1 on its own and that list products."""
-    return df.filter(is_purchase(F.col("event_list")) & has_products(F.col("product_list")))
+    return df.filter(is_purchase("event_list") & has_products("product_list"))
 
 
 def attributed_purchases(
@@ -27,7 +27,7 @@ def attributed_purchases(
 ) -> DataFrame:
     """Purchase hits of sessions credited to a search engine, with the credit.
 
-    Only purchase hits and search candidates are shuffled: purchases INNER
+    Only purchase hits and search hits are shuffled: purchases INNER
     JOIN the per-session first touch (the inner join drops sessions without
     search). Each purchase keeps its own ``search_domain``/``search_keyword``.
     """
@@ -43,7 +43,7 @@ def attributed_purchases(
 def product_lines(purchases: DataFrame, *, strict: bool = False) -> DataFrame:
     """One row per product entry: ``product_index``, ``product_entry``, ``product_revenue``."""
     exploded = purchases.select("*", F.posexplode(product_entries("product_list")).alias("product_index", "product_entry"))
-    return exploded.withColumn("product_revenue", product_revenue(F.col("product_entry"), strict=strict))
+    return exploded.withColumn("product_revenue", product_revenue("product_entry", strict=strict))
 
 
 def hit_revenue(

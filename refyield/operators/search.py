@@ -25,19 +25,19 @@ def with_search_attributes(
     inline the regexps into each other) and only parses the query string of
     rows that came from an engine.
     """
-    cleaned = df.withColumn(_URL, urls.clean_url(F.col(url_col)))
-    with_domain = cleaned.withColumn(domain_col, urls.search_domain(F.col(_URL), strict=strict, cleaned=True))
+    cleaned = df.withColumn(_URL, urls.clean_url(url_col))
+    with_domain = cleaned.withColumn(domain_col, urls.search_domain(_URL, strict=strict, cleaned=True))
     with_keyword = with_domain.withColumn(
         keyword_col,
-        urls.search_keyword(F.col(_URL), domain=F.col(domain_col), cleaned=True),
+        urls.search_keyword(_URL, domain=domain_col, cleaned=True),
     )
     return with_keyword.drop(_URL)
 
 
-def search_candidates(df: DataFrame, url_col: str = "referrer") -> DataFrame:
-    """Rows that may come from a search engine (a superset of the search hits).
+def search_hits(df: DataFrame, url_col: str = "referrer", *, strict: bool = False) -> DataFrame:
+    """Rows whose referrer is a search engine (before parsing them).
 
-    A cheap pre-filter on the raw URL; parse the survivors with
-    ``with_search_attributes`` and treat a NULL domain as "not a search".
+    The filter reaches the scan; parse the survivors with
+    ``with_search_attributes``, which then only runs on search hits.
     """
-    return df.filter(urls.maybe_search(F.col(url_col)))
+    return df.filter(urls.is_search(url_col, strict=strict))

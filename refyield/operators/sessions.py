@@ -28,7 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refyield.operators.search import search_candidates, with_search_attributes
+from refyield.functions._memo import memo_columns
+from refyield.operators.search import search_hits, with_search_attributes
 
 TIME = "hit_time_gmt"
 DOMAIN = "search_domain"
@@ -56,14 +57,15 @@ def key_names(keys: Sequence[str]) -> list[str]:
     return names
 
 
-def key_columns(keys: Sequence[str]) -> list[Column]:
+@memo_columns
+def key_columns(keys: tuple[str, ...]) -> tuple[Column, ...]:
     """Null-safe, join-ready session key columns (two per key)."""
     cols: list[Column] = []
     for i, k in enumerate(keys):
         c = F.col(k)
         cols.append(c.isNull().alias(f"__sk{i}_null"))
         cols.append(F.coalesce(c.cast("string"), F.lit("")).alias(f"__sk{i}"))
-    return cols
+    return tuple(cols)
 
 
 def restore_keys(keys: Sequence[str], types: dict[str, str]) -> list[Column]:
@@ -74,6 +76,7 @@ def restore_keys(keys: Sequence[str], types: dict[str, str]) -> list[Column]:
     ]
 
 
+@memo_columns
 def order_key(time: Column | None = None, domain: Column | None = None, keyword: Column | None = None) -> Column:
     """Sort key of a hit within its session: time (NULL first), domain, keyword."""
     t = F.coalesce(time if time is not None else F.col(TIME), F.lit(_TIME_FLOOR).cast("long"))
@@ -82,7 +85,8 @@ def order_key(time: Column | None = None, domain: Column | None = None, keyword:
     return F.struct(t.alias("t"), d.alias("d"), k.alias("k"))
 
 
-def touch_aggregates(*, coupled: bool = False, with_keys: bool = False) -> list[Column]:
+@memo_columns
+def touch_aggregates(*, coupled: bool = False, with_keys: bool = False) -> tuple[Column, ...]:
     """Aggregate columns giving a session's first touch (rows without a domain ignored).
 
     ``min_by`` ignores rows whose ordering is NULL, so non-search rows and,
@@ -94,7 +98,7 @@ def touch_aggregates(*, coupled: bool = False, with_keys: bool = False) -> list[
         aggs = [first.getField("d").alias(_FIRST_DOMAIN), first.getField("k").alias(_FIRST_KEYWORD)]
         if with_keys:
             aggs += [F.min(domain_ok).alias(_DOMAIN_KEY), F.min(domain_ok).alias(_KEYWORD_KEY)]
-        return aggs
+        return tuple(aggs)
     keyword_ok = F.when(F.col(KEYWORD).isNotNull(), order_key())
     aggs = [
         F.min_by(F.col(DOMAIN), domain_ok).alias(_FIRST_DOMAIN),
@@ -102,7 +106,7 @@ def touch_aggregates(*, coupled: bool = False, with_keys: bool = False) -> list[
     ]
     if with_keys:
         aggs += [F.min(domain_ok).alias(_DOMAIN_KEY), F.min(keyword_ok).alias(_KEYWORD_KEY)]
-    return aggs
+    return tuple(aggs)
 
 
 def first_touch(
@@ -115,24 +119,27 @@ def first_touch(
 ) -> DataFrame:
     """One row per session that has a search hit: null-safe keys + first touch.
 
-    Only search candidates (cheap pre-filter on the referrer) are parsed and
-    aggregated; false candidates have a NULL domain and drop out of
-    ``min_by``. The exact "has a search hit" test is applied after the
-    aggregate, where Catalyst cannot push it back into the parse.
+    Only search hits are parsed, shuffled and aggregated (the engine test
+    reaches the scan).
     """
     keys = normalize_keys(keys)
-    parsed = with_search_attributes(search_candidates(hits.select(*keys, TIME, "referrer")), strict=strict)
+    parsed = with_search_attributes(search_hits(hits.select(*keys, TIME, "referrer"), strict=strict), strict=strict)
     touch = parsed.select(*key_columns(keys), TIME, DOMAIN, KEYWORD).groupBy(*key_names(keys)).agg(
         *touch_aggregates(coupled=coupled, with_keys=with_keys)
     )
-    return touch.filter(F.col(_FIRST_DOMAIN).isNotNull())
+    return touch
 
 
-def credited(lookahead: bool, hit_key: Column | None = None) -> tuple[Column, Column]:
-    """(session domain, session keyword) of a hit joined to its session's first touch."""
+@memo_columns
+def credited(lookahead: bool, hit_key: str | None = None) -> tuple[Column, Column]:
+    """(session domain, session keyword) of a hit joined to its session's first touch.
+
+    ``hit_key``: name of a column holding the hit's ``order_key``; by default
+    it is computed from the hit's own time, domain and keyword.
+    """
     if lookahead:
         return F.col(_FIRST_DOMAIN), F.col(_FIRST_KEYWORD)
-    hk = hit_key if hit_key is not None else order_key()
+    hk = F.col(hit_key) if hit_key is not None else order_key()
     return (
         F.when(F.col(_DOMAIN_KEY) <= hk, F.col(_FIRST_DOMAIN)),
         F.when(F.col(_KEYWORD_KEY) <= hk, F.col(_FIRST_KEYWORD)),
@@ -204,7 +211,7 @@ def session_pairs(
     """One row per session: its keys and attributed (domain, keyword), NULL if none.
 
     Distinct sessions come from a hash aggregate over the key columns only;
-    only search candidates go through the first-touch aggregate.
+    only search hits go through the first-touch aggregate.
     """
     keys = normalize_keys(keys)
     types = dict(hits.select(*keys).dtypes)
