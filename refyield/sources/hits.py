@@ -80,10 +80,11 @@ def read_hits(
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a ``keep_corrupt`` read into (well-formed hits, quarantined lines).
 
-    The quarantine side keeps ``hit_time_gmt`` next to the raw line because
-    Spark refuses scans that reference only the corrupt-record column.
+    Both sides read every column: which rows Spark flags as malformed
+    depends on the columns a scan requests, and Spark refuses scans that
+    reference only the corrupt-record column.
     """
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     good = df.filter(~bad).drop(CORRUPT_COLUMN)
-    quarantine = df.filter(bad).select("hit_time_gmt", CORRUPT_COLUMN)
+    quarantine = df.filter(bad)
     return good, quarantine
