@@ -88,3 +88,20 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = df.filter(~bad).drop(CORRUPT_COLUMN)
     quarantine = df.filter(bad)
     return good, quarantine
+
+
+def read_hits_stream(spark: SparkSession, path: str, *, fmt: str = "tab", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Hits arriving as files in ``path`` (tab-separated text or Parquet) as a stream."""
+    reader = spark.readStream.schema(HIT_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if fmt == "parquet":
+        return reader.parquet(path)
+    return (
+        reader.option("sep", "\t")
+        .option("header", "true")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("nullValue", "")
+        .csv(path)
+    )

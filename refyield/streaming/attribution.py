@@ -1,0 +1,176 @@
+"""First-touch revenue attribution over a stream of hits.
+
+A stream cannot look ahead, so this is the ``lookahead=False`` rule: a
+purchase is credited to its session's first search touch at or before it
+(order: ``hit_time_gmt``, then domain, then keyword; the engine and keyword
+taken independently, or from one hit with ``coupled=True``).
+
+Plan:
+
+* rows are parsed with the same column expressions as the batch report and
+  reduced to search hits and purchase hits; each purchase hit carries its
+  revenue (sum of its product lines) so product lines never reach state;
+* ``groupBy(session).applyInPandasWithState`` keeps, per session, the
+  first touch and the purchases not yet credited, summed per own order key
+  (second, domain, keyword);
+* a purchase is credited once the watermark has passed its second, i.e.
+  once every earlier search hit of the session has arrived; the output
+  (append mode) is one row per credited order key.
+
+State per session is the first touch plus the uncredited purchases of the
+last watermark delay, summed per second (and own search pair), so even a
+proxy IP holding a third of all hits keeps bounded state. Hits without a time cannot be placed on the event-time axis
+and are dropped (the batch report sorts them first). Hits later than the
+watermark are dropped, as in any watermarked stream.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
+from refyield.functions.commerce import has_products, is_purchase, product_entries, product_revenue
+from refyield.operators import sessions as S
+from refyield.operators.search import with_search_attributes
+
+CREDIT_SCHEMA = StructType(
+    [
+        StructField("session", StringType(), True),
+        StructField("hit_time_gmt", LongType(), True),
+        StructField("search_domain", StringType(), True),
+        StructField("search_keyword", StringType(), True),
+        StructField("revenue", DoubleType(), True),
+        StructField("purchases", LongType(), True),
+    ]
+)
+
+_STATE_SCHEMA = StructType(
+    [
+        StructField("d", StringType(), True),
+        StructField("d_t", LongType(), True),
+        StructField("d_d", StringType(), True),
+        StructField("d_k", StringType(), True),
+        StructField("k", StringType(), True),
+        StructField("k_t", LongType(), True),
+        StructField("k_d", StringType(), True),
+        StructField("k_k", StringType(), True),
+        StructField("pending", StringType(), True),
+    ]
+)
+
+
+def _hit_revenue() -> "F.Column":
+    """Sum of a hit's product-line revenues (NULL when every line is NULL)."""
+    lines = F.transform(product_entries("product_list"), lambda e: product_revenue(e))
+    return F.aggregate(
+        lines,
+        F.lit(None).cast("double"),
+        lambda acc, x: F.when(x.isNull(), acc).otherwise(F.coalesce(acc, F.lit(0.0)) + x),
+    )
+
+
+def prepare(hits: DataFrame, keys: Sequence[str] = ("ip",), *, strict: bool = False) -> DataFrame:
+    """Search and purchase hits with session, event time, credit keys and revenue."""
+    keys = S.normalize_keys(keys)
+    buy = is_purchase("event_list") & has_products("product_list")
+    session = F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
+    needed = hits.select(*dict.fromkeys([*keys, S.TIME, "event_list", "product_list", "referrer"]))
+    parsed = with_search_attributes(needed.filter(F.col(S.TIME).isNotNull()), strict=strict)
+    return parsed.filter(F.col(S.DOMAIN).isNotNull() | buy).select(
+        session.alias("session"),
+        F.timestamp_seconds(S.TIME).alias("event_time"),
+        S.TIME,
+        S.DOMAIN,
+        S.KEYWORD,
+        buy.alias("is_purchase"),
+        F.when(buy, _hit_revenue()).alias("revenue"),
+    )
+
+
+def _key(t, d, k):
+    """Session order key with NULL first, comparable in Python."""
+    return (t, d is not None, d or "", k is not None, k or "")
+
+
+def _make_advance(coupled: bool):
+    import json
+
+    def advance(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        (session,) = key
+        if state.exists:
+            d, d_t, d_d, d_k, k, k_t, k_d, k_k, pending_json = state.get
+        else:
+            d = d_t = d_d = d_k = k = k_t = k_d = k_k = None
+            pending_json = "[]"
+        # Purchases not yet credited, summed per own order key (second,
+        # domain, keyword): purchases sharing it always share their credit.
+        pending = {(t, pd_, pk_): [rev, n] for t, pd_, pk_, rev, n in json.loads(pending_json)}
+        first_d = None if d_t is None else _key(d_t, d_d, d_k)
+        first_k = None if k_t is None else _key(k_t, k_d, k_k)
+
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                t = int(row.hit_time_gmt)
+                dom = None if pd.isna(row.search_domain) else row.search_domain
+                kw = None if pd.isna(row.search_keyword) else row.search_keyword
+                hk = _key(t, dom, kw)
+                if dom is not None and (first_d is None or hk < first_d):
+                    first_d, d, d_t, d_d, d_k = hk, dom, t, dom, kw
+                    if coupled:
+                        first_k, k, k_t, k_d, k_k = hk, kw, t, dom, kw
+                if not coupled and kw is not None and (first_k is None or hk < first_k):
+                    first_k, k, k_t, k_d, k_k = hk, kw, t, dom, kw
+                if bool(row.is_purchase):
+                    slot = pending.setdefault((t, dom, kw), [None, 0])
+                    if not pd.isna(row.revenue):
+                        slot[0] = (slot[0] or 0.0) + float(row.revenue)
+                    slot[1] += 1
+
+        wm = state.getCurrentWatermarkMs()
+        out = []
+        if wm > 0:
+            # Every hit earlier than the watermark has arrived (or is late and dropped).
+            for pkey in sorted((x for x in pending if x[0] * 1000 < wm), key=lambda x: _key(*x)):
+                rev, n = pending.pop(pkey)
+                pk = _key(*pkey)
+                if first_d is not None and first_d <= pk:
+                    credit_k = k if first_k is not None and first_k <= pk else None
+                    out.append((session, pkey[0], d, credit_k, rev, n))
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in CREDIT_SCHEMA.fields])
+
+        entries = [[t, pd_, pk_, v[0], v[1]] for (t, pd_, pk_), v in pending.items()]
+        state.update((d, d_t, d_d, d_k, k, k_t, k_d, k_k, json.dumps(entries)))
+        if pending:
+            state.setTimeoutTimestamp((min(x[0] for x in pending) + 1) * 1000)
+
+    return advance
+
+
+def credited_purchases(
+    hits: DataFrame,
+    keys: Sequence[str] = ("ip",),
+    *,
+    watermark: str = "10 minutes",
+    coupled: bool = False,
+    strict: bool = False,
+) -> DataFrame:
+    """Streaming (or batch) DataFrame of credited purchase revenue per session second."""
+    rows = prepare(hits, keys, strict=strict).withWatermark("event_time", watermark)
+    return rows.groupBy("session").applyInPandasWithState(
+        _make_advance(coupled),
+        outputStructType=CREDIT_SCHEMA,
+        stateStructType=_STATE_SCHEMA,
+        outputMode="append",
+        timeoutConf="EventTimeTimeout",
+    )
+
+
+def report_from_credits(credits: DataFrame) -> DataFrame:
+    """Batch report (``search_domain, search_keyword, revenue``) over written credits."""
+    return credits.groupBy("search_domain", "search_keyword").agg(F.round(F.sum("revenue"), 2).alias("revenue"))

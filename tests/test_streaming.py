@@ -1,0 +1,49 @@
+"""Streaming first-touch attribution equals the batch report without look-ahead."""
+
+from __future__ import annotations
+
+import random
+
+from conftest import hit, make_hits
+from refyield.operators import report as R
+from refyield.sources.hits import read_hits_stream
+from refyield.streaming.attribution import credited_purchases, report_from_credits
+
+SHOP = "http://www.esshopzilla.com/"
+REFS = [SHOP, "http://www.google.com/search?hl=en", "http://www.bing.com/search?q=Zune",
+        "http://www.google.com/?q=Ipod", "http://search.yahoo.com/?p=cd"]
+
+
+def _rows(seed, start, n):
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        out.append(hit(start + rnd.randint(0, 50), rnd.choice(["a", "b", "c", ""]),
+                       rnd.choice(["", "1", "2", "2, 1"]), rnd.choice(["x;y;1;2.5;", "x;y;1;;,x;y;1;1.25;", ""]),
+                       rnd.choice(REFS)))
+    return out
+
+
+def test_stream_matches_batch_without_lookahead(spark, tmp_path):
+    src, ckpt, out = tmp_path / "in", tmp_path / "ckpt", tmp_path / "out"
+    # Three files arriving in time order; the last hit moves the watermark past everything.
+    batches = [_rows(1, 1000, 120), _rows(2, 1060, 120), _rows(3, 1120, 120) + [hit(99999, "z", "", "", SHOP)]]
+    for i, rows in enumerate(batches):
+        make_hits(spark, rows).coalesce(1).write.mode("append").parquet(str(src))
+    stream = read_hits_stream(spark, str(src), fmt="parquet", max_files_per_trigger=1)
+    query = (
+        credited_purchases(stream, watermark="0 seconds")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(ckpt))
+        .option("path", str(out))
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(300)
+    streamed = {(r.search_domain, r.search_keyword): r.revenue
+                for r in report_from_credits(spark.read.parquet(str(out))).collect()}
+    all_rows = [r for b in batches for r in b]
+    batch = {(r.search_domain, r.search_keyword): r.revenue
+             for r in R.keyword_revenue(make_hits(spark, all_rows), lookahead=False).collect()}
+    assert streamed == batch and batch
