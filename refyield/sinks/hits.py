@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from refyield.sources.hits import HIT_COLUMNS
 
@@ -13,3 +14,20 @@ def write_hits(hits: DataFrame, path: str, *, mode: str = "overwrite") -> str:
     """Write the ``HIT_SCHEMA`` columns in schema order, one part file per task."""
     hits.select(*HIT_COLUMNS).write.mode(mode).options(**_TSV).csv(path)
     return path
+
+
+def write_hits_by_date(hits: DataFrame, path: str, *, mode: str = "overwrite") -> str:
+    """Write hits as Parquet partitioned by ``hit_date`` (UTC day of ``hit_time_gmt``).
+
+    Readers that filter on ``hit_date`` then list and scan only those
+    partitions (see ``read_hits_parquet``). Only the dates present in
+    ``hits`` are replaced on overwrite.
+    """
+    dated = hits.select(*HIT_COLUMNS, F.to_date(F.timestamp_seconds("hit_time_gmt")).alias("hit_date"))
+    (
+        dated.write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("hit_date")
+        .parquet(path)
+    )
+    return path

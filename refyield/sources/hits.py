@@ -105,3 +105,16 @@ def read_hits_stream(spark: SparkSession, path: str, *, fmt: str = "tab", max_fi
         .option("nullValue", "")
         .csv(path)
     )
+
+
+def read_hits_parquet(spark: SparkSession, path: str, *, dates: Iterable[str] | None = None) -> DataFrame:
+    """Hits written by ``write_hits_by_date``; ``dates`` keeps only those days.
+
+    The date filter is on the partition column, so Spark prunes partitions
+    at planning time instead of reading and discarding rows. Sessions are
+    then cut at day boundaries (hits of other days are not seen).
+    """
+    df = spark.read.parquet(path)
+    if dates is not None:
+        df = df.filter(F.col("hit_date").isin([F.lit(d).cast("date") for d in dates]))
+    return check_columns(df)

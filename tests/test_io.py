@@ -135,3 +135,17 @@ def test_job_quarantine(spark, tmp_path):
     path = job.run(spark, args)
     assert spark.read.option("header", "true").option("sep", "\t").csv(bad_dir).count() == 2
     assert sorted(r["Revenue"] for r in read_report(spark, path).collect()) == [190.0, 250.0, 290.0]
+
+
+def test_date_partitioned_hits_prune(spark, tmp_path, sample):
+    from refyield.sinks.hits import write_hits_by_date
+    from refyield.sources.hits import read_hits_parquet
+
+    later = sample.withColumn("hit_time_gmt", F.col("hit_time_gmt") + 86400 * 3)
+    path = write_hits_by_date(sample.unionByName(later), str(tmp_path / "dated"))
+    one_day = read_hits_parquet(spark, path, dates=["1970-01-01"])
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(hit_date" in plan or "PartitionFilters: [hit_date" in plan
+    assert one_day.count() == 21
+    rows = R.ranked(R.keyword_revenue(one_day)).collect()
+    assert [r.revenue for r in rows] == [290.0, 250.0, 190.0]
