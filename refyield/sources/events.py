@@ -9,7 +9,7 @@ event type as event code, value as product revenue, a key ``k`` taken from
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refyield.sources.hits import HIT_COLUMNS
@@ -36,14 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _case(key: Column, pairs, default) -> Column:
-    expr = None
-    for value, result in pairs:
-        cond = key == F.lit(value)
-        expr = F.when(cond, F.lit(result)) if expr is None else expr.when(cond, F.lit(result))
-    return expr.otherwise(default)
-
-
 def hits_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hit table (``HIT_SCHEMA`` columns) derived from ``events``."""
     ev = table(spark, sf_dir, "events")
@@ -68,7 +60,10 @@ def hits_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     product_list = F.when(kc % 17 == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("Cat;P"), kc.cast("string"), F.lit(";1;"), money, F.lit(";"), extra)
     )
-    referrer = _case(kc, REFERRER_BY_K, F.lit(INTERNAL_REFERRER))
+    # One lookup per row (a CASE per key would repeat k's regexp wherever a
+    # filter above inlines the referrer).
+    by_k = F.create_map(*[F.lit(x) for pair in REFERRER_BY_K for x in pair])
+    referrer = F.coalesce(F.try_element_at(by_k, kc), F.lit(INTERNAL_REFERRER))
     null = F.lit(None).cast("string")
 
     cols = {
