@@ -32,8 +32,12 @@ def is_purchase(event_list: Column | str = "event_list") -> Column:
 
 @memo_columns
 def has_products(product_list: Column | str = "product_list") -> Column:
-    pl = _col(product_list)
-    return pl.isNotNull() & (pl != F.lit(""))
+    """Product list present and not empty (never NULL).
+
+    Same truth table as ``pl IS NOT NULL AND pl <> ''`` with a single
+    reference to the column, which matters when a filter inlines it.
+    """
+    return F.coalesce(_col(product_list) != F.lit(""), F.lit(False))
 
 
 @memo_columns
