@@ -32,12 +32,13 @@ def is_purchase(event_list: Column | str = "event_list") -> Column:
 
 @memo_columns
 def has_products(product_list: Column | str = "product_list") -> Column:
-    """Product list present and not empty (never NULL).
+    """Product list present and not empty.
 
-    Same truth table as ``pl IS NOT NULL AND pl <> ''`` with a single
-    reference to the column, which matters when a filter inlines it.
+    Written as ``IS NOT NULL AND <> ''`` so both parts reach a Parquet scan
+    as pushed filters.
     """
-    return F.coalesce(_col(product_list) != F.lit(""), F.lit(False))
+    pl = _col(product_list)
+    return pl.isNotNull() & (pl != F.lit(""))
 
 
 @memo_columns
