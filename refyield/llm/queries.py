@@ -5,11 +5,13 @@ from __future__ import annotations
 from refyield.llm.bpe import op6_byte_bpe
 from refyield.llm.chat import OP4_SQL, op4_chat_branches
 from refyield.llm.counting import op7_token_counts
+from refyield.llm.idstore import op3_token_id_files
 from refyield.llm.mixing import OP5_SQL, op5_mix_sources
 from refyield.llm.sharding import OP2_SQL, op2_rendezvous_shards
 
 QUERIES = {
     "op2_rendezvous_shards": op2_rendezvous_shards,
+    "op3_token_id_files": op3_token_id_files,
     "op4_chat_branches": op4_chat_branches,
     "op5_mix_sources": op5_mix_sources,
     "op6_byte_bpe": op6_byte_bpe,
