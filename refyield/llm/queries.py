@@ -7,6 +7,7 @@ from refyield.llm.chat import OP4_SQL, op4_chat_branches
 from refyield.llm.counting import op7_token_counts
 from refyield.llm.fingerprints import op8_minhash_fingerprints
 from refyield.llm.idstore import op3_token_id_files
+from refyield.llm.jaccard import op10_jaccard_join
 from refyield.llm.mixing import OP5_SQL, op5_mix_sources
 from refyield.llm.sharding import OP2_SQL, op2_rendezvous_shards
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_fingerprints": op8_minhash_fingerprints,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 #: Operators 1, 3 and 6 to 10 have no statement: SQL has no such hashes,
