@@ -10,8 +10,10 @@ from refyield.llm.idstore import op3_token_id_files
 from refyield.llm.jaccard import op10_jaccard_join
 from refyield.llm.mixing import OP5_SQL, op5_mix_sources
 from refyield.llm.sharding import OP2_SQL, op2_rendezvous_shards
+from refyield.llm.vectors import op1_near_vectors
 
 QUERIES = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_rendezvous_shards": op2_rendezvous_shards,
     "op3_token_id_files": op3_token_id_files,
     "op4_chat_branches": op4_chat_branches,
