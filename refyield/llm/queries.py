@@ -10,6 +10,7 @@ from refyield.llm.idstore import op3_token_id_files
 from refyield.llm.jaccard import op10_jaccard_join
 from refyield.llm.mixing import OP5_SQL, op5_mix_sources
 from refyield.llm.sharding import OP2_SQL, op2_rendezvous_shards
+from refyield.llm.toxicity import op9_toxicity
 from refyield.llm.vectors import op1_near_vectors
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_fingerprints": op8_minhash_fingerprints,
+    "op9_toxicity": op9_toxicity,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
