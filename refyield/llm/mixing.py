@@ -10,10 +10,10 @@
    divisor close to the mean grants are granted at once; only the (at most two
    a party) seats between the two bounding divisors are ranked by quotient.
 3. In a shard the documents stand in seeded order as one stream of words. A
-   quota of q over N blocks takes q div N whole passes and q mod N further
-   blocks, spread evenly from a seeded start. A document takes the words of
-   its own stretch of the stream that lie in chosen blocks, so that no join of
-   documents and blocks is needed.
+   quota of q over N blocks takes q div N whole passes and a run of q mod N
+   further blocks from a seeded start, round the end. A document takes the words
+   of its own stretch of the stream that lie in chosen blocks: all or none, but
+   for the documents at the run's ends. No join of documents and blocks is needed.
 
 A source has as many shards as it has multiples of ``shard_rows`` rows, so a hot
 source is dealt to as many more tasks. Defined results: a null or blank text
@@ -32,7 +32,7 @@ from refyield.llm.common import table, text_or_empty
 
 #: Fixed value of the contract: what a word is.
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK = 64
+BLOCK = 16
 SHARD_ROWS = 20_000
 MAX_REPEAT = 3
 SEED = "mix"
@@ -133,12 +133,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), block: int = BLOCK,
     chosen = chosen.withColumns({"_phase": start, "_r": F.expr("_q % greatest(_n, 1L)"), "_passes": F.expr("_q div greatest(_n, 1L)")})
 
     def below(x: str) -> Column:
-        """Words before position ``x`` of the stream that lie in chosen blocks."""
+        """Words before position ``x`` of the stream that lie in chosen blocks: a run
+        of blocks from the phase on, and from the start where it passes the end."""
         return F.expr(
-            f"""((({x}) div {block}) * _r + _phase) div greatest(_n, 1L) * {block}
-            + CASE WHEN ((({x}) div {block} + 1) * _r + _phase) div greatest(_n, 1L)
-                      > ((({x}) div {block}) * _r + _phase) div greatest(_n, 1L)
-                   THEN ({x}) % {block} ELSE 0 END"""
+            f"""greatest(0L, least({x}, (_phase + _r) * {block}) - _phase * {block})
+            + least({x}, greatest(0L, (_phase + _r - _n) * {block}))"""
         )
 
     taken = F.col("_passes") * F.col("size") + below("_end") - below("_end - size")
@@ -165,7 +164,7 @@ def _apportion_sql(src: str, group: str, party: str, votes: str, seats: str) ->
       WHERE r <= seats GROUP BY {keys}) w ON {on})"""
 
 
-_BELOW = "(((({x}) // {b}) * r + phase) // greatest(n, 1)) * {b} + CASE WHEN ((({x}) // {b} + 1) * r + phase) // greatest(n, 1) > ((({x}) // {b}) * r + phase) // greatest(n, 1) THEN ({x}) % {b} ELSE 0 END"
+_BELOW = "(greatest(0, least({x}, (phase + r) * {b}) - phase * {b}) + least({x}, greatest(0, (phase + r - n) * {b})))"
 
 
 def _hash_sql(parts: str) -> str:
