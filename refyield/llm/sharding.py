@@ -100,7 +100,7 @@ d AS (
   SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
          [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
             lambda x: CAST(concat('0x', x) AS BIGINT)) AS b,
-         coalesce(concat('k', CAST(doc_id AS VARCHAR)), 'null') AS k
+         coalesce('k' || CAST(doc_id AS VARCHAR), 'null') AS k
   FROM documents),
 c AS (
   SELECT doc_id, size, k,

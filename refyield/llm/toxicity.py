@@ -57,7 +57,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """Rows of the word table; rows of the 4-gram table, and where each word's begin."""
     plain = [w.lower().strip(".,;:!?\"'()[]") for w in words]
     rows = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % WORD_ROWS for w in plain), np.int64, len(words))
-    framed = [b"\x02" + w.encode("utf-8", "surrogatepass") + b"\x03\x03" for w in plain]
+    framed = [b"\x02" + w.encode("utf-8", "surrogatepass") + b"\x03\x03\x03" for w in plain]
     sizes = np.fromiter(map(len, framed), np.int64, len(framed))
     raw = np.frombuffer(b"".join(framed) + b"\0" * GRAM, np.uint8).astype(np.uint64)
     n = len(raw) - GRAM
@@ -65,7 +65,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     grams = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(GRAM_ROWS)
     ends = np.cumsum(sizes)
     begins = ends - sizes
-    inside = np.arange(n) < np.repeat(np.maximum(ends - GRAM + 1, begins + 1), sizes)  # one at least, all within the word
+    inside = np.arange(n) < np.repeat(ends - GRAM + 1, sizes)  # one at least, as the frame has four bytes
     counts = np.add.reduceat(inside, begins) if len(words) else np.zeros(0, np.int64)
     return rows, grams[inside].astype(np.int64), np.cumsum(counts) - counts
 

@@ -1,0 +1,132 @@
+"""The toxicity network: gradients, held-out accuracy, odd rows."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from conftest_llm import DOCS, doc, odd_rows, words
+
+from refyield.llm import toxicity as T
+
+
+def tiny_batch(net, rng):
+    names = ["", "good", "bad", "awful.", "x", "y" * 30]
+    features = T.word_features(names)
+    words_ = rng.integers(1, len(names), (5, 7))
+    mask = np.ones((5, 7), np.float32)
+    mask[1, 4:] = mask[4, 2:] = 0
+    words_[mask == 0] = 0
+    odds = tuple(rng.normal(size=n).astype(np.float32) for n in (T.WORD_ROWS, T.GRAM_ROWS))
+    seen = np.ones((len(names), T.INPUTS), np.float32)
+    return features, words_, mask, np.array([0, 2, 3]), np.array([1.0, 0.0, 1.0]), seen, odds
+
+
+def test_gradients_equal_differences(monkeypatch):
+    rng = np.random.default_rng(1)
+    net = T.GatedPair(seed=3)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    features, words_, mask, texts, labels, seen, odds = tiny_batch(net, rng)
+    monkeypatch.setattr(T.GatedPair, "inputs", lambda self, f, o=None: T.np.hstack([self.p["word"][f[0]], T.np.add.reduceat(self.p["gram"][f[1]], f[2]) / T.np.diff(T.np.append(f[2], len(f[1])))[:, None], odds[0][f[0], None], T.np.maximum.reduceat(odds[1][f[1]], f[2])[:, None]]))
+    shares = []
+
+    def loss(shares=None):
+        x = net.inputs(features)
+        s = net.pooled(net.states(net.gates(x), words_, mask), mask)[2]
+        if shares is None:
+            sizes = np.diff(np.append(texts, len(s)))
+            e = np.exp(2 * (s - np.repeat(np.maximum.reduceat(s, texts), sizes)))
+            return e / np.repeat(np.add.reduceat(e, texts), sizes)
+        z = np.add.reduceat(shares * s, texts)
+        return float(np.mean(np.log1p(np.exp(z)) - labels * z))
+
+    shares = loss()
+    g = net.gradients(features, words_, mask, texts, labels, seen, odds)
+    for name in ("attend", "out", "bias", "Wf", "Wb", "Uf", "Ub", "cf", "word", "gram"):
+        value = net.p[name]
+        at = tuple(rng.integers(0, n) for n in value.shape)
+        if name == "word":
+            at = (features[0][2], 3)
+        if name == "gram":
+            at = (features[1][features[2][2]], 5)
+        old = value[at]
+        value[at] = old + 1e-3
+        up = loss(shares)
+        value[at] = old - 1e-3
+        down = loss(shares)
+        value[at] = old
+        assert g[name][at] == pytest.approx((up - down) / 2e-3, abs=2e-4), name
+
+
+def test_windows_cover_every_word():
+    lengths = np.array([0, 1, 31, 32, 33, 47, 48, 49, 500])
+    first, stop, begin = T.windows_of(lengths)
+    at = np.cumsum(lengths) - lengths
+    for i, (a, n) in enumerate(zip(at, lengths, strict=True)):
+        own = slice(begin[i], begin[i + 1] if i + 1 < len(begin) else None)
+        covered = {w for f in first[own] for w in range(f, min(f + T.WINDOW, a + n))}
+        assert covered == set(range(a, a + n))
+
+
+def test_word_features_stay_within_words():
+    names = ["", "a", "ab", "stupid", "Stupid,", "x" * 32]
+    rows, grams, begins = T.word_features(names)
+    alone = [T.word_features([n]) for n in names]
+    assert rows.tolist() == [a[0][0] for a in alone] and rows[3] == rows[4]
+    ends = [*begins[1:].tolist(), len(grams)]
+    assert [grams[b:e].tolist() for b, e in zip(begins, ends, strict=True)] == [a[1].tolist() for a in alone]
+
+
+def toxic_rows(n: int):
+    rng = random.Random(9)
+    docs, labels = [], []
+    for i in range(n):
+        text = words(rng, rng.randrange(1, 250), 900).split()
+        toxic = rng.random() < 0.3
+        if toxic:
+            for _ in range(2):
+                text.insert(rng.randrange(len(text) + 1), rng.choice(["vile", "Rotten,", f"grub{rng.randrange(9999)}"]))
+        docs.append(doc(i, " ".join(text)))
+        if rng.random() < 0.8:
+            labels.append((i, int(toxic)))
+    return docs, labels
+
+
+def test_toxicity_query_on_held_out_rows(spark, write_tables):
+    docs, labels = toxic_rows(900)
+    odd = [(None if r[0] is None else r[0] + 10_000, *r[1:]) for r in odd_rows()]
+    extra = [(10_004, 0), (10_005, 0), (10_009, 0), (None, 1), (5, None), (99_999, 1)]
+    folder = write_tables(
+        documents=spark.createDataFrame(docs + odd, DOCS), labels=spark.createDataFrame([(i, 0, t) for i, t in labels + extra], "doc_id long, quality int, toxic int")
+    )
+    got = T.op9_toxicity(spark, folder).collect()
+    assert len(got) == len(docs) + len(odd)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
+    truth = dict(labels)
+    held = [(truth[r.doc_id], r.predicted) for r in got if r.held_out and r.doc_id in truth]
+    hit = sum(t and p for t, p in held)
+    assert 2 * hit / (sum(t for t, _ in held) + sum(p for _, p in held)) > 0.9
+    again = {(r.doc_id, r.score) for r in T.op9_toxicity(spark, folder).collect()}
+    assert again == {(r.doc_id, r.score) for r in got}
+
+
+def test_empty_and_unlabelled(spark, empty, write_tables):
+    assert T.op9_toxicity(spark, empty).count() == 0
+    folder = write_tables(documents=spark.createDataFrame([doc(1, "a b c"), doc(2, None)], DOCS), labels=spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"))
+    assert [(r.score, r.predicted) for r in T.op9_toxicity(spark, folder).collect()] == [(0.0, 0)] * 2
+
+
+def test_a_text_scores_alike_in_any_company(monkeypatch):
+    rng = random.Random(1)
+    net = T.GatedPair(seed=1)
+    texts = [words(rng, n) for n in (0, 1, 20, 32, 33, 400)] + ["z" * 100]
+    together = T.Scorer(net).logits(texts)
+    monkeypatch.setattr(T, "KEPT", 40)
+    alone = [T.Scorer(net).logits([t])[0] for t in texts]
+    assert np.allclose(together, alone, atol=1e-5)
+    long = words(rng, 300_000)
+    assert len(long) > 1_000_000
+    assert T.Scorer(net).logits([long])[0] == pytest.approx(T.Scorer(net).part_logits([T.split_words(long)])[0], abs=1e-4)
