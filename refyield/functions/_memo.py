@@ -3,13 +3,14 @@
 Building a Column costs Py4J round trips (about a millisecond each), and the
 report's expressions take a few hundred of them. The expressions only
 refer to columns by name, so one built Column can serve every DataFrame;
-we keep them per SparkContext and per argument tuple. Calls with
-non-hashable arguments (Column objects) are simply not cached.
+we keep them per SparkContext (as long as it lives) and per argument tuple.
+Calls with non-hashable arguments (Column objects) are simply not cached.
 """
 
 from __future__ import annotations
 
 import functools
+import weakref
 
 from pyspark import SparkContext
 
@@ -25,13 +26,17 @@ def _hashable(v) -> bool:
 
 
 def memo_columns(fn):
-    cache: dict = {}
+    caches: weakref.WeakKeyDictionary[SparkContext, dict] = weakref.WeakKeyDictionary()
 
     @functools.wraps(fn)
     def wrapper(*args, **kwargs):
         if not (all(_hashable(a) for a in args) and all(_hashable(v) for v in kwargs.values())):
             return fn(*args, **kwargs)
-        key = (id(SparkContext._active_spark_context), args, tuple(sorted(kwargs.items())))
+        context = SparkContext._active_spark_context
+        if context is None:
+            return fn(*args, **kwargs)
+        cache = caches.setdefault(context, {})
+        key = (args, tuple(sorted(kwargs.items())))
         hit = cache.get(key)
         if hit is None:
             hit = cache[key] = fn(*args, **kwargs)

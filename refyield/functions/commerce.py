@@ -72,3 +72,19 @@ def product_revenue_decimal(entry: Column | str) -> Column:
     raw = F.trim(F.get(parts, 3))
     value = F.when(raw.rlike(_PLAIN_NUMBER), raw.try_cast("decimal(18,2)"))
     return F.when(F.size(parts) > 3, value).otherwise(F.lit(0).cast("decimal(18,2)"))
+
+
+@memo_columns
+def list_revenue(product_list: Column | str = "product_list", *, strict: bool = False, money: str = "double") -> Column:
+    """Revenue of a whole product list: the sum over its entries, NULLs left
+    out; NULL when no entry has one."""
+
+    def entry(x: Column) -> Column:
+        return product_revenue_decimal(x) if money == "decimal" else product_revenue(x, strict=strict)
+
+    kind = "decimal(28,2)" if money == "decimal" else "double"
+    return F.aggregate(
+        F.transform(product_entries(product_list), entry),
+        F.lit(None).cast(kind),
+        lambda total, x: F.coalesce((total + x).cast(kind), total, x.cast(kind)),
+    )

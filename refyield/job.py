@@ -2,10 +2,19 @@
 
     spark-submit refyield/job.py --input s3a://bucket/hits/ --output s3a://bucket/reports/ \\
         [--run-date 2009-09-27] [--format tab|parquet] [--session-keys ip,user_agent] \\
-        [--no-lookahead] [--coupled] [--strict] [--top-k 100] [--single-file] \\
-        [--quarantine s3a://bucket/bad-lines/]
+        [--no-lookahead] [--coupled] [--strict-header] [--strict-host] [--strict-revenue] \\
+        [--money double|decimal] [--top-k 100] [--single-file] \\
+        [--quarantine s3a://bucket/bad-lines/] [--drop-malformed]
 
-Exits 0 on success and 1 on any failure, so schedulers see failed runs.
+``--strict`` is the three strict switches at once. ``--output`` and
+``--log-level`` default to the environment's OUTPUT_DIR and LOG_LEVEL.
+Arguments that a launcher adds and the job does not know are ignored.
+
+``--quarantine`` writes a copy of the lines that do not fit the schema and leaves
+the report as it is; ``--drop-malformed`` keeps those lines out of the report.
+
+Exits 0 on success, also when no purchase is credited (the report is then
+empty), and 1 on any failure, so schedulers see failed runs.
 """
 
 from __future__ import annotations
@@ -21,7 +30,7 @@ if __package__ in (None, ""):
 from pyspark.sql import Observation, SparkSession  # noqa: E402
 
 from refyield.operators.report import keyword_revenue, ranked  # noqa: E402
-from refyield.session import scratch_path  # noqa: E402
+from refyield.session import get_spark  # noqa: E402
 from refyield.sinks.report import write_report  # noqa: E402
 from refyield.sources.hits import read_hits, split_corrupt  # noqa: E402
 
@@ -31,38 +40,54 @@ log = logging.getLogger("refyield.job")
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Revenue per search engine and keyword")
     p.add_argument("--input", required=True, nargs="+", help="hit files, directories or globs")
-    p.add_argument("--output", required=True, help="output directory (any Hadoop file system)")
+    p.add_argument("--output", default=os.environ.get("OUTPUT_DIR", "output/"), help="output directory (any Hadoop file system)")
     p.add_argument("--run-date", default=None, help="YYYY-mm-dd for the report name (default: today, UTC)")
     p.add_argument("--format", choices=("tab", "parquet"), default="tab")
     p.add_argument("--session-keys", default="ip", help="comma-separated session key columns")
     p.add_argument("--no-lookahead", action="store_true", help="credit only purchases after the first search")
     p.add_argument("--coupled", action="store_true", help="take engine and keyword from the same hit")
-    p.add_argument("--strict", action="store_true", help="check file headers; strict host and revenue rules")
+    p.add_argument("--strict", action="store_true", help="all three strict switches")
+    p.add_argument("--strict-header", action="store_true", help="fail on a file whose header differs from the schema")
+    p.add_argument("--strict-host", action="store_true", help="drop only one www. before the engine")
+    p.add_argument("--strict-revenue", action="store_true", help="plain numbers only")
+    p.add_argument("--money", choices=("double", "decimal"), default="double", help="decimal: exact cents")
     p.add_argument("--top-k", type=int, default=None, help="keep only the k best rows")
     p.add_argument("--single-file", action="store_true", help="one part file (bounded reports only)")
-    p.add_argument("--quarantine", default=None, help="write lines that do not fit the schema here")
-    p.add_argument("--log-level", default="INFO")
-    return p.parse_args(argv)
+    p.add_argument("--quarantine", default=None, help="write a copy of the lines that do not fit the schema here")
+    p.add_argument("--drop-malformed", action="store_true", help="keep those lines out of the report")
+    p.add_argument("--log-level", default=os.environ.get("LOG_LEVEL", "INFO").upper())
+    return p.parse_known_args(argv)[0]
+
+
+def observed(seen: Observation) -> dict:
+    """The observed counts; zeros where Spark reports none (an empty result)."""
+    try:
+        counts = seen.get
+    except Exception:
+        log.debug("no observed counts", exc_info=True)
+        counts = {}
+    return {k: counts.get(k) or 0 for k in ("attributed_sessions", "attributed_purchases")}
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> str:
     """Build and write the report; return the written path."""
     keys = tuple(k.strip() for k in args.session_keys.split(",") if k.strip())
-    hits = read_hits(spark, args.input, strict=args.strict, keep_corrupt=bool(args.quarantine))
+    strict_header = args.strict or args.strict_header
+    hits = read_hits(spark, args.input, strict=strict_header, keep_corrupt=args.drop_malformed)
+    if args.drop_malformed:
+        hits, _ = split_corrupt(hits)
     if args.quarantine:
-        # Parse every column once, flag included, into the shared folder, so
-        # the report and the quarantine see the same rows as malformed.
-        staged = scratch_path(spark, "parsed-hits")
-        hits.write.mode("overwrite").parquet(staged)
-        hits, bad = split_corrupt(spark.read.parquet(staged))
-        bad.write.mode("overwrite").option("sep", "\t").option("header", "true").csv(args.quarantine)
+        _, bad = split_corrupt(read_hits(spark, args.input, strict=strict_header, keep_corrupt=True))
+        bad.write.mode("overwrite").options(sep="\t", header="true", escape='"').csv(args.quarantine)
     seen = Observation("attribution")
     report = keyword_revenue(
         hits,
         keys,
         lookahead=not args.no_lookahead,
         coupled=args.coupled,
-        strict=args.strict,
+        strict=args.strict or args.strict_host,
+        strict_revenue=args.strict or args.strict_revenue,
+        money=args.money,
         observation=seen,
     )
     path = write_report(
@@ -72,20 +97,24 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
         fmt=args.format,
         single_file=args.single_file,
     )
-    log.info("report written to %s; %s", path, seen.get)
+    log.info("report written to %s; %s", path, observed(seen))
     return path
 
 
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     logging.basicConfig(level=args.log_level, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
-    spark = SparkSession.builder.appName("refyield-report").getOrCreate()
+    own = SparkSession.getActiveSession() is None
+    spark = get_spark(app_name="refyield-report")
     try:
         run(spark, args)
         return 0
     except Exception:
         log.exception("report failed")
         return 1
+    finally:
+        if own:
+            spark.stop()
 
 
 if __name__ == "__main__":

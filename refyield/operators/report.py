@@ -2,16 +2,16 @@
 
 ``keyword_revenue`` is the whole job as one lazy plan:
 
-    hits -> (engine, keyword) of each referrer
-         -> keep search hits and purchase product lines only
+    hits -> keep purchases and search hits only
+         -> (engine, keyword) of each referrer, revenue of each product list
          -> per session: first touch + purchase revenue   (shuffle 1, map-side partial agg)
          -> per (engine, keyword): revenue                 (shuffle 2, map-side partial agg)
 
 With look-ahead (the default) all purchases of a session share one credit,
 so the first touch and the session's revenue are one aggregate over the
 same key and the hit table is scanned once. Without look-ahead the credit
-depends on each purchase's position, so purchase lines are joined to the
-first touch instead.
+depends on each purchase's position, so purchases are joined to the first touch
+instead and the hit table is scanned twice.
 """
 
 from __future__ import annotations
@@ -21,14 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from refyield.functions.commerce import (
-    has_products,
-    is_purchase,
-    product_entries,
-    product_revenue,
-    product_revenue_decimal,
-)
 from refyield.functions import urls
+from refyield.functions.commerce import has_products, is_purchase, list_revenue
 from refyield.operators import sessions as S
 from refyield.operators.search import search_hits, with_search_attributes
 
@@ -41,19 +35,12 @@ HEADINGS: tuple[tuple[str, str], ...] = (
     ("revenue", "Revenue"),
 )
 
-_ENTRY = "__entry"
-_POS = "__pos"
 _REV = "__rev"
-
-
-def _line_revenue(money: str, strict: bool) -> Column:
-    if money == "decimal":
-        return product_revenue_decimal(_ENTRY)
-    return product_revenue(_ENTRY, strict=strict)
+_HITS = "__hits"
 
 
 def _round(c: Column, money: str) -> Column:
-    return c if money == "decimal" else F.round(c, 2)
+    return c.cast("decimal(28,2)") if money == "decimal" else F.round(c, 2)
 
 
 def keyword_revenue(
@@ -63,87 +50,96 @@ def keyword_revenue(
     lookahead: bool = True,
     coupled: bool = False,
     strict: bool = False,
+    strict_revenue: bool | None = None,
     money: str = "double",
     observation: Observation | None = None,
 ) -> DataFrame:
     """``search_domain, search_keyword, revenue`` (rounded to cents), unordered.
 
-    ``strict`` switches both the strict host rule (only ``www.`` dropped) and
-    strict revenue parsing. ``money="decimal"`` sums exact ``DECIMAL(18,2)``.
+    ``strict`` is the strict host rule (only ``www.`` dropped), and strict revenue
+    parsing too unless ``strict_revenue`` says otherwise. ``money="decimal"`` sums exact ``DECIMAL(18,2)``.
     ``observation`` (optional) collects attributed purchase hits and
     sessions with no extra job.
     """
     keys = S.normalize_keys(keys)
-    buy = is_purchase("event_list") & has_products("product_list")
-    if lookahead:
-        per_session = _fused_sessions(hits, keys, buy, coupled=coupled, money=money, strict=strict)
-    else:
-        per_session = _joined_purchases(hits, keys, buy, coupled=coupled, money=money, strict=strict)
+    sessions = session_revenue(
+        hits, keys, lookahead=lookahead, coupled=coupled, strict=strict, strict_revenue=strict_revenue, money=money
+    )
     if observation is not None:
-        per_session = per_session.observe(
+        sessions = sessions.observe(
             observation,
             F.count(F.lit(1)).alias("attributed_sessions"),
-            F.sum("__hits").alias("attributed_purchases"),
+            F.sum(_HITS).alias("attributed_purchases"),
         )
-    return per_session.groupBy(
+    return sessions.groupBy(
         F.col("__domain").alias(S.DOMAIN), F.col("__keyword").alias(S.KEYWORD)
     ).agg(_round(F.sum(_REV), money).alias(REVENUE))
 
 
-def _fused_sessions(hits, keys, buy, *, coupled, money, strict) -> DataFrame:
+def session_revenue(
+    hits: DataFrame,
+    keys: str | Sequence[str] = ("ip",),
+    *,
+    lookahead: bool = True,
+    coupled: bool = False,
+    strict: bool = False,
+    strict_revenue: bool | None = None,
+    money: str = "double",
+) -> DataFrame:
+    """Credited purchases: ``__domain, __keyword, __rev, __hits`` (their number),
+    a row for each session with look-ahead, else for each purchase hit."""
+    keys = S.normalize_keys(keys)
+    buy = is_purchase("event_list") & has_products("product_list")
+    revenue = list_revenue("product_list", strict=strict if strict_revenue is None else strict_revenue, money=money)
+    if lookahead:
+        return _fused_sessions(hits, keys, buy, revenue, coupled=coupled, strict=strict)
+    return _joined_purchases(hits, keys, buy, revenue, coupled=coupled, strict=strict)
+
+
+def attributed_purchase_count(hits: DataFrame, keys: str | Sequence[str] = ("ip",), *, strict: bool = False) -> DataFrame:
+    """One row: the number of purchase hits credited to a search (one scan)."""
+    return session_revenue(hits, keys, strict=strict).agg(F.coalesce(F.sum(_HITS), F.lit(0)).alias("purchases"))
+
+
+def _fused_sessions(hits, keys, buy, revenue, *, coupled, strict) -> DataFrame:
     needed = hits.select(*dict.fromkeys([*keys, S.TIME, "event_list", "product_list", "referrer"]))
-    wanted = needed.filter(urls.is_search("referrer", strict=strict) | buy)
+    # the cheap test first: a purchase's referrer need not be searched
+    wanted = needed.filter(buy | urls.is_search("referrer", strict=strict))
     parsed = with_search_attributes(wanted, strict=strict)
     rows = parsed.select(
-        *S.key_columns(keys),
-        S.TIME,
-        S.DOMAIN,
-        S.KEYWORD,
-        F.posexplode_outer(F.when(buy, product_entries("product_list"))).alias(_POS, _ENTRY),
+        *S.key_columns(keys), S.TIME, S.DOMAIN, S.KEYWORD, F.when(buy, revenue).alias(_REV), buy.alias(_HITS)
     )
-    rows = rows.withColumn(_REV, F.when(F.col(_ENTRY).isNotNull(), _line_revenue(money, strict)))
     per_session = rows.groupBy(*S.key_names(keys)).agg(
-        *S.touch_aggregates(coupled=coupled),
-        F.sum(_REV).alias(_REV),
-        F.count(_ENTRY).alias("__lines"),
-        F.count(F.when(F.col(_POS) == 0, F.lit(1))).alias("__hits"),
+        *S.touch_aggregates(coupled=coupled), F.sum(_REV).alias(_REV), F.count_if(_HITS).alias(_HITS)
     )
-    return per_session.filter(F.col("__first_domain").isNotNull() & (F.col("__lines") > 0)).select(
-        F.col("__first_domain").alias("__domain"),
-        F.col("__first_keyword").alias("__keyword"),
-        _REV,
-        "__hits",
+    return per_session.filter(F.col("__first_domain").isNotNull() & (F.col(_HITS) > 0)).select(
+        F.col("__first_domain").alias("__domain"), F.col("__first_keyword").alias("__keyword"), _REV, _HITS
     )
 
 
-def _joined_purchases(hits, keys, buy, *, coupled, money, strict) -> DataFrame:
+def _joined_purchases(hits, keys, buy, revenue, *, coupled, strict) -> DataFrame:
     touch = S.first_touch(hits, keys, coupled=coupled, with_keys=True, strict=strict)
     needed = hits.select(*dict.fromkeys([*keys, S.TIME, "event_list", "product_list", "referrer"]))
-    lines = with_search_attributes(needed.filter(buy), strict=strict).select(
-        *S.key_columns(keys),
-        S.order_key().alias("__hit_key"),
-        F.posexplode(product_entries("product_list")).alias(_POS, _ENTRY),
+    buys = with_search_attributes(needed.filter(buy), strict=strict).select(
+        *S.key_columns(keys), S.TIME, S.order_key().alias("__hit_key"), revenue.alias(_REV)
     )
-    lines = lines.withColumn(_REV, _line_revenue(money, strict))
-    joined = lines.join(touch, on=S.key_names(keys), how="inner")
     domain, keyword = S.credited(False, "__hit_key")
-    credited = joined.select(
-        domain.alias("__domain"),
-        keyword.alias("__keyword"),
-        _REV,
-        F.when(F.col(_POS) == 0, F.lit(1)).otherwise(F.lit(0)).alias("__hits"),
-    )
+    joined = S.join_touch(buys, touch, keys, "inner")
+    credited = joined.select(domain.alias("__domain"), keyword.alias("__keyword"), _REV, F.lit(1).alias(_HITS))
     return credited.filter(F.col("__domain").isNotNull())
 
 
+def rank_order() -> list[Column]:
+    return [F.col(REVENUE).desc_nulls_last(), F.col(S.DOMAIN).asc_nulls_first(), F.col(S.KEYWORD).asc_nulls_first()]
+
+
 def ranked(report: DataFrame, k: int | None = None) -> DataFrame:
     """Report by revenue descending (NULL last); ties by domain, then keyword.
 
     With ``k`` only the top ``k`` rows are kept (planned as a take-ordered
     top-k, no global sort).
     """
-    order = [F.col(REVENUE).desc_nulls_last(), F.col(S.DOMAIN).asc_nulls_first(), F.col(S.KEYWORD).asc_nulls_first()]
-    out = report.orderBy(*order)
+    out = report.orderBy(*rank_order())
     return out.limit(k) if k is not None else out
 
 

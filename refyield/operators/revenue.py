@@ -34,7 +34,7 @@ def attributed_purchases(
     keys = S.normalize_keys(keys)
     touch = S.first_touch(hits, keys, coupled=coupled, with_keys=not lookahead, strict=strict)
     buys = with_search_attributes(purchase_hits(hits), strict=strict)
-    joined = buys.select("*", *S.key_columns(keys)).join(touch, on=S.key_names(keys), how="inner")
+    joined = S.join_touch(buys.select("*", *S.key_columns(keys)), touch, keys, "inner")
     domain, keyword = S.credited(lookahead)
     out = joined.select(*buys.columns, domain.alias(S.SESSION_DOMAIN), keyword.alias(S.SESSION_KEYWORD))
     return out if lookahead else out.filter(F.col(S.SESSION_DOMAIN).isNotNull())

@@ -17,8 +17,13 @@ Plan: the first touch of each session is an aggregate over search hits only
 (a few percent of all hits), with map-side partial aggregation, so a hot
 session key (a proxy IP holding a third of all hits) is combined inside
 every map task before the shuffle. Session keys are made null-safe by
-grouping on ``(key IS NULL, coalesce(key, ''))``; grouping and joining on
-the same columns lets the join reuse the aggregate's hash partitioning.
+grouping on ``(key IS NULL, coalesce(key, ''))``. Forms that give every hit its
+credit join the hits to the touches on the key and a salt of the hit
+(``join_touch``), so that a hot session's hits are dealt over ``SALTS`` tasks; as
+both sides then come from shuffles of their own, adaptive execution can split
+them further. The touches (one row per searching session) are repeated once for
+each salt. ``min_by`` over strings is planned as a sort aggregate: the rows that
+reach it (search hits, and purchases in the fused report) are sorted by session.
 """
 
 from __future__ import annotations
@@ -40,6 +45,10 @@ SESSION_KEYWORD = "session_search_keyword"
 # NULL times sort first: coalesce them to the smallest long.
 _TIME_FLOOR = -(2**63)
 
+# Tasks that a session's hits are dealt over where every hit gets its credit.
+SALTS = 16
+_SALT = "__salt"
+
 _FIRST_DOMAIN = "__first_domain"
 _FIRST_KEYWORD = "__first_keyword"
 _DOMAIN_KEY = "__domain_key"
@@ -146,6 +155,18 @@ def credited(lookahead: bool, hit_key: str | None = None) -> tuple[Column, Colum
     )
 
 
+def join_touch(hits: DataFrame, touch: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Hits (with ``key_columns`` and a time) joined to their session's touch.
+
+    Salted by the hit's time, a hot session's hits meet copies of its touch in
+    several tasks.
+    """
+    salt = F.pmod(F.xxhash64(TIME), F.lit(SALTS)).cast("int")
+    copies = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+    on = [*key_names(keys), _SALT]
+    return hits.withColumn(_SALT, salt).join(touch.withColumn(_SALT, copies), on=on, how=how).drop(_SALT)
+
+
 def attribute(
     hits: DataFrame,
     keys: str | Sequence[str] = ("ip",),
@@ -157,15 +178,14 @@ def attribute(
     """Every hit plus its own ``search_domain``/``search_keyword`` and the
     session's ``session_search_domain`` / ``session_search_keyword``.
 
-    Join form: hits LEFT JOIN first touch on the null-safe session key. The
-    touch side has one row per searching session; AQE broadcasts it when its
-    measured size is under the broadcast threshold, else sort-merge with
-    skew splitting of a hot session on the hit side.
+    Join form: hits LEFT JOIN first touch on the null-safe session key and the
+    salt. The hits are read twice, once for the touches. The touch side is
+    broadcast when its measured size is under the broadcast threshold.
     """
     keys = normalize_keys(keys)
     touch = first_touch(hits, keys, coupled=coupled, with_keys=not lookahead, strict=strict)
     parsed = with_search_attributes(hits, strict=strict)
-    joined = parsed.select("*", *key_columns(keys)).join(touch, on=key_names(keys), how="left")
+    joined = join_touch(parsed.select("*", *key_columns(keys)), touch, keys, "left")
     domain, keyword = credited(lookahead)
     return joined.select(*parsed.columns, domain.alias(SESSION_DOMAIN), keyword.alias(SESSION_KEYWORD))
 
@@ -210,15 +230,13 @@ def session_pairs(
 ) -> DataFrame:
     """One row per session: its keys and attributed (domain, keyword), NULL if none.
 
-    Distinct sessions come from a hash aggregate over the key columns only;
-    only search hits go through the first-touch aggregate.
+    One aggregate over one scan: hits without a search drop out of ``min_by``.
     """
     keys = normalize_keys(keys)
     types = dict(hits.select(*keys).dtypes)
-    sessions = hits.select(*key_columns(keys)).distinct()
-    touch = first_touch(hits, keys, coupled=coupled, strict=strict)
-    joined = sessions.join(touch, on=key_names(keys), how="left")
-    return joined.select(
+    parsed = with_search_attributes(hits.select(*dict.fromkeys([*keys, TIME, "referrer"])), strict=strict)
+    sessions = parsed.select(*key_columns(keys), TIME, DOMAIN, KEYWORD).groupBy(*key_names(keys)).agg(*touch_aggregates(coupled=coupled))
+    return sessions.select(
         *restore_keys(keys, types),
         F.col(_FIRST_DOMAIN).alias(SESSION_DOMAIN),
         F.col(_FIRST_KEYWORD).alias(SESSION_KEYWORD),
@@ -226,7 +244,7 @@ def session_pairs(
 
 
 def session_lookup(attributed: DataFrame, **key_values) -> DataFrame:
-    """Hits of one session, e.g. ``session_lookup(df, ip="67.98.123.1")``."""
+    """Hits of one session, e.g. ``session_lookup(df, ip="10.1.2.3")``."""
     cond = F.lit(True)
     for k, v in key_values.items():
         cond = cond & F.col(k).eqNullSafe(F.lit(v))

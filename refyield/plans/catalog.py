@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from refyield.functions import urls
@@ -44,8 +44,10 @@ def ranked_report(spark, sf_dir):
     return R.ranked(keyword_revenue(spark, sf_dir))
 
 
-def top_keywords(spark, sf_dir, k: int = 10):
-    return R.ranked(keyword_revenue(spark, sf_dir), k)
+def top_keywords(spark, sf_dir, k: int = 5):
+    """The k best rows, with their rank (a window over those k alone)."""
+    best = R.ranked(keyword_revenue(spark, sf_dir), k)
+    return best.select(F.row_number().over(Window.orderBy(*R.rank_order())).alias("rank"), "*")
 
 
 def report_headings(spark, sf_dir):
@@ -76,6 +78,19 @@ def keyword_revenue_coupled_no_lookahead(spark, sf_dir):
     return R.keyword_revenue(_hits(spark, sf_dir), lookahead=False, coupled=True)
 
 
+def keyword_revenue_two_keys(spark, sf_dir):
+    return R.keyword_revenue(_hits(spark, sf_dir), ("ip", "user_agent"))
+
+
+def keyword_revenue_decimal(spark, sf_dir):
+    """Summed as exact decimals, shown as doubles."""
+    return R.keyword_revenue(_hits(spark, sf_dir), money="decimal").withColumn("revenue", F.col("revenue").cast("double"))
+
+
+def keyword_revenue_strict(spark, sf_dir):
+    return R.keyword_revenue(_hits(spark, sf_dir), strict=True)
+
+
 # -- URL functions ---------------------------------------------------------
 
 
@@ -143,7 +158,7 @@ def hit_revenue(spark, sf_dir):
 
 
 def purchase_count(spark, sf_dir):
-    return _attributed(spark, sf_dir).agg(F.count(F.lit(1)).alias("purchases"))
+    return R.attributed_purchase_count(_hits(spark, sf_dir))
 
 
 # -- source and sink round trips ---------------------------------------------
@@ -174,6 +189,9 @@ QUERIES: dict[str, Query] = {
     "keyword_revenue_no_lookahead": keyword_revenue_no_lookahead,
     "keyword_revenue_coupled": keyword_revenue_coupled,
     "keyword_revenue_coupled_no_lookahead": keyword_revenue_coupled_no_lookahead,
+    "keyword_revenue_two_keys": keyword_revenue_two_keys,
+    "keyword_revenue_decimal": keyword_revenue_decimal,
+    "keyword_revenue_strict": keyword_revenue_strict,
     "referrer_netloc": referrer_netloc,
     "referrer_host": referrer_host,
     "query_param": query_param,

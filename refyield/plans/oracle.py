@@ -8,6 +8,8 @@ The keyword parse here is the general list-based one; DuckDB's
 
 from __future__ import annotations
 
+from refyield.sources.events import INTERNAL_REFERRER, NO_REFERRER_K, REFERRER_BY_K
+
 # Fixed values shared with the Spark side (see refyield.functions.urls).
 _NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 _ENGINE = r"^(?:[^\[\]]*\.)?(google\.com|google\.co\.uk|google\.ca|bing\.com|msn\.com|yahoo\.com|ask\.com|aol\.com|duckduckgo\.com)$"
@@ -29,16 +31,19 @@ def _param(query: str, name: str) -> str:
     return _decode(f"regexp_extract({pick}, '^[^=]*=(.*)$', 1)")
 
 
+# The adapter's referrers (as values; the rules below are written anew).
+_REFERRERS = " ".join(f"WHEN {k} THEN '{url}'" for k, url in REFERRER_BY_K)
+
 HITS = f"""
 e AS (
   SELECT event_id, ts, user_id, event_type, value,
          TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k
   FROM events),
 hits AS (
-  SELECT event_id AS hit_time_gmt,
+  SELECT CASE WHEN event_id % 101 <> 0 THEN event_id - event_id % 2 END AS hit_time_gmt,
          strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_time,
-         CAST(NULL AS VARCHAR) AS user_agent,
-         '10.0.0.' || CAST(user_id AS VARCHAR) AS ip,
+         CASE WHEN event_id % 3 < 2 THEN 'agent ' || CAST(event_id % 3 AS VARCHAR) END AS user_agent,
+         CASE WHEN user_id % 50 <> 7 THEN '10.0.0.' || CAST(user_id AS VARCHAR) END AS ip,
          CASE event_type WHEN 'purchase' THEN CASE WHEN k % 2 = 0 THEN '1' ELSE '2, 1' END
               WHEN 'view' THEN '2' WHEN 'click' THEN '12' WHEN 'signup' THEN '11,10' END AS event_list,
          CAST(NULL AS VARCHAR) AS geo_city,
@@ -50,30 +55,33 @@ hits AS (
            'Cat;P' || CAST(k AS VARCHAR) || ';1;' || CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) || ';' ||
            CASE WHEN k % 5 = 0 THEN ',Cat;Q;2; 1.25 ;' WHEN k % 11 = 0 THEN ',bad;entry'
                 WHEN k % 13 = 0 THEN ',Cat;R;1;;' ELSE '' END END AS product_list,
-         CASE k WHEN 7 THEN 'http://www.google.com/search?hl=en&q=Ipod&aq=f'
-                WHEN 13 THEN 'http://www.bing.com/search?q=Zune&go='
-                WHEN 21 THEN 'http://search.yahoo.com/search?p=cd+player&toggle=1'
-                WHEN 34 THEN 'http://www.google.com/search?hl=en'
-                ELSE 'http://www.esshopzilla.com/cart/' END AS referrer
+         CASE k {_REFERRERS} WHEN {NO_REFERRER_K} THEN NULL ELSE '{INTERNAL_REFERRER}' END AS referrer
   FROM e)"""
 
-PARSED = f"""
-d AS (
-  SELECT *, NULLIF(regexp_extract(regexp_replace(lower(regexp_extract(referrer, '{_NETLOC}', 1)),
-                   '^[w.]+', ''), '{_ENGINE}', 1), '') AS search_domain
+def _parsed(host_prefix: str = r"^[w.]+") -> str:
+    return f"""
+c AS (
+  SELECT * EXCLUDE (referrer), referrer, regexp_replace(regexp_replace(referrer, '[\\t\\r\\n]', '', 'g'), '^[\\x01-\\x20]+', '') AS url
   FROM hits),
+d AS (
+  SELECT * EXCLUDE (url), url, NULLIF(regexp_extract(regexp_replace(lower(regexp_extract(url, '{_NETLOC}', 1)),
+                   '{host_prefix}', ''), '{_ENGINE}', 1), '') AS search_domain
+  FROM c),
 parsed AS (
-  SELECT *, CASE WHEN search_domain IS NOT NULL THEN
-           {_param(f"regexp_extract(referrer, '{_QUERY}', 1)",
+  SELECT * EXCLUDE (url), CASE WHEN search_domain IS NOT NULL THEN
+           {_param(f"regexp_extract(url, '{_QUERY}', 1)",
                    "CASE WHEN search_domain = 'yahoo.com' THEN 'p' ELSE 'q' END")} END AS search_keyword
   FROM d)"""
 
+
+PARSED = _parsed()
+
 _ORDER = "ORDER BY hit_time_gmt ASC NULLS FIRST, search_domain ASC NULLS FIRST, search_keyword ASC NULLS FIRST"
 
 
-def _attributed(lookahead: bool = True, coupled: bool = False) -> str:
+def _attributed(lookahead: bool = True, coupled: bool = False, keys: str = "ip", money: str = "DOUBLE") -> str:
     end = "UNBOUNDED FOLLOWING" if lookahead else "CURRENT ROW"
-    w = f"(PARTITION BY ip {_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})"
+    w = f"(PARTITION BY {keys} {_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})"
     if coupled:
         first = (
             "first_value(CASE WHEN search_domain IS NOT NULL THEN "
@@ -98,11 +106,11 @@ exploded AS (
 lines AS (
   SELECT * EXCLUDE (product_index), CAST(product_index AS INTEGER) AS product_index,
          CASE WHEN len(string_split(product_entry, ';')) > 3
-              THEN TRY_CAST(trim(string_split(product_entry, ';')[4]) AS DOUBLE) ELSE 0.0 END AS product_revenue
+              THEN TRY_CAST(trim(string_split(product_entry, ';')[4]) AS {money}) ELSE 0 END AS product_revenue
   FROM exploded),
 report AS (
   SELECT session_search_domain AS search_domain, session_search_keyword AS search_keyword,
-         ROUND(SUM(product_revenue), 2) AS revenue
+         ROUND(CAST(SUM(product_revenue) AS DOUBLE), 2) AS revenue
   FROM lines GROUP BY 1, 2)"""
 
 
@@ -120,7 +128,7 @@ _HEADINGS = 'search_domain AS "Search Engine Domain", search_keyword AS "Search
 ORACLE_SQL: dict[str, str] = {
     "keyword_revenue": FULL + "SELECT * FROM report",
     "ranked_report": FULL + f"SELECT * FROM report {_RANKED}",
-    "top_keywords": FULL + f"SELECT * FROM report {_RANKED} LIMIT 10",
+    "top_keywords": FULL + f"SELECT row_number() OVER ({_RANKED}) AS rank, * FROM report {_RANKED} LIMIT 5",
     "report_headings": FULL + f"SELECT {_HEADINGS} FROM report {_RANKED}",
     "total_revenue": FULL + "SELECT ROUND(SUM(revenue), 2) AS total_revenue, COUNT(*) AS keywords FROM report",
     "revenue_share": FULL
@@ -131,6 +139,9 @@ ORACLE_SQL: dict[str, str] = {
     "keyword_revenue_coupled": _with(HITS, PARSED, _attributed(coupled=True)) + "SELECT * FROM report",
     "keyword_revenue_coupled_no_lookahead": _with(HITS, PARSED, _attributed(lookahead=False, coupled=True))
     + "SELECT * FROM report",
+    "keyword_revenue_two_keys": _with(HITS, PARSED, _attributed(keys="ip, user_agent")) + "SELECT * FROM report",
+    "keyword_revenue_decimal": _with(HITS, PARSED, _attributed(money="DECIMAL(18,2)")) + "SELECT * FROM report",
+    "keyword_revenue_strict": _with(HITS, _parsed(r"^www\."), _attributed()) + "SELECT * FROM report",
     "referrer_netloc": f"SELECT page_id, {_PAGES_NETLOC} AS netloc FROM pages",
     "referrer_host": f"SELECT page_id, regexp_replace(lower({_PAGES_NETLOC}), '^[w.]+', '') AS host FROM pages",
     "query_param": "SELECT page_id, "
@@ -154,6 +165,6 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT ip, hit_time_gmt, session_search_domain, session_search_keyword, "
     + "ROUND(SUM(product_revenue), 2) AS hit_revenue FROM lines GROUP BY ALL",
     "purchase_count": FULL + "SELECT COUNT(*) AS purchases FROM purchases",
-    "hits_scan": _with(HITS) + "SELECT * FROM hits",
+    "hits_scan": _with(HITS) + "SELECT * EXCLUDE (referrer), NULLIF(referrer, '') AS referrer FROM hits",
     "report_write": FULL + f"SELECT {_HEADINGS} FROM report {_RANKED}",
 }

@@ -2,13 +2,15 @@
 
 The library never picks machine-local folders on a cluster: anything it
 writes for itself (round-trip scans, lineage cuts) goes below the folder the
-cluster names in ``spark.checkpoint.dir``. Only when that is unset (local
-runs, tests) do we create one and register it with the session.
+cluster names in ``spark.checkpoint.dir``. Only a local session (tests) may
+leave it unset.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -44,12 +46,20 @@ def get_spark(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; create a local one only if unset."""
+    """The session's shared checkpoint folder.
+
+    Where it is unset, a local session gets a temporary folder, removed when
+    Python ends; any other session must name one, as its executors do not
+    share the driver's disk.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="refyield-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
@@ -58,12 +68,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder (never reused between runs)."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/refyield-{name}-{uuid.uuid4().hex}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)

@@ -2,30 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refyield.sources.hits import HIT_COLUMNS
 
-_TSV = {"sep": "\t", "header": "true", "quote": '"', "escape": '"', "nullValue": ""}
+_TSV = {
+    "sep": "\t",
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+# URLs drop line breaks when they are parsed; other texts keep a blank for them.
+_URLS = ("page_url", "referrer")
 
 
 def write_hits(hits: DataFrame, path: str, *, mode: str = "overwrite") -> str:
-    """Write the ``HIT_SCHEMA`` columns in schema order, one part file per task."""
-    hits.select(*HIT_COLUMNS).write.mode(mode).options(**_TSV).csv(path)
+    """Write the ``HIT_SCHEMA`` columns in schema order, one part file per task.
+
+    Hit files hold one record a line, so that they stay splittable: line breaks
+    inside a value are written as a blank (in URLs: dropped).
+    """
+    columns = [
+        F.translate(c, "\r\n", "" if c in _URLS else "  ").alias(c) if dict(hits.dtypes)[c] == "string" else F.col(c)
+        for c in HIT_COLUMNS
+    ]
+    hits.select(*columns).write.mode(mode).options(**_TSV).csv(path)
     return path
 
 
-def write_hits_by_date(hits: DataFrame, path: str, *, mode: str = "overwrite") -> str:
+def utc_day(time: Column) -> Column:
+    """The UTC day of seconds since 1970, whatever the session's time zone."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(time / 86400).cast("int"))
+
+
+def write_hits_by_date(hits: DataFrame, path: str, *, mode: str = "overwrite", files_per_date: int = 8) -> str:
     """Write hits as Parquet partitioned by ``hit_date`` (UTC day of ``hit_time_gmt``).
 
     Readers that filter on ``hit_date`` then list and scan only those
-    partitions (see ``read_hits_parquet``). Only the dates present in
-    ``hits`` are replaced on overwrite.
+    partitions (see ``read_hits_parquet``); hits without a time go to the
+    null partition. Rows are dealt by date and a salt first, so that a date
+    gets at most ``files_per_date`` files and a big day is not one task's work.
+    Only the dates present in ``hits`` are replaced on overwrite.
     """
-    dated = hits.select(*HIT_COLUMNS, F.to_date(F.timestamp_seconds("hit_time_gmt")).alias("hit_date"))
+    dated = hits.select(*HIT_COLUMNS, utc_day(F.col("hit_time_gmt")).alias("hit_date"))
+    salt = F.pmod(F.xxhash64(*HIT_COLUMNS), F.lit(files_per_date))
     (
-        dated.write.mode(mode)
+        dated.repartition("hit_date", salt)
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("hit_date")
         .parquet(path)

@@ -18,6 +18,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from refyield.operators.report import HEADINGS, with_headings
 
+# Fixed value: the report's name after its date.
 REPORT_SUFFIX = "_SearchKeywordPerformance.tab"
 
 REPORT_SCHEMA = StructType(
@@ -28,7 +29,19 @@ REPORT_SCHEMA = StructType(
     ]
 )
 
-_TSV = {"sep": "\t", "header": "true", "quote": '"', "escape": '"', "nullValue": ""}
+_TSV = {
+    "sep": "\t",
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    # Spark's writer strips blanks at both ends unless told not to
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+_RANK = (HEADINGS[2][1], HEADINGS[0][1], HEADINGS[1][1])
 
 
 def default_run_date() -> str:
@@ -61,7 +74,8 @@ def write_report(
         path = report_path(out_dir, run_date)
         out = with_headings(report)
         if single_file:
-            out = out.coalesce(1)
+            # coalesce promises no order among the partitions it merges
+            out = out.coalesce(1).sortWithinPartitions(*[F.col(f"`{c}`").desc_nulls_last() if c == HEADINGS[2][1] else F.col(f"`{c}`").asc_nulls_first() for c in _RANK])
         out.write.mode(mode).options(**_TSV).csv(path)
         return path
     if fmt == "parquet":
@@ -77,8 +91,12 @@ def write_report(
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """Read a tab-separated report back, with its published headings."""
-    return spark.read.schema(REPORT_SCHEMA).options(**_TSV).csv(path)
+    """Read a tab-separated report back, with its published headings.
+
+    Keywords may hold line breaks, so records may span lines (``multiLine``: a
+    report file is read by one task).
+    """
+    return spark.read.schema(REPORT_SCHEMA).options(**_TSV, multiLine="true").csv(path)
 
 
 def read_report_plain(spark: SparkSession, path: str) -> DataFrame:

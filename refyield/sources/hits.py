@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+# The fields of the input format, in file order.
 HIT_SCHEMA = StructType(
     [
         StructField("hit_time_gmt", LongType(), True),
@@ -27,7 +28,7 @@ HIT_SCHEMA = StructType(
 
 HIT_COLUMNS: tuple[str, ...] = tuple(f.name for f in HIT_SCHEMA.fields)
 
-# The only columns the revenue report reads.
+# The only columns the revenue report reads.
 REQUIRED_COLUMNS: tuple[str, ...] = ("hit_time_gmt", "ip", "event_list", "product_list", "referrer")
 
 CORRUPT_COLUMN = "_corrupt_record"
@@ -37,7 +38,7 @@ def check_columns(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS) ->
     """Raise ``ValueError`` naming any required column the DataFrame lacks."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the hit table lacks {', '.join(missing)}")
     return df
 
 
@@ -57,7 +58,8 @@ def read_hits(
     ``strict=True`` makes Spark compare every file's header with the schema
     and fail on a mismatch instead of reading columns by position.
     ``keep_corrupt=True`` adds ``_corrupt_record`` holding the raw line of
-    rows that did not fit the schema (see ``split_corrupt``).
+    rows that did not fit the schema (see ``split_corrupt``); every field is
+    then parsed, whatever the plan selects, as a row is judged by them all.
     """
     schema = HIT_SCHEMA
     if keep_corrupt:
@@ -73,48 +75,28 @@ def read_hits(
         .option("enforceSchema", "false" if strict else "true")
     )
     if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("columnPruning", "false")
     return check_columns(reader.csv(path))
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split a ``keep_corrupt`` read into (well-formed hits, quarantined lines).
-
-    Both sides read every column: which rows Spark flags as malformed
-    depends on the columns a scan requests, and Spark refuses scans that
-    reference only the corrupt-record column.
-    """
+    """Split a ``keep_corrupt`` read into (well-formed hits, malformed rows)."""
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     good = df.filter(~bad).drop(CORRUPT_COLUMN)
     quarantine = df.filter(bad)
     return good, quarantine
 
 
-def read_hits_stream(spark: SparkSession, path: str, *, fmt: str = "tab", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Hits arriving as files in ``path`` (tab-separated text or Parquet) as a stream."""
-    reader = spark.readStream.schema(HIT_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if fmt == "parquet":
-        return reader.parquet(path)
-    return (
-        reader.option("sep", "\t")
-        .option("header", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "")
-        .csv(path)
-    )
-
-
-def read_hits_parquet(spark: SparkSession, path: str, *, dates: Iterable[str] | None = None) -> DataFrame:
+def read_hits_parquet(spark: SparkSession, path: str, *, dates: Iterable[str] | None = None, undated: bool = False) -> DataFrame:
     """Hits written by ``write_hits_by_date``; ``dates`` keeps only those days.
 
     The date filter is on the partition column, so Spark prunes partitions
     at planning time instead of reading and discarding rows. Sessions are
-    then cut at day boundaries (hits of other days are not seen).
+    then cut at day boundaries (hits of other days are not seen). Hits without
+    a time belong to no day: a dated read has them only with ``undated=True``.
     """
     df = spark.read.parquet(path)
     if dates is not None:
-        df = df.filter(F.col("hit_date").isin([F.lit(d).cast("date") for d in dates]))
+        chosen = F.col("hit_date").isin([F.lit(d).cast("date") for d in dates])
+        df = df.filter(chosen | F.col("hit_date").isNull() if undated else chosen)
     return check_columns(df)

@@ -9,73 +9,78 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from conftest import hit, make_hits
+from conftest import SAMPLE_REPORT, SHOP, hit, make_hits
 from refyield.operators import report as R
 from refyield.operators import revenue as V
 from refyield.operators import sessions as S
 
 GOOGLE_NO_KW = "http://www.google.com/search?hl=en"
 BING_ZUNE = "http://www.bing.com/search?q=Zune"
-SHOP = "http://www.esshopzilla.com/"
 
 
 def _report(df, **kw):
     return {(r.search_domain, r.search_keyword): r.revenue for r in R.keyword_revenue(df, **kw).collect()}
 
 
-def test_golden_report_and_order(sample):
+def test_sample_report_best_first(sample):
     rows = R.ranked(R.keyword_revenue(sample)).collect()
-    assert [(r.search_domain, r.search_keyword, r.revenue) for r in rows] == [
-        ("google.com", "Ipod", 290.0),
-        ("bing.com", "Zune", 250.0),
-        ("google.com", "ipod", 190.0),
-    ]
+    assert [(r.search_domain, r.search_keyword, r.revenue) for r in rows] == SAMPLE_REPORT
 
 
 def test_headings_totals_share_engines(sample):
     report = R.keyword_revenue(sample)
     assert R.with_headings(R.ranked(report)).columns == ["Search Engine Domain", "Search Keyword", "Revenue"]
     total = R.totals(report).first()
-    assert (total.total_revenue, total.keywords) == (730.0, 3)
+    assert (total.total_revenue, total.keywords) == (143.74, 3)
     shares = {r.search_keyword: r.share_pct for r in R.revenue_share(report).collect()}
-    assert shares == {"Ipod": 39.73, "Zune": 34.25, "ipod": 26.03}
+    assert shares == {"Lamp": 44.52, "garden hose": 41.57, "lamp": 13.91}
     counts = R.engine_count(sample).first()
-    assert (counts.engines, counts.search_hits) == (3, 4)
+    assert (counts.engines, counts.search_hits) == (4, 5)
 
 
 def test_top_k(sample):
     rows = R.ranked(R.keyword_revenue(sample), 2).collect()
-    assert [r.revenue for r in rows] == [290.0, 250.0]
+    assert [r.revenue for r in rows] == [64.0, 59.75]
 
 
-def test_only_purchases_pass(sample):
-    rows = V.attributed_purchases(sample).select("event_list").collect()
-    assert rows and all("1" in [e.strip() for e in r.event_list.split(",")] for r in rows)
+def test_attributed_purchases_of_the_sample(sample):
+    got = {(r.ip, r.hit_time_gmt, r.session_search_keyword) for r in V.attributed_purchases(sample).collect()}
+    assert got == {
+        ("10.20.0.4", 180, "garden hose"),
+        ("10.20.0.4", 450, "garden hose"),
+        ("172.18.9.30", 108, "Lamp"),
+        ("192.168.77.9", 720, "lamp"),
+    }
+    assert R.attributed_purchase_count(sample).first().purchases == 4
 
 
-def test_event_10_is_not_a_purchase(spark):
-    df = make_hits(spark, [hit(1, "1.1.1.1", "10", "a;b;1;5;", "http://www.google.com/?q=x")])
-    assert V.attributed_purchases(df).count() == 0
-    assert R.keyword_revenue(df).count() == 0
+@pytest.mark.parametrize("events,counts", [("1", True), (" 1 ,7", True), ("21,1", True), ("11", False), ("1x", False), ("0.1", False), ("", False), (None, False)])
+def test_which_event_lists_buy(spark, events, counts):
+    df = make_hits(spark, [hit(4, "h", events, "k;l;1;3;", "http://aol.com/?q=m")])
+    assert R.keyword_revenue(df).count() == V.attributed_purchases(df).count() == int(counts)
 
 
-def test_first_referrer_propagated(sample):
-    attributed = S.attribute(sample)
-    pairs = S.session_lookup(attributed, ip="67.98.123.1").select(S.SESSION_DOMAIN, S.SESSION_KEYWORD).distinct()
-    assert [tuple(r) for r in pairs.collect()] == [("google.com", "Ipod")]
-    per_session = {r.ip: (r.session_search_domain, r.session_search_keyword) for r in S.session_pairs(sample).collect()}
-    assert per_session == {
-        "67.98.123.1": ("google.com", "Ipod"),
-        "23.8.61.21": ("bing.com", "Zune"),
-        "44.12.96.2": ("google.com", "ipod"),
-        "112.33.98.231": ("yahoo.com", "cd player"),
+def test_sessions_of_the_sample(sample):
+    pairs = {r.ip: (r.session_search_domain, r.session_search_keyword) for r in S.session_pairs(sample).collect()}
+    assert pairs == {
+        "10.20.0.4": ("google.ca", "garden hose"),
+        "172.18.9.30": ("bing.com", "Lamp"),
+        "192.168.77.5": (None, None),
+        "192.168.77.9": ("bing.com", "lamp"),
+        "10.0.0.1": ("duckduckgo.com", "tea pot"),
+        "10.0.0.2": (None, None),
     }
+    credited = S.attribute(sample)
+    for ip, pair in pairs.items():
+        hits = S.session_lookup(credited, ip=ip).select(S.SESSION_DOMAIN, S.SESSION_KEYWORD)
+        assert {tuple(r) for r in hits.collect()} == {pair}
 
 
-def test_session_without_search_is_dropped(spark):
-    df = make_hits(spark, [hit(9999999999, "1.2.3.4", "1", "Electronics;Test;1;99;", SHOP)])
-    assert V.attributed_purchases(df).count() == 0
-    assert R.keyword_revenue(df).count() == 0
+def test_no_search_no_credit(spark):
+    rows = [hit(t, "quiet", "1", "k;l;1;12;", SHOP) for t in (3, None)]
+    df = make_hits(spark, rows)
+    assert V.attributed_purchases(df).isEmpty() and R.keyword_revenue(df).isEmpty()
+    assert R.attributed_purchase_count(df).first().purchases == 0
 
 
 def test_lookahead_decoupled_and_options(spark):
@@ -137,12 +142,28 @@ def test_composite_session_keys(spark):
 def test_observation_counts(sample):
     seen = Observation("t")
     R.keyword_revenue(sample, observation=seen).collect()
-    assert seen.get == {"attributed_sessions": 3, "attributed_purchases": 3}
+    assert seen.get == {"attributed_sessions": 3, "attributed_purchases": 4}
 
 
 def test_hit_revenue_and_product_lines(sample):
     per_hit = {(r.ip, r.hit_time_gmt): r.hit_revenue for r in V.hit_revenue(V.attributed_purchases(sample)).collect()}
-    assert per_hit == {("67.98.123.1", 2980): 290.0, ("23.8.61.21", 2386): 250.0, ("44.12.96.2", 2683): 190.0}
+    assert per_hit == {("10.20.0.4", 180): 49.75, ("10.20.0.4", 450): 10.0, ("172.18.9.30", 108): 64.0, ("192.168.77.9", 720): 19.99}
+
+
+def test_strict_rules_apart(spark):
+    rows = [hit(1, "a", "", "", "http://wask.com/?q=x"), hit(2, "a", "1", "k;l;1;5d;", SHOP)]
+    df = make_hits(spark, rows)
+    assert _report(df) == {("ask.com", "x"): 5.0}
+    assert _report(df, strict=True) == {}
+    assert _report(df, strict_revenue=True) == {("ask.com", "x"): None}
+    rows[0] = hit(1, "a", "", "", "http://ask.com/?q=x")
+    assert _report(make_hits(spark, rows), strict=True, strict_revenue=False) == {("ask.com", "x"): 5.0}
+
+
+def test_decimal_money_is_exact(spark):
+    rows = [hit(1, "a", "", "", "http://ask.com/?q=x")] + [hit(2 + i, "a", "1", "k;l;1;0.1;,k;l;1;;", SHOP) for i in range(30)]
+    got = R.keyword_revenue(make_hits(spark, rows), money="decimal").first()
+    assert str(got.revenue) == "3.00"
 
 
 # -- equivalence of the aggregate/join plan with the window definition ---------

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from refyield.operators import report as R
+from refyield.operators import revenue as V
 from refyield.operators import sessions as S
 
 
@@ -44,18 +48,85 @@ def test_referrer_parsed_once_per_row(spark, sample):
     assert optimized.count("//([^/?#") <= 3
 
 
-def test_join_reuses_aggregate_partitioning(spark, tmp_path, sample):
+def test_session_pairs_scan_and_shuffle_once(spark, tmp_path, sample):
     path = str(tmp_path / "hits.parquet")
     sample.write.parquet(path)
-    hits = spark.read.parquet(path)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = _plan(S.session_pairs(spark.read.parquet(path)))
+    assert plan.count("Scan parquet") == 1
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
+def test_credited_purchase_count_scans_once(spark, tmp_path, sample):
+    path = str(tmp_path / "hits.parquet")
+    sample.write.parquet(path)
+    plan = _plan(R.attributed_purchase_count(spark.read.parquet(path)))
+    assert plan.count("Scan parquet") == 1 and "Generate" not in plan
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """60,000 hits, two thirds of them of one session."""
+    path = str(tmp_path_factory.mktemp("skew") / "hits.parquet")
+    i = F.col("id")
+    rows = spark.range(60_000).select(
+        i.alias("hit_time_gmt"),
+        F.when(i % 3 < 2, "hot").otherwise(F.concat(F.lit("s"), (i % 500).cast("string"))).alias("ip"),
+        F.when(i % 2 == 0, "1").otherwise("2").alias("event_list"),
+        F.lit("a;b;1;1;").alias("product_list"),
+        F.when(i % 50 == 0, "http://google.com/?q=x").otherwise("http://shop.example/").alias("referrer"),
+    )
+    rows.write.parquet(path)
+    return path
+
+
+@pytest.mark.parametrize(
+    "form",
+    [
+        lambda hits: S.attribute(hits),
+        lambda hits: V.attributed_purchases(hits),
+        lambda hits: R.session_revenue(hits, lookahead=False),
+    ],
+    ids=["attribute", "attributed_purchases", "no_lookahead"],
+)
+def test_a_hot_session_is_dealt_over_tasks(spark, skewed, form):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = form(spark.read.parquet(skewed))
+        assert "SortMergeJoin" in _plan(df) or "ShuffledHashJoin" in _plan(df)
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 0.2 * sum(sizes)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_session_is_split_by_adaptive_execution(spark, skewed):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        plan = _plan(R.keyword_revenue(hits, lookahead=False))
-        # touch side: one shuffle by session; purchase side: one shuffle by
-        # session; report: one shuffle by (engine, keyword). No re-shuffle
-        # for the join's null-safe keys.
-        assert len(re.findall(r"Exchange hashpartitioning", plan)) == 3
-        pairs = _plan(S.session_pairs(hits))
-        assert len(re.findall(r"Exchange hashpartitioning", pairs)) == 2
+        df = S.attribute(spark.read.parquet(skewed))
+        rows = df.collect()
+        assert "skew=true" in _plan(df)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 60_000
+    searching = {r.ip for r in rows if r.search_domain}
+    assert all((r.session_search_domain == "google.com") == (r.ip in searching) for r in rows)
