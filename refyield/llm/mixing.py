@@ -28,12 +28,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from refyield.llm.common import table, text_or_empty
+from refyield.llm.common import staged, table, text_or_empty
 
 #: Fixed value of the contract: what a word is.
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 16
-SHARD_ROWS = 20_000
+SHARD_ROWS = 2_000
 MAX_REPEAT = 3
 SEED = "mix"
 
@@ -104,8 +104,8 @@ def hash_long(*parts: Column) -> Column:
 def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), block: int = BLOCK, shard_rows: int = SHARD_ROWS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """(doc_id, source, size) -> and source_size, target, taken.
 
-    ``docs`` is read twice: once for the sums by source and shard, once for the
-    stream of each shard.
+    ``docs`` is read three times, for the sums by source, by shard and for the
+    stream of each shard, so it should be a table rather than a count over texts.
     """
     doc_hash = hash_long(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     totals = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
@@ -149,7 +149,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), block: int = BLOCK,
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by the weights 1, 2, 3 (repeating) of their sources."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(text_or_empty()).alias("size"))
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(staged(docs, "mix-sizes")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def _apportion_sql(src: str, group: str, party: str, votes: str, seats: str) -> str:
