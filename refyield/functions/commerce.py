@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from refyield.functions._memo import memo_columns
 
-# Fixed value: code 1 standing alone in the list, blanks allowed around it.
-PURCHASE_EVENT_REGEX = r"(^|,)\s*1\s*(,|$)"
+# Fixed value: the event code of a purchase.
+PURCHASE_EVENT = "1"
+# Blanks that may stand around a code.
+_BLANKS = " \t\n\x0b\f\r"
 
 # A plain decimal number (strict revenue mode); rejects NaN, Infinity, 290d.
 _PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -26,8 +28,14 @@ def _col(c: Column | str) -> Column:
 
 @memo_columns
 def is_purchase(event_list: Column | str = "event_list") -> Column:
-    """True when event code 1 appears on its own (10, 11, ... do not count)."""
-    return _col(event_list).rlike(PURCHASE_EVENT_REGEX)
+    """True when event code 1 appears on its own (10, 11, ... do not count).
+
+    Byte searches instead of a regexp: most lists hold no ``1`` at all, and in
+    the others, without their blanks, the code stands between commas.
+    """
+    events = _col(event_list)
+    codes = F.concat(F.lit(","), F.translate(events, _BLANKS, ""), F.lit(","))
+    return events.contains(PURCHASE_EVENT) & codes.contains(f",{PURCHASE_EVENT},")
 
 
 @memo_columns

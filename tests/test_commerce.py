@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -19,6 +21,14 @@ def test_purchase_event_lists(spark):
     assert [bool(x) for x in got[len(passing):]] == [False] * len(failing)
 
 
+def test_purchase_event_lists_by_pattern(spark):
+    rnd = random.Random(3)
+    values = ["".join(rnd.choice("11,,, \t\n\x0b2x") for _ in range(rnd.randrange(8))) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "event_list string")
+    got = [r[0] for r in df.select(is_purchase("event_list")).collect()]
+    assert got == [bool(re.search(r"(^|,)[ \t\n\x0b\f\r]*1[ \t\n\x0b\f\r]*(,|\Z)", v)) for v in values]
+
+
 def _lines(spark, product_list, strict=False):
     df = spark.createDataFrame([(product_list,)], "product_list string")
     rows = product_lines(df, strict=strict).orderBy("product_index").collect()
