@@ -44,9 +44,7 @@ def dealt(pairs: DataFrame, group: str) -> DataFrame:
 def whole_groups(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of complete pairs of blocks, and where each begins."""
     held: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (b.slice(i, 2048) for b in batches for i in range(0, b.num_rows, 2048)):
         new = pa.Table.from_batches([batch])
         held = new if held is None else pa.concat_tables([held, new])
         starts = _starts(held, group)

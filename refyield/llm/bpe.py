@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import islice
 
 import numpy as np
@@ -34,32 +34,55 @@ NONE = np.iinfo(np.int64).max
 #: Tree sizes that are encoded many at a time, and rows a time.
 WIDTHS, ROWS = (8, 16, 32, 64), 8192
 #: Matches that a worker keeps, and characters of text that it takes at a time.
-KEPT, CHARS = 400_000, 1_000_000
+KEPT, CHARS = 200_000, 1_000_000
+
+
+def read_ranks(rank_file: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
+
+
+@lru_cache(2)
+def token_bytes(rank_file: bytes) -> list[bytes]:
+    """The bytes of each id."""
+    ranks = read_ranks(rank_file)
+    out = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
+def decoded(ids: bytes, tokens: list[bytes]) -> bytes:
+    """The bytes of little-endian 32-bit ids."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 class RankBPE:
-    """Encoder and decoder for one rank file and split pattern."""
+    """Encoder for one rank file and split pattern."""
 
     def __init__(self, rank_file: bytes, pattern: str):
         import regex
 
         self.split = regex.compile(pattern)
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
+        self.ranks = read_ranks(rank_file)
         self.base = max(self.ranks.values()) + 1
         self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        self.token = [b""] * self.base
-        pairs = {}
+        keys, ranks = [], []
         for t, r in self.ranks.items():
-            self.token[r] = t
             for i in range(1, len(t)):
                 a, b = self.ranks.get(t[:i]), self.ranks.get(t[i:])
                 if a is not None and b is not None:
-                    pairs[a * self.base + b] = r
-        self.pairs = pairs
-        self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()] or [0], dtype=np.int64)
+                    keys.append(a * self.base + b)
+                    ranks.append(r)
+        order = np.argsort(keys)
+        self.pair_keys = np.array(keys, dtype=np.int64)[order]
+        self.pair_ranks = np.array(ranks, dtype=np.int64)[order]
         self.seen: dict[str, bytes] = {}
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """Ranks by pair, for words that have a tree of their own."""
+        return dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True))
+
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.base + b
         at = np.searchsorted(self.pair_keys, key)
@@ -210,9 +233,6 @@ class RankBPE:
                 group, chars = [], 0
         return out + self.encode_matches(group)
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
 
 @lru_cache(2)
 def worker_bpe(rank_file: bytes, pattern: str) -> RankBPE:
@@ -237,17 +257,17 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text")
     return source.mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, rank_file: bytes, pattern: str, ids: str = "ids") -> DataFrame:
+def decode(encoded: DataFrame, rank_file: bytes, ids: str = "ids") -> DataFrame:
     """Add ``decoded``, the bytes of the column ``ids``."""
     source = encoded.select(*[c for c in encoded.columns if c != ids], ids)
     schema = source.select("*", F.lit(b"").cast("binary").alias("decoded")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_bpe(rank_file, pattern)
+        tokens = token_bytes(rank_file)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                back = [bpe.decode(x) for x in part.column(part.num_columns - 1).to_pylist()]
+                back = [decoded(x, tokens) for x in part.column(part.num_columns - 1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(back, pa.binary())], names=schema.names)
 
     return source.mapInArrow(run, schema)
@@ -264,8 +284,8 @@ def multi_rank_file() -> tuple[bytes, str]:
 
 def round_trip(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> doc_id, n_tokens and the digests of ids and decoded bytes."""
-    vocabulary = multi_rank_file()
-    both = decode(encode(docs.select("doc_id", "text"), *vocabulary), *vocabulary)
+    rank_file, pattern = multi_rank_file()
+    both = decode(encode(docs.select("doc_id", "text"), rank_file, pattern), rank_file)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

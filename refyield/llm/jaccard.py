@@ -84,7 +84,7 @@ def signatures(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, bytes] = {}
-        for batch in batches:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             out: tuple[list, list, list] = ([], [], [])
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key not in known:

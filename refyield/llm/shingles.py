@@ -14,7 +14,7 @@ import xxhash
 
 WORDS = 5
 #: Characters split at a time, words that a worker keeps, shingles hashed at a time.
-CHARS, KEPT, BLOCK = 1_000_000, 400_000, 1024
+CHARS, KEPT, BLOCK = 1_000_000, 200_000, 1024
 BLANK = re.compile(r"\s")
 _rng = np.random.default_rng(20_240_917)
 FACTORS = _rng.integers(0, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -43,7 +43,7 @@ STEPS, RATE, SEED = 300, 0.01, 9
 DROPOUT, KEEP_WORD, DECAY, FOLDS = 0.5, 0.9, 0.1, 4
 THRESHOLD = 0.7
 #: Words whose gates a worker keeps, and windows it scores at a time.
-KEPT, WINDOWS = 150_000, 1024
+KEPT, WINDOWS = 100_000, 1024
 
 
 def split_words(text: str) -> list[str]:
