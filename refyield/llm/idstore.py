@@ -158,30 +158,91 @@ def make_keys(ids: list[int | None]) -> np.ndarray:
 
 
 class WordEncoder(dict):
-    """Ids of texts by a tokenizer whose matches never hold white space: a text's
-    ids are those of its parts between blanks, and a worker keeps the parts' ids."""
+    """Ids of texts by a tokenizer whose matches never hold white space and whose
+    letters are lowered: a text's ids are those of its parts between blanks, a
+    closing point or comma after a Latin letter stands alone, and Latin parts are
+    looked up in lower case. A worker keeps the ids of the parts it has met lately
+    (two generations of about ``KEPT``)."""
 
-    KEPT = 300_000
+    KEPT = 700_000
 
     def __init__(self, tokenizer_json: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json.decode())
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.older: dict[str, bytes] = {}
+        self.end = self.plain([""], END_ID)[0]
+        self.marks = dict(zip(".,", self.plain([".", ","]), strict=True))
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def plain(self, parts: list[str], *more: int) -> list[bytes]:
+        """Ids by the library, with ``more`` after each part's."""
+        found = [[*e.ids, *more] for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        stops = np.cumsum([len(x) for x in found]) * self.width
+        flat = np.array([i for x in found for i in x], f"<u{self.width}").tobytes()
+        return [flat[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
+
+    def letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters, each of which is one match of the split:
+        many are given to the library in one line, and a word's ids end with the
+        first that closes a word."""
+        lines = [" ".join(words[i : i + 256]) for i in range(0, len(words), 256)]
+        encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.array([i for e in encoded for i in e.ids], f"<u{self.width}")
+        stops = (np.flatnonzero(self.closes[ids]) + 1) * self.width
+        if len(stops) != len(words):
+            return self.plain(words)
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
+
+    def learn(self, parts: set[str]) -> None:
+        older = self.older.get
+        letters: list[str] = []
+        others: list[str] = []
+        derived: list[tuple[str, str, str]] = []  # part, what it is without case and mark, mark
+        for part in parts:
+            ids = older(part)
+            if ids is not None:
+                self[part] = ids
+            elif part.isascii() or max(part) < "\u0100":
+                if part.islower() and part.isalpha():
+                    letters.append(part)
+                elif "<|" in part:
+                    others.append(part)
+                elif part[-1:] in (".", ",") and part[-2:-1].isalpha():
+                    derived.append((part, part[:-1].lower(), part[-1]))
+                else:
+                    derived.append((part, part.lower(), ""))
+            else:
+                others.append(part)
+        for core in {c for _, c, _ in derived if c not in self and c not in self.older} - set(letters):
+            (letters if core.isalpha() else others).append(core)
+        if letters:
+            self.update(zip(letters, self.letters(letters), strict=True))
+        if others:
+            self.update(zip(others, self.plain(others), strict=True))
+        for part, core, mark in derived:
+            ids = self.get(core) or older(core, b"")
+            self[part] = ids + self.marks[mark] if mark else ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        dtype = f"<u{self.width}"
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words if w not in self}
-        if len(self) + len(new) > self.KEPT:
+        if len(self) > self.KEPT:
+            self.older = dict(self)
             self.clear()
-            new = {w for words in split for w in words}
-        new = list(new)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, dtype).tobytes()
-        end = np.array([END_ID], dtype).tobytes()
-        get = self.__getitem__
-        return [b"".join(map(get, words)) + end for words in split]
+        found = [list(map(self.get, words)) for words in split]
+        gaps = []  # places of parts not met lately
+        for words, ids in zip(split, found, strict=True):
+            for _ in range(ids.count(None)):
+                i = ids.index(None, i + 1 if gaps and gaps[-1][0] is ids else 0)
+                gaps.append((ids, i, words[i]))
+        self.learn({word for _, _, word in gaps})
+        for ids, i, word in gaps:
+            ids[i] = self[word]
+        return [b"".join(ids) + self.end for ids in found]
 
 
 @lru_cache(2)
