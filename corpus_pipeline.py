@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refyield.llm.bpe import round_trip
-from refyield.llm.common import staged, table, text_or_empty
+from refyield.llm.common import one_of_each, row_keys, staged, table, text_or_empty
 from refyield.llm.jaccard import keep_one
 from refyield.llm.mixing import mix, word_count
 from refyield.llm.toxicity import THRESHOLD, fit_scorer, with_scores
@@ -38,13 +38,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rounded half up; a document that is not reached that often goes. A row without
     words has no share in the mix and goes too. Rows of one doc_id are told apart
     by text."""
-    key = F.md5(text_or_empty())
-    sized = staged(docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"), key.alias("key")), "mix-sizes")
-    taken = mix(sized).select("doc_id", "key", F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int").alias("times"))
-    copies = taken.filter("times > 0").groupBy(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).agg(F.sum("times").cast("int").alias("times"))
-    once = docs.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
-    chosen = once.join(copies, F.col("doc_id").eqNullSafe(F.col("_d")) & (key == F.col("_k")))
-    return chosen.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+    docs = docs.select(*COLUMNS)
+    keyed = docs.withColumns(row_keys())
+    sized = staged(keyed.select("doc_id", "source", word_count(text_or_empty()).alias("size"), "_d", "_k"), "mix-sizes")
+    times = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int")
+    copies = mix(sized).groupBy("_d", "_k").agg(F.sum(times).cast("int").alias("_times")).filter("_times > 0")
+    chosen = one_of_each(docs, COLUMNS).join(copies, ["_d", "_k"])
+    return chosen.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

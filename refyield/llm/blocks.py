@@ -1,7 +1,7 @@
 """Comparing all rows of a group in bounded tasks.
 
-A group is cut into blocks of rows; every pair of blocks is a task's work of its
-own, so that a group of any size is spread over the cluster and only the links
+A group is cut into blocks of rows; every pair of blocks is work of its own, so
+that a group of any size is spread over the cluster and only the links
 found (at most one a row and task) leave the workers, never the pairs.
 """
 
@@ -12,27 +12,29 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refyield.llm.common import staged
+
 
 def in_block_pairs(rows: DataFrame, group: str, order: str, block_rows: int, size: str | None = None, block_size: int = 1) -> DataFrame:
     """Rows of groups of two and more, once for each pair of blocks that their
     block is in: adds ``lo``, ``hi`` (the pair) and ``blk`` (the row's block).
 
-    A block has ``block_rows`` rows and ``block_size`` of ``size`` at most (or one
-    row).
+    A group has as many blocks as it holds multiples of ``block_rows`` rows, and of
+    ``block_size`` of ``size``; the hash of ``order`` deals its rows to them. The
+    groups' sizes are written first, so that no task needs to see a whole group and
+    adaptive execution can split a large one's rows in the join.
     """
-    w = Window.partitionBy(group)
-    sorted_ = w.orderBy(order)
-    block = F.floor((F.row_number().over(sorted_) - 1) / block_rows)
+    blocks = F.ceil(F.col("_n") / block_rows)
     if size:
-        block = block + F.floor(F.sum(size).over(sorted_.rowsBetween(Window.unboundedPreceding, 0)) / block_size)
-    numbered = rows.withColumns({"_n": F.count(F.lit(1)).over(w), "blk": block.cast("int")}).filter("_n > 1")
-    # all blocks of the group: from the first row's to the last row's
-    spans = numbered.withColumns({"_a": F.min("blk").over(w), "_z": F.max("blk").over(w)})
-    other = spans.withColumn("_o", F.explode(F.sequence("_a", "_z")))
-    return other.withColumns({"lo": F.least("blk", "_o"), "hi": F.greatest("blk", "_o")}).drop("_n", "_a", "_z", "_o")
+        blocks = F.greatest(blocks, F.ceil(F.col("_size") / block_size))
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.sum(size if size else F.lit(0)).alias("_size")).filter("_n > 1")
+    groups = staged(sizes.select(F.col(group).alias("_g"), blocks.cast("int").alias("_blocks")), "groups")
+    placed = rows.join(groups, F.col(group) == F.col("_g")).withColumn("blk", F.pmod(F.xxhash64(order), F.col("_blocks")).cast("int"))
+    other = placed.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return other.withColumns({"lo": F.least("blk", "_o").cast("int"), "hi": F.greatest("blk", "_o").cast("int")}).drop("_g", "_blocks", "_o")
 
 
 def dealt(pairs: DataFrame, group: str) -> DataFrame:

@@ -31,3 +31,15 @@ def partitions_for(df: DataFrame, bytes_each: int) -> int:
     least the session's shuffle partitions."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / bytes_each))
+
+
+def row_keys(text: str = "text") -> dict[str, Column]:
+    """Join-ready columns that tell documents apart: doc_id (null included) and
+    the md5 of the text."""
+    return {"_d": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "_k": F.md5(text_or_empty(text))}
+
+
+def one_of_each(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The documents' ``columns`` with ``row_keys``, repeated rows once."""
+    keyed = docs.select(*columns).withColumns(row_keys())
+    return keyed.groupBy("_d", "_k").agg(F.first(F.struct(*columns)).alias("_row")).select("_d", "_k", "_row.*")

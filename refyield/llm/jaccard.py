@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refyield.llm.blocks import columns, dealt, group_edges, in_block_pairs, row_pairs, whole_groups
-from refyield.llm.common import staged, table
+from refyield.llm.common import one_of_each, row_keys, staged, table
 from refyield.llm.components import components
 from refyield.llm.shingles import MinHash, folded, shingle_set
 
@@ -126,11 +126,13 @@ def candidate_edges(signs: DataFrame, needed: dict[int, int]) -> DataFrame:
     return dealt(members, "bucket").mapInArrow(run, "a binary, b binary")
 
 
-def verified_links(members: DataFrame, threshold: float, needed: dict[int, int]) -> DataFrame:
-    """(root, key, sign, n_chars, copies, text) of clusters -> (key, peer, links):
-    for each pair of blocks, the copies that a text links with and a text of its
-    component there."""
-    pairs = in_block_pairs(members, "root", "key", CLUSTER_BLOCK, "n_chars", CLUSTER_CHARS)
+def verified_links(members: DataFrame, texts: DataFrame, threshold: float, needed: dict[int, int]) -> DataFrame:
+    """(root, key, sign, n_chars, copies) of clusters and (key, text) -> (key, peer,
+    links): for each pair of blocks, the copies that a text links with and a text
+    of its component there."""
+    narrow = in_block_pairs(members.select("root", "key", "n_chars"), "root", "key", CLUSTER_BLOCK, "n_chars", CLUSTER_CHARS)
+    whole = members.select("key", "sign", "copies").join(texts, "key")
+    pairs = narrow.drop("n_chars").join(whole, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, starts in whole_groups(batches, "root"):
@@ -195,13 +197,13 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     signs = staged(signatures(texts), "jaccard-signs")
     clusters = components(candidate_edges(signs, needed))
     members = clusters.select(F.col("node").alias("key"), "root").join(signs, "key").join(classes.select("key", "copies"), "key")
-    whole = texts.groupBy("key").agg(F.first("text").alias("text"))
-    links = staged(verified_links(members.join(whole, "key"), threshold, needed), "jaccard-links")
+    once = texts.groupBy("key").agg(F.first("text").alias("text"))
+    links = staged(verified_links(staged(members, "jaccard-clusters"), once, threshold, needed), "jaccard-links")
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
     groups = components(links.select(F.col("key").alias("a"), F.col("peer").alias("b")))
     member = classes.join(groups.withColumnRenamed("node", "key"), "key", "left").join(counts, "key", "left")
     member = staged(member.withColumn("root", F.coalesce("root", "key")), "jaccard-members")
-    firsts = member.groupBy("root").agg(F.min(F.struct("rep", "key")).alias("first"))
+    firsts = staged(member.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "key")).alias("first")), "jaccard-firsts")
     table_ = staged(
         member.join(firsts, "root").select("key", "first", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links")),
         "jaccard-table",
@@ -219,10 +221,10 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, one of each class (its first by doc_id); of repeated rows
     one stays. Null texts stay."""
-    kept = jaccard_classes(docs).filter("kept AND key IS NOT NULL").select(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct()
-    once = docs.filter("text IS NOT NULL").dropDuplicates(["doc_id", "text"])
-    chosen = once.join(kept, F.col("doc_id").eqNullSafe(F.col("_d")) & (text_key() == F.col("_k")), "left_semi")
-    return chosen.unionByName(docs.filter("text IS NULL"))
+    kept = jaccard_classes(docs).filter("kept AND key IS NOT NULL")
+    kept = kept.select(row_keys()["_d"].alias("_d"), F.lower(F.hex("key")).alias("_k")).distinct()
+    chosen = one_of_each(docs.filter("text IS NOT NULL"), docs.columns).join(kept, ["_d", "_k"], "left_semi")
+    return chosen.select(*docs.columns).unionByName(docs.filter("text IS NULL"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -188,7 +188,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embe
     counts = verified(members, "root", whole, threshold).groupBy("key").agg(F.sum("links").alias("links"))
     known = classes.select("key", "rep", "copies").join(members, "key", "left").join(counts, "key", "left").withColumn("root", F.coalesce("root", "key"))
     known = staged(known, "vectors-known")
-    least = known.groupBy("root").agg(F.min("rep").alias("least"))
+    least = staged(known.groupBy("root").agg(F.min("rep").alias("least")), "vectors-least")
     facts = staged(known.join(least, "root").select("key", "least", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("links")), "vectors-facts")
     linked = rows.select("id", "key").join(facts, "key").select("id", "links", "least")
     rest = _plain(vectors, id_col, vector, label).filter(f"NOT coalesce({MAY_LINK}, false)")

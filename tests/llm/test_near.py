@@ -52,6 +52,10 @@ def test_blocks_meet_every_pair_once(spark):
     for r in pairs:
         work[r.g, r.lo, r.hi].append((r.blk, r.k))
     met = []
+    sizes = defaultdict(int)
+    for r in pairs:
+        sizes[r.g, r.blk] += r.lo == r.hi
+    assert max(sizes.values()) <= 12 and len([k for k in sizes if k[0] == "c"]) == 5
     for (g, lo, hi), members in work.items():
         members.sort()
         for left, right in blocks.row_pairs(np.zeros(1, np.int64), *(np.array(x) for x in ([b for b, _ in members], [lo] * len(members), [hi] * len(members))), most=7):
@@ -181,6 +185,14 @@ def test_jaccard_classes_equal_brute_force(spark, monkeypatch):
     assert all(r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def test_a_null_id_is_not_the_least(spark):
+    rng = random.Random(5)
+    base = words(rng, 100)
+    rows = [(None, base), (9, base + " x"), (8, base + " x y")]
+    got = jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.class_id, r.n_links, r.kept) for r in got) == [("8", 8, 2, True), ("9", 8, 2, False), ("None", 8, 2, False)]
+
+
 def test_jaccard_query_on_odd_rows(spark, odd, empty):
     folder, rows = odd
     got = jaccard.op10_jaccard_join(spark, folder).collect()
