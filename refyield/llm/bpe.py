@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refyield.llm.common import table, text_or_empty
+from refyield.llm.common import map_arrow, table, text_or_empty
 
 NONE = np.iinfo(np.int64).max
 #: Tree sizes that are encoded many at a time, and rows a time.
@@ -254,7 +254,7 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text")
                 ids = bpe.encode_texts(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary())], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def decode(encoded: DataFrame, rank_file: bytes, ids: str = "ids") -> DataFrame:
@@ -270,7 +270,7 @@ def decode(encoded: DataFrame, rank_file: bytes, ids: str = "ids") -> DataFrame:
                 back = [decoded(x, tokens) for x in part.column(part.num_columns - 1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(back, pa.binary())], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def multi_rank_file() -> tuple[bytes, str]:

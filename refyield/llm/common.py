@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import math
-
+import uuid
+import weakref
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
+
+from pyarrow import fs
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +30,54 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow_files(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path, for pyarrow, of a folder as Spark names it."""
+    if "://" not in folder:
+        folder = "file://" + folder.removeprefix("file:")
+    return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+
+
+def put(folder: str, name: str, data: list[bytes]) -> None:
+    """Write a file of the shared folder whole, then move it into place."""
+    files, root = arrow_files(folder)
+    part = f"{root}/.{name}.{uuid.uuid4().hex}"
+    with files.open_output_stream(part) as out:
+        for d in data:
+            out.write(d)
+    files.move(part, f"{root}/{name}")
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
+_shipped: weakref.WeakSet[SparkContext] = weakref.WeakSet()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once a context, as
+    ``--py-files`` would: workers need not find it on a path of their own."""
+    if spark.sparkContext in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    folder = scratch_path(spark, "package")
+    make_folder(spark, folder)
+    put(folder, "refyield.zip", [packed.getvalue()])
+    spark.sparkContext.addPyFile(f"{folder}/refyield.zip")
+    _shipped.add(spark.sparkContext)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

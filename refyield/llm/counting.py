@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refyield.llm.common import table, text_or_empty
+from refyield.llm.common import map_arrow, table, text_or_empty
 
 LIMIT = 1024
 #: Characters in a chunk of the scan, characters taken at a time, matches and
@@ -324,7 +324,7 @@ def token_counts(docs: DataFrame, tokenizer_json: bytes, text: str = "text", out
                 counts = counter.count_texts(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(counts, pa.int64())], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from refyield.llm.common import partitions_for, staged, table, text_or_empty
+from refyield.llm.common import map_arrow, partitions_for, staged, table, text_or_empty
 from refyield.llm.shingles import MinHash, folded, shingle_set
 
 PERMUTATIONS, SEED = 64, 8
 BANDS, THRESHOLD = 16, 0.8
-RANGE_BYTES = 256 << 20
+RANGE_BYTES = 1 << 30
 HASHER = MinHash(PERMUTATIONS, SEED)
 
 
@@ -108,7 +108,7 @@ def fingerprint_chain(docs: DataFrame) -> DataFrame:
         if held is not None:
             yield _batch([(held[0], None, None, held[2].tobytes(), None, None, None, part, first, held[1])], schema)
 
-    rows = staged(ranged.mapInArrow(run, f"{CHAIN}, part int, first_text string, waiting_text string"), "fingerprints")
+    rows = staged(map_arrow(ranged, run, f"{CHAIN}, part int, first_text string, waiting_text string"), "fingerprints")
     done = rows.filter("waiting_text IS NULL").select(*[n for n, _ in _ROW])
     ends = rows.filter("waiting_text IS NOT NULL").select("part", "doc_id", "waiting_text")
     starts = rows.filter("first_text IS NOT NULL").select(F.col("part").alias("next_part"), F.col("first_text").alias("next_text"))
@@ -123,7 +123,7 @@ def fingerprint_chain(docs: DataFrame) -> DataFrame:
             out = [_finish(k, t, signature(t), n, signature(n)) for k, t, n in rows]
             yield _batch(out, pa.schema(_ROW))
 
-    return done.unionByName(pairs.mapInArrow(last, CHAIN))
+    return done.unionByName(map_arrow(pairs, last, CHAIN))
 
 
 def near_representatives(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS) -> DataFrame:
@@ -140,7 +140,7 @@ def near_representatives(docs: DataFrame, threshold: float = THRESHOLD, bands: i
             split = [(k, i, s[i * width : (i + 1) * width]) for k, _, s in rows for i in range(bands)]
             yield _batch(split, pa.schema([("doc_id", pa.int64()), ("band", pa.int32()), ("value", pa.binary())]))
 
-    signed = texts.mapInArrow(sign, "doc_id long, band int, value binary")
+    signed = map_arrow(texts, sign, "doc_id long, band int, value binary")
     bucket = Window.partitionBy("band", "value")
     pairs = signed.withColumn("near_id", F.min("doc_id").over(bucket)).filter("near_id < doc_id").select("doc_id", "near_id").distinct()
     left = texts.select(F.col("doc_id").alias("_l"), F.col("text").alias("_lt"))
@@ -158,7 +158,7 @@ def near_representatives(docs: DataFrame, threshold: float = THRESHOLD, bands: i
                     out.append((a, b, j))
             yield _batch(out, pa.schema([("doc_id", pa.int64()), ("near_id", pa.int64()), ("jaccard", pa.float64())]))
 
-    return both.mapInArrow(verify, "doc_id long, near_id long, jaccard double")
+    return map_arrow(both, verify, "doc_id long, near_id long, jaccard double")
 
 
 def op8_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,22 +27,20 @@ others of one key are dealt over ranges.
 from __future__ import annotations
 
 import struct
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from refyield.llm.common import partitions_for, staged, table, text_or_empty
+from refyield.llm.common import arrow_files, make_folder, map_arrow, partitions_for, put, staged, table, text_or_empty
 from refyield.session import scratch_path
 
 END_ID = 2
 #: Bytes of ids and documents in a file at most, bytes of input in a range.
-FILE_BYTES, FILE_DOCS, RANGE_BYTES = 32 << 20, 500_000, 256 << 20
+FILE_BYTES, FILE_DOCS, RANGE_BYTES = 32 << 20, 500_000, 1 << 30
 GAMMA = 1.5
 MAGIC = b"idstore1"
 HEADER = struct.Struct("<8sIIQQI")
@@ -254,22 +252,10 @@ def worker_encoder(tokenizer_json: bytes) -> WordEncoder:
     return WordEncoder(tokenizer_json)
 
 
-def put(folder: str, name: str, data: list[bytes]) -> None:
-    """Write a file of the shared folder whole, then move it into place."""
-    files, root = fs.FileSystem.from_uri(folder)
-    part = f"{root}/.{name}.{uuid.uuid4().hex}"
-    with files.open_output_stream(part) as out:
-        for d in data:
-            out.write(d)
-    files.move(part, f"{root}/{name}")
-
-
 def write_ids(docs: DataFrame, tokenizer_json: bytes, folder: str) -> DataFrame:
     """(doc_id, text) -> the files in ``folder``, and the table of them: part,
     name, n_docs, n_ids, first_id (the ids in the files before)."""
-    spark = docs.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    make_folder(docs.sparkSession, folder)
     ranged = (
         docs.select("doc_id", text_or_empty().alias("text"))
         .withColumn("_h", F.xxhash64("text"))
@@ -310,7 +296,7 @@ def write_ids(docs: DataFrame, tokenizer_json: bytes, folder: str) -> DataFrame:
         if ids:
             yield flush()
 
-    files = staged(ranged.mapInArrow(run, "part int, name string, n_docs long, n_ids long"), "ids-files")
+    files = staged(map_arrow(ranged, run, "part int, name string, n_docs long, n_ids long"), "ids-files")
     before = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
@@ -323,7 +309,7 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = arrow_files(folder)
         for batch in batches:
             for name, first in zip(batch.column("name").to_pylist(), batch.column("first_id").to_pylist(), strict=True):
                 with store.open_input_stream(f"{root}/{name}.idx") as f:
@@ -344,7 +330,7 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32", "file", "file_offset"])
 
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, file string, file_offset long")
+    return map_arrow(spread, run, "doc_id long, start long, n_tokens long, ids_crc32 long, file string, file_offset long")
 
 
 def op3_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,6 +340,4 @@ def op3_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
         tokenizer = f.read()  # about 2 MB, sent with the tasks
     folder = scratch_path(spark, "ids")
-    if "://" not in folder:
-        folder = folder if folder.startswith("file:") else f"file://{folder}"
     return read_documents(write_ids(table(spark, sf_dir, "documents"), tokenizer, folder), folder)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refyield.llm.blocks import columns, dealt, group_edges, in_block_pairs, row_pairs, whole_groups
-from refyield.llm.common import one_of_each, row_keys, staged, table
+from refyield.llm.common import map_arrow, one_of_each, row_keys, staged, table
 from refyield.llm.components import components
 from refyield.llm.shingles import MinHash, folded, shingle_set
 
@@ -98,7 +98,7 @@ def signatures(texts: DataFrame) -> DataFrame:
                         out[2].append(len(text))
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64())], names=["key", "sign", "n_chars"])
 
-    signed = texts.select("key", "text").mapInArrow(run, "key binary, sign binary, n_chars long")
+    signed = map_arrow(texts.select("key", "text"), run, "key binary, sign binary, n_chars long")
     return signed.groupBy("key").agg(F.first("sign").alias("sign"), F.first("n_chars").alias("n_chars"))
 
 
@@ -123,7 +123,7 @@ def candidate_edges(signs: DataFrame, needed: dict[int, int]) -> DataFrame:
                     a, b = group_edges(keys, left[alive], right[alive])
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    return dealt(members, "bucket").mapInArrow(run, "a binary, b binary")
+    return map_arrow(dealt(members, "bucket"), run, "a binary, b binary")
 
 
 def verified_links(members: DataFrame, texts: DataFrame, threshold: float, needed: dict[int, int]) -> DataFrame:
@@ -159,7 +159,7 @@ def verified_links(members: DataFrame, texts: DataFrame, threshold: float, neede
                 k, p, n = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(k, pa.binary()), pa.array(p, pa.binary()), pa.array(n, pa.int64())], names=["key", "peer", "links"])
 
-    return dealt(pairs, "root").mapInArrow(run, "key binary, peer binary, links long")
+    return map_arrow(dealt(pairs, "root"), run, "key binary, peer binary, links long")
 
 
 class SetTable:

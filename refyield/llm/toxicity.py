@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refyield.llm.common import table, text_or_empty
+from refyield.llm.common import map_arrow, table, text_or_empty
 from refyield.llm.shingles import _pieces
 
 WINDOW, STRIDE, PIECE = 32, 16, 32
@@ -365,7 +365,7 @@ def with_scores(docs: DataFrame, scorer: Scorer | None, text: str = "text", out:
                 scores = own.scores(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(scores, pa.float64())], names=[*others, out])
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refyield.llm.blocks import columns, dealt, group_edges, in_block_pairs, whole_groups
-from refyield.llm.common import staged, table
+from refyield.llm.common import map_arrow, staged, table
 from refyield.llm.components import components
 
 THRESHOLD = 0.98
@@ -125,7 +125,7 @@ def hashed(vectors: DataFrame, id_col: str, vector: str, label: str, hasher: typ
                     names=["id", "label", "key", "unit", "codes"],
                 )
 
-    return source.mapInArrow(run, "id long, label long, key binary, unit binary, codes array<long>")
+    return map_arrow(source, run, "id long, label long, key binary, unit binary, codes array<long>")
 
 
 def _linked(t: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +173,7 @@ def verified(members: DataFrame, group: str, whole: DataFrame, threshold: float)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64())], names=["key", "peer", "links"])
 
-    return dealt(pairs, group).mapInArrow(run, "key binary, peer binary, links long")
+    return map_arrow(dealt(pairs, group), run, "key binary, peer binary, links long")
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD, hasher: type = CrossPolytope) -> DataFrame:
