@@ -47,9 +47,9 @@ def put(folder: str, name: str, data: list[bytes]) -> None:
     files.move(part, f"{root}/{name}")
 
 
-def make_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+def make_folder(folder: str) -> None:
+    files, root = arrow_files(folder)
+    files.create_dir(root, recursive=True)
 
 
 _shipped: weakref.WeakSet[SparkContext] = weakref.WeakSet()
@@ -66,7 +66,7 @@ def ship_package(spark: SparkSession) -> None:
         for file in sorted(root.rglob("*.py")):
             z.write(file, file.relative_to(root.parent))
     folder = scratch_path(spark, "package")
-    make_folder(spark, folder)
+    make_folder(folder)
     put(folder, "refyield.zip", [packed.getvalue()])
     spark.sparkContext.addPyFile(f"{folder}/refyield.zip")
     _shipped.add(spark.sparkContext)

@@ -146,15 +146,14 @@ class MergeTransducer:
         shown |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
         self.byte_of = {c: b for b, c in shown.items()}
         as_bytes = lambda s: bytes(self.byte_of[c] for c in s)
-        self.merges = {}
-        for rank, m in enumerate(model["merges"]):
-            a, b = m if isinstance(m, list) else m.split(" ")
-            self.merges[as_bytes(a), as_bytes(b)] = rank
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.merges = {(as_bytes(a), as_bytes(b)): rank for rank, (a, b) in enumerate(pairs)}
         self.follows: dict[tuple[bytes | None, bytes], bool] = {}
         self.child: dict[int, int] = {}
         self.token: list[bytes | None] = [None]
         self.inner = [True]
-        for t in map(as_bytes, model["vocab"].keys() & {c for c in shown.values()} | {a + b for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"])}):
+        reachable = {bytes([b]) for b in range(256)} | {a + b for a, b in self.merges}
+        for t in reachable:
             node = 0
             for b in t:
                 self.inner[node] = True

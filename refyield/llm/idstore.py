@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -255,7 +256,7 @@ def worker_encoder(tokenizer_json: bytes) -> WordEncoder:
 def write_ids(docs: DataFrame, tokenizer_json: bytes, folder: str) -> DataFrame:
     """(doc_id, text) -> the files in ``folder``, and the table of them: part,
     name, n_docs, n_ids, first_id (the ids in the files before)."""
-    make_folder(docs.sparkSession, folder)
+    make_folder(folder)
     ranged = (
         docs.select("doc_id", text_or_empty().alias("text"))
         .withColumn("_h", F.xxhash64("text"))
@@ -301,6 +302,16 @@ def write_ids(docs: DataFrame, tokenizer_json: bytes, folder: str) -> DataFrame:
     return files.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
+@contextmanager
+def open_ids(folder: str, name: str) -> Iterator[IdFile]:
+    """A file pair of the shared folder, open for access by key."""
+    store, root = arrow_files(folder)
+    with store.open_input_stream(f"{root}/{name}.idx") as f:
+        index = f.read()
+    with store.open_input_file(f"{root}/{name}.ids") as payload:
+        yield IdFile(index, payload)
+
+
 def read_documents(files: DataFrame, folder: str) -> DataFrame:
     """Every document of the files, found by its key: doc_id, start, n_tokens,
     ids_crc32 (of 32-bit ids), file name and the offset in it."""
@@ -309,13 +320,9 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        store, root = arrow_files(folder)
         for batch in batches:
             for name, first in zip(batch.column("name").to_pylist(), batch.column("first_id").to_pylist(), strict=True):
-                with store.open_input_stream(f"{root}/{name}.idx") as f:
-                    index = f.read()
-                with store.open_input_file(f"{root}/{name}.ids") as payload:
-                    file = IdFile(index, payload)
+                with open_ids(folder, name) as file:
                     offsets, lengths = file.find(file.keys)
                     if (offsets < 0).any():
                         raise ValueError(f"{name}: a key of the file is not in its index")

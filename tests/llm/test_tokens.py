@@ -144,6 +144,22 @@ def test_perfect_hash_and_absent_keys(tmp_path):
     assert (none.find(absent)[0] == -1).all()
 
 
+def test_one_document_by_key(spark, odd, tmp_path):
+    with open(P.path("word_bpe_49k.json"), "rb") as f:
+        tokenizer = f.read()
+    folder = f"file://{tmp_path}/ids"
+    files = idstore.write_ids(spark.read.parquet(f"{odd[0]}/documents.parquet"), tokenizer, folder).collect()
+    want = dict(zip([d for d, *_ in odd[1]], brute_id_rows([t for _, t, *_ in odd[1]]), strict=True))
+    found = {}
+    for f in files:
+        with idstore.open_ids(folder, f.name) as ids:
+            for key in (8, 10, 123, None, 99_999):
+                offset, length = (x.tolist()[0] for x in ids.find(idstore.make_keys([key])))
+                if offset >= 0:
+                    found[key] = ids.read(offset, length).tolist()
+    assert found == {k: want[k] for k in (8, 10, 123, None)}
+
+
 def test_files_are_the_same_when_a_task_runs_again(tmp_path):
     folder = f"file://{tmp_path}"
     for _ in range(2):

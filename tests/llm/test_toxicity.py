@@ -119,6 +119,16 @@ def test_empty_and_unlabelled(spark, empty, write_tables):
     assert [(r.score, r.predicted) for r in T.op9_toxicity(spark, folder).collect()] == [(0.0, 0)] * 2
 
 
+def test_two_labels_are_enough_to_run(spark, write_tables):
+    ids = [i for i in range(50) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    docs = [doc(ids[0], "a calm text"), doc(ids[1], "vile"), doc(77, ""), doc(78, "vile text")]
+    labels = spark.createDataFrame([(ids[0], 1, 0), (ids[1], 1, 1), (12345, 1, 1)], "doc_id long, quality int, toxic int")
+    folder = write_tables(documents=spark.createDataFrame(docs, DOCS), labels=labels)
+    got = {r.doc_id: r.score for r in T.op9_toxicity(spark, folder).collect()}
+    assert set(got) == {*ids, 77, 78} and all(0 <= s <= 1 for s in got.values())
+    assert got[ids[1]] > got[ids[0]]
+
+
 def test_a_text_scores_alike_in_any_company(monkeypatch):
     rng = random.Random(1)
     net = T.GatedPair(seed=1)
