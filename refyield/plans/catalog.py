@@ -19,10 +19,10 @@ from refyield.operators import revenue as V
 from refyield.operators import sessions as S
 from refyield.operators.search import with_search_attributes
 from refyield.session import scratch_path
-from refyield.sinks.hits import write_hits
+from refyield.sinks.hits import write_hits, write_hits_by_date
 from refyield.sinks.report import read_report, write_report
 from refyield.sources.events import hits_from_events, pages
-from refyield.sources.hits import read_hits
+from refyield.sources.hits import read_hits, read_hits_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,6 +178,25 @@ def report_write(spark, sf_dir):
     return read_report(spark, path)
 
 
+def report_parquet(spark, sf_dir):
+    """Ranked report written as a dated Parquet partition, read back."""
+    out_dir = scratch_path(spark, "report-parquet")
+    write_report(ranked_report(spark, sf_dir), out_dir, run_date="2009-09-27", fmt="parquet")
+    return spark.read.parquet(out_dir).withColumn("run_date", F.col("run_date").cast("string"))
+
+
+def hits_by_date(spark, sf_dir):
+    """Hits written by their UTC day (those without a time apart), read back."""
+    path = write_hits_by_date(_hits(spark, sf_dir), scratch_path(spark, "hits-by-date"))
+    return read_hits_parquet(spark, path).withColumn("hit_date", F.col("hit_date").cast("string"))
+
+
+def hits_scan_strict(spark, sf_dir):
+    """The text scan with every file's header checked against the schema."""
+    path = write_hits(_hits(spark, sf_dir), scratch_path(spark, "hits-tsv"))
+    return read_hits(spark, path, strict=True)
+
+
 QUERIES: dict[str, Query] = {
     "keyword_revenue": keyword_revenue,
     "ranked_report": ranked_report,
@@ -207,4 +226,7 @@ QUERIES: dict[str, Query] = {
     "purchase_count": purchase_count,
     "hits_scan": hits_scan,
     "report_write": report_write,
+    "report_parquet": report_parquet,
+    "hits_by_date": hits_by_date,
+    "hits_scan_strict": hits_scan_strict,
 }

@@ -166,5 +166,9 @@ ORACLE_SQL: dict[str, str] = {
     + "ROUND(SUM(product_revenue), 2) AS hit_revenue FROM lines GROUP BY ALL",
     "purchase_count": FULL + "SELECT COUNT(*) AS purchases FROM purchases",
     "hits_scan": _with(HITS) + "SELECT * EXCLUDE (referrer), NULLIF(referrer, '') AS referrer FROM hits",
+    "report_parquet": FULL + "SELECT *, '2009-09-27' AS run_date FROM report",
+    "hits_by_date": _with(HITS)
+    + "SELECT *, CAST(DATE '1970-01-01' + CAST(floor(hit_time_gmt / 86400) AS INTEGER) AS VARCHAR) AS hit_date FROM hits",
+    "hits_scan_strict": _with(HITS) + "SELECT * EXCLUDE (referrer), NULLIF(referrer, '') AS referrer FROM hits",
     "report_write": FULL + f"SELECT {_HEADINGS} FROM report {_RANKED}",
 }
