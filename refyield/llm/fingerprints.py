@@ -140,9 +140,9 @@ def near_representatives(docs: DataFrame, threshold: float = THRESHOLD, bands: i
             split = [(k, i, s[i * width : (i + 1) * width]) for k, _, s in rows for i in range(bands)]
             yield _batch(split, pa.schema([("doc_id", pa.int64()), ("band", pa.int32()), ("value", pa.binary())]))
 
-    signed = map_arrow(texts, sign, "doc_id long, band int, value binary")
-    bucket = Window.partitionBy("band", "value")
-    pairs = signed.withColumn("near_id", F.min("doc_id").over(bucket)).filter("near_id < doc_id").select("doc_id", "near_id").distinct()
+    signed = staged(map_arrow(texts, sign, "doc_id long, band int, value binary"), "near-bands")
+    least = signed.groupBy("band", "value").agg(F.min("doc_id").alias("near_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = signed.join(staged(least, "near-least"), ["band", "value"]).filter("near_id < doc_id").select("doc_id", "near_id").distinct()
     left = texts.select(F.col("doc_id").alias("_l"), F.col("text").alias("_lt"))
     right = texts.select(F.col("doc_id").alias("_r"), F.col("text").alias("_rt"))
     both = pairs.join(left, F.col("doc_id") == F.col("_l")).join(right, F.col("near_id") == F.col("_r")).select("doc_id", "near_id", "_lt", "_rt")
