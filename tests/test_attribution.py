@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from conftest import SAMPLE_REPORT, SHOP, hit, make_hits
+from samples import SAMPLE_REPORT, SHOP, hit, make_hits
 from refyield.operators import report as R
 from refyield.operators import revenue as V
 from refyield.operators import sessions as S

@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SAMPLE_REPORT, SAMPLE_ROWS, hit, make_hits
+from samples import SAMPLE_REPORT, SAMPLE_ROWS, hit, make_hits
 from refyield import job
 from refyield.operators import report as R
 from refyield.sinks.hits import write_hits
