@@ -240,19 +240,24 @@ def worker_bpe(rank_file: bytes, pattern: str) -> RankBPE:
     return RankBPE(rank_file, pattern)
 
 
-def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text") -> DataFrame:
-    """Replace the column ``text`` by ``ids``, a binary of little-endian 32-bit ids."""
+def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text", round_trip: bool = False) -> DataFrame:
+    """Replace the column ``text`` by ``ids``, a binary of little-endian 32-bit ids;
+    with ``round_trip`` also ``decoded``, the bytes that these ids decode to."""
     others = [c for c in docs.columns if c != text]
     source = docs.select(*others, text_or_empty(text).alias(text))
-    schema = source.select(*others, F.lit(b"").cast("binary").alias("ids")).schema
+    binary = F.lit(b"").cast("binary")
+    schema = source.select(*others, binary.alias("ids"), *([binary.alias("decoded")] if round_trip else [])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_bpe(rank_file, pattern)
+        bpe, tokens = worker_bpe(rank_file, pattern), token_bytes(rank_file)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 ids = bpe.encode_texts(part.column(part.num_columns - 1).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary())], names=schema.names)
+                made = [pa.array(ids, pa.binary())]
+                if round_trip:
+                    made.append(pa.array([decoded(x, tokens) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=schema.names)
 
     return map_arrow(source, run, schema)
 
@@ -265,10 +270,8 @@ def decode(encoded: DataFrame, rank_file: bytes, ids: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = token_bytes(rank_file)
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
-                back = [decoded(x, tokens) for x in part.column(part.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(back, pa.binary())], names=schema.names)
+            back = [decoded(x, tokens) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(back, pa.binary())], names=schema.names)
 
     return map_arrow(source, run, schema)
 
@@ -285,7 +288,7 @@ def multi_rank_file() -> tuple[bytes, str]:
 def round_trip(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> doc_id, n_tokens and the digests of ids and decoded bytes."""
     rank_file, pattern = multi_rank_file()
-    both = decode(encode(docs.select("doc_id", "text"), rank_file, pattern), rank_file)
+    both = encode(docs.select("doc_id", "text"), rank_file, pattern, round_trip=True)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -72,8 +72,17 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(spark.sparkContext)
 
 
+#: Rows of an Arrow batch, where the session has Spark's 10,000: batches of whole
+#: texts are held several times over, in the JVM and in Python.
+BATCH_ROWS = 1000
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the workers."""
+    """``df.mapInArrow`` with this package at hand in the workers, and batches of
+    ``BATCH_ROWS`` for the session unless it was given a size of its own."""
+    conf, batch = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(batch) == "10000":
+        conf.set(batch, str(BATCH_ROWS))
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 

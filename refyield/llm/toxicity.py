@@ -14,7 +14,7 @@ labelled rows (those of least id hash, of at most ``FIT_CHARS`` characters), a
 fifth of which is held back to place the threshold: the logits are shifted so that
 0.7 is the score with the best F1 there, weighed by the counts of all labels.
 Every text is then scored whole by the tasks, each of which gets the weights
-(about 2 MB). The input gates of a word are computed once a worker.
+(about 3 MB). The input gates of a word are computed once a worker.
 
 Defined results: a null or empty text is one empty window and gets its score;
 without labelled rows of both kinds every score is 0; repeated rows are each
@@ -36,7 +36,7 @@ from refyield.llm.common import map_arrow, table, text_or_empty
 from refyield.llm.shingles import _pieces
 
 WINDOW, STRIDE, PIECE = 32, 16, 32
-WORD_ROWS, WORD_DIMS, GRAM_ROWS, GRAM_DIMS, HIDDEN, GRAM = 1 << 16, 8, 1 << 16, 12, 8, 4
+WORD_ROWS, WORD_DIMS, GRAM_ROWS, GRAM_DIMS, HIDDEN, GRAM = 1 << 15, 8, 1 << 15, 12, 8, 4
 INPUTS = WORD_DIMS + GRAM_DIMS + 2
 FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 1000, 2000, 4000
 STEPS, RATE, SEED = 300, 0.01, 9
@@ -197,9 +197,9 @@ class GatedPair:
             dx = dx + by_word @ p[f"W{name}"].T * seen
         rows, grams, begins = features
         counts = np.diff(np.append(begins, len(grams)))
-        g["word"] = np.stack([np.bincount(rows, col, WORD_ROWS) for col in dx[:, :WORD_DIMS].T], axis=1)
+        g["word"] = np.stack([np.bincount(rows, col, WORD_ROWS).astype(np.float32) for col in dx[:, :WORD_DIMS].T], axis=1)
         spread = np.repeat(dx[:, WORD_DIMS : WORD_DIMS + GRAM_DIMS] / counts[:, None], counts, axis=0)
-        g["gram"] = np.stack([np.bincount(grams, col, GRAM_ROWS) for col in spread.T], axis=1)
+        g["gram"] = np.stack([np.bincount(grams, col, GRAM_ROWS).astype(np.float32) for col in spread.T], axis=1)
         return g
 
     def met(self, text: np.ndarray, every: tuple, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +207,8 @@ class GatedPair:
         words = np.unique(text)
         counts = stops[words] - every[2][words]
         shift = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        return np.unique(every[0][words]), np.unique(every[1][np.repeat(every[2][words], counts) + shift])
+        grams = every[1][np.repeat(every[2][words], counts) + shift]
+        return np.unique(every[0][words]).astype(np.int32), np.unique(grams).astype(np.int32)
 
     def fit(self, toxic: list[str], clean: list[str], steps: int = STEPS, seed: int = SEED) -> None:
         """Adam over balanced batches of texts."""

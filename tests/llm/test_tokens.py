@@ -45,6 +45,14 @@ def test_both_trees_merge_alike(rank_bpe):
     assert rank_bpe.merge_rows(words, 32) == [rank_bpe.merge_one(w) for w in words]
 
 
+def test_decoding_apart(spark, odd):
+    rank_file, pattern = bpe.multi_rank_file()
+    docs = spark.read.parquet(f"{odd[0]}/documents.parquet").select("doc_id", "lang", "text")
+    both = bpe.decode(bpe.encode(docs, rank_file, pattern), rank_file)
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.lang, bytes(r.decoded)) for r in both.collect()), key=str)
+    assert got == sorted(((d is None, d or 0, "en", (t or "").encode()) for d, t, *_ in odd[1]), key=str)
+
+
 def test_bpe_query(spark, odd, empty, monkeypatch):
     folder, rows = odd
     enc = bpe.RankBPE(*bpe.multi_rank_file())
