@@ -38,13 +38,22 @@ def arrow_files(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def put(folder: str, name: str, data: list[bytes]) -> None:
-    """Write a file of the shared folder whole, then move it into place."""
+    """Write a file of the shared folder whole, then move it into place.
+
+    A task that runs again makes the same file: where a store does not move onto
+    a file, the one in place stays.
+    """
     files, root = arrow_files(folder)
     part = f"{root}/.{name}.{uuid.uuid4().hex}"
     with files.open_output_stream(part) as out:
         for d in data:
             out.write(d)
-    files.move(part, f"{root}/{name}")
+    try:
+        files.move(part, f"{root}/{name}")
+    except OSError:
+        if files.get_file_info(f"{root}/{name}").type != fs.FileType.File:
+            raise
+        files.delete_file(part)
 
 
 def make_folder(folder: str) -> None:

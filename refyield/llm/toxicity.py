@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refyield.llm.common import map_arrow, table, text_or_empty
+from refyield.llm.common import map_arrow, table
 from refyield.llm.shingles import _pieces
 
 WINDOW, STRIDE, PIECE = 32, 16, 32
@@ -46,13 +46,17 @@ THRESHOLD = 0.7
 KEPT, WINDOWS = 100_000, 1024
 
 
-def split_words(text: str) -> list[str]:
-    words = text.split()
+def cut_words(words: list[str]) -> list[str]:
+    """Words of at most ``PIECE`` characters; longer ones in pieces."""
     if any(len(w) > PIECE for w in words):
-        words = [w[i : i + PIECE] for w in words for i in range(0, len(w), PIECE)]
+        return [w[i : i + PIECE] for w in words for i in range(0, len(w), PIECE)]
     return words
 
 
+def split_words(text: str) -> list[str]:
+    return cut_words(text.split())
+
+
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the word table; rows of the 4-gram table, and where each word's begin."""
     plain = [w.lower().strip(".,;:!?\"'()[]") for w in words]
@@ -291,15 +295,16 @@ class Scorer:
     def logits(self, texts: list[str]) -> np.ndarray:
         parts, owner = [], []
         for k, text in enumerate(texts):
-            carried: list[str] = []
-            for i, piece in enumerate(_pieces(text)):
-                words = [w[j : j + PIECE] for w in piece for j in range(0, len(w), PIECE)] if any(len(w) > PIECE for w in piece) else piece
-                parts.append(carried + words)
-                owner.append(k)
-                carried = parts[-1][-(WINDOW - 1) :] if len(text) > 1_000_000 else []
-            if not text:
-                parts.append([])
-                owner.append(k)
+            held: list[str] = []
+            for piece in _pieces(text):
+                full = len(held) // STRIDE * STRIDE
+                if full > 2 * WINDOW:  # go on from a window's start, so that all start as in the whole text
+                    parts.append(held[:full])
+                    owner.append(k)
+                    held = held[full - WINDOW :]
+                held += cut_words(piece)
+            parts.append(held)
+            owner.append(k)
         out = np.full(len(texts), -np.inf)
         np.maximum.at(out, owner, self.part_logits(parts))
         return out
@@ -349,29 +354,28 @@ def fit_scorer(docs: DataFrame, labels: DataFrame) -> Scorer | None:
     return scorer
 
 
-def with_scores(docs: DataFrame, scorer: Scorer | None, text: str = "text", out: str = "score") -> DataFrame:
-    """Add ``out`` to the documents."""
+def with_scores(docs: DataFrame, scorer: Scorer | None, text: str = "text", out: str = "score", keep_text: bool = True) -> DataFrame:
+    """Add ``out`` to the documents (``keep_text``: with their texts)."""
+    kept = [c for c in docs.columns if keep_text or c != text]
     if scorer is None:
-        return docs.withColumn(out, F.lit(0.0))
+        return docs.select(*kept, F.lit(0.0).alias(out))
     net, shift = scorer.net, scorer.shift
-    others = docs.columns
-    source = docs.withColumn("_scored", text_or_empty(text))
-    schema = docs.withColumn(out, F.lit(0.0)).schema
+    schema = docs.select(*kept, F.lit(0.0).alias(out)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(net, shift)
         for batch in batches:
             for i in range(0, batch.num_rows, 128):
                 part = batch.slice(i, 128)
-                scores = own.scores(part.column(part.num_columns - 1).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(scores, pa.float64())], names=[*others, out])
+                scores = own.scores([t or "" for t in part.column(text).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(scores, pa.float64())], names=[*kept, out])
 
-    return map_arrow(source, run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scorer = fit_scorer(docs, table(spark, sf_dir, "labels"))
-    scored = with_scores(docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "text"), scorer)
+    scored = with_scores(docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "text"), scorer, keep_text=False)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
