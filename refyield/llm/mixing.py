@@ -114,7 +114,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), block: int = BLOCK,
     all_rows = Window.partitionBy()
     seats = F.floor(F.sum("source_size").over(all_rows) / block + 0.5).cast("long")
     sources = apportion(sources.withColumn("_seats", seats), [], ["source"], "target", "_seats", "_quota")
-    facts = sources.select(F.col("source").alias("_source"), "source_size", "target", "_shards", "_quota")
+    # written, so that its size is known: broadcast if it is small, else a join
+    # whose hot source adaptive execution can split
+    facts = staged(sources.select(F.col("source").alias("_source"), "source_size", "target", "_shards", "_quota"), "mix-sources")
 
     placed = docs.withColumn("_hash", doc_hash).join(facts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     placed = placed.withColumn("_shard", F.col("_hash") % F.col("_shards"))
