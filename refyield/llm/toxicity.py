@@ -10,14 +10,15 @@ and the last ends with the text, so that all of a text is read by overlapping
 windows; its score is that of its highest window.
 
 The network is fitted on the driver on at most ``FIT_TOXIC`` + ``FIT_CLEAN``
-labelled rows (those of least id hash, of at most ``FIT_CHARS`` characters), a
-fifth of which is held back to place the threshold: the logits are shifted so that
+labelled rows (those with a text whose ids have the least hashes, a text of each;
+of one over ``FIT_CHARS`` characters as many in parts from all of it), a fifth of
+which is held back to place the threshold: the logits are shifted so that
 0.7 is the score with the best F1 there, weighed by the counts of all labels.
 Every text is then scored whole by the tasks, each of which gets the weights
 (about 3 MB). The input gates of a word are computed once a worker.
 
 Defined results: a null or empty text is one empty window and gets its score;
-without labelled rows of both kinds every score is 0; repeated rows are each
+without labelled rows of both kinds that have a text every score is 0; repeated rows are each
 scored; repeated labels of a row count as the highest; an empty table gives an
 empty one. The label tables' and documents' other columns are not read.
 """
@@ -32,13 +33,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refyield.llm.common import map_arrow, table
+from refyield.llm.common import map_arrow, staged, table
 from refyield.llm.shingles import _pieces
 
 WINDOW, STRIDE, PIECE = 32, 16, 32
 WORD_ROWS, WORD_DIMS, GRAM_ROWS, GRAM_DIMS, HIDDEN, GRAM = 1 << 15, 8, 1 << 15, 12, 8, 4
 INPUTS = WORD_DIMS + GRAM_DIMS + 2
-FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 1000, 2000, 4000
+FIT_TOXIC, FIT_CLEAN, FIT_CHARS, FIT_PARTS = 1000, 2000, 4000, 8
 STEPS, RATE, SEED = 300, 0.01, 9
 DROPOUT, KEEP_WORD, DECAY, FOLDS = 0.5, 0.9, 0.1, 4
 THRESHOLD = 0.7
@@ -328,21 +329,33 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows whose doc_id has a label and is not held out, with it as ``toxic``."""
+    known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(~is_held_out(F.col("doc_id")))
+    return rows.join(known.withColumnRenamed("doc_id", "_d"), F.col("doc_id") == F.col("_d")).drop("_d")
+
+
+def fit_text(text: str = "text") -> Column:
+    """A text to fit on: whole up to ``FIT_CHARS`` characters, or as many of a
+    longer one in ``FIT_PARTS`` parts spread evenly from its start to its end."""
+    size = FIT_CHARS // FIT_PARTS
+    starts = [F.floor((F.length(text) - size) * i / (FIT_PARTS - 1)).cast("int") + 1 for i in range(FIT_PARTS)]
+    parts = F.concat_ws(" ", *(F.substring(text, at, F.lit(size)) for at in starts))
+    return F.when(F.length(text) <= FIT_CHARS, F.col(text)).otherwise(parts)
+
+
 def fit_scorer(docs: DataFrame, labels: DataFrame) -> Scorer | None:
     """Fit on a bounded sample of the labelled rows that are not held out."""
-    known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(~is_held_out(F.col("doc_id")))
-    known = known.withColumn("_h", F.xxhash64("doc_id"))
-    totals = dict(known.groupBy("toxic").count().collect())
+    ids = with_labels(docs.filter("text <> ''").select("doc_id"), labels).distinct()
+    ids = staged(ids.withColumn("_h", F.xxhash64("doc_id")), "toxicity-ids")
+    totals = dict(ids.groupBy("toxic").count().collect())
     if set(totals) != {0, 1}:
         return None
     texts: dict[int, list[str]] = {}
     for kind, most in ((1, FIT_TOXIC), (0, FIT_CLEAN)):
-        # a few times the rows wanted, as longer texts are passed over
-        chosen = known.filter(F.col("toxic") == kind).orderBy("_h", "doc_id").limit(4 * most).select(F.col("doc_id").alias("_d"), "_h")
-        found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).filter(F.length("text").between(1, FIT_CHARS))
-        texts[kind] = [r["text"] for r in found.orderBy("_h", "doc_id", "text").limit(most).select("text").collect()]
-        if not texts[kind]:
-            return None
+        chosen = ids.filter(F.col("toxic") == kind).orderBy("_h", "doc_id").limit(most).select(F.col("doc_id").alias("_d"), "_h")
+        found = docs.filter("text <> ''").join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("_h", "_d", fit_text().alias("text"))
+        texts[kind] = [r["text"] for r in found.groupBy("_h", "_d").agg(F.min("text").alias("text")).orderBy("_h", "_d").select("text").collect()]
     held = {k: v[: max(1, len(v) // 5)] for k, v in texts.items()}
     fitted = {k: v[max(1, len(v) // 5) :] or v for k, v in texts.items()}
     net = GatedPair()

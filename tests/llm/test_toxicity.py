@@ -129,6 +129,44 @@ def test_two_labels_are_enough_to_run(spark, write_tables):
     assert got[ids[1]] > got[ids[0]]
 
 
+def long_rows(rng, n: int):
+    """Texts over the bound of fitting; every other one toxic all over."""
+    docs, labels = [], []
+    for i in range(n):
+        text = words(rng, 1200, 900).split()
+        if i % 2:
+            text[::10] = ["vile"] * len(text[::10])
+        docs.append(doc(i, " ".join(text)))
+        assert len(docs[-1][1]) > T.FIT_CHARS
+        labels.append((i, 1, i % 2))
+    return docs, labels
+
+
+def test_long_texts_alone_are_fitted_on(spark, write_tables):
+    docs, labels = long_rows(random.Random(4), 60)
+    folder = write_tables(documents=spark.createDataFrame(docs, DOCS), labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = T.op9_toxicity(spark, folder).collect()
+    assert [r.predicted for r in sorted(got)] == [t for *_, t in labels]
+
+
+def test_labels_of_other_tables_take_no_place(spark, write_tables, monkeypatch):
+    monkeypatch.setattr(T, "FIT_TOXIC", 5)
+    monkeypatch.setattr(T, "FIT_CLEAN", 5)
+    docs, labels = toxic_rows(200)
+    strangers = [(i, i % 2) for i in range(100_000, 120_000)]
+    folder = write_tables(documents=spark.createDataFrame(docs, DOCS), labels=spark.createDataFrame([(i, 0, t) for i, t in labels + strangers], "doc_id long, quality int, toxic int"))
+    assert len({r.score for r in T.op9_toxicity(spark, folder).collect()}) > 1
+
+
+def test_parts_of_a_long_text_reach_its_end(spark):
+    text = "a" * 3000 + "b" * 3000 + "c" * 3000
+    rows = spark.createDataFrame([(text,), ("x y",), ("z" * T.FIT_CHARS,)], "text string")
+    got = [r[0] for r in rows.select(T.fit_text()).collect()]
+    assert got[1:] == ["x y", "z" * T.FIT_CHARS]
+    size = T.FIT_CHARS // T.FIT_PARTS
+    assert got[0] == " ".join(text[(len(text) - size) * i // (T.FIT_PARTS - 1) :][:size] for i in range(T.FIT_PARTS))
+
+
 def test_a_text_scores_alike_in_any_company(monkeypatch):
     rng = random.Random(1)
     net = T.GatedPair(seed=1)
