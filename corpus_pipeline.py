@@ -17,15 +17,14 @@ from refyield.llm.bpe import round_trip
 from refyield.llm.common import one_of_each, row_keys, staged, table, text_or_empty
 from refyield.llm.jaccard import keep_one
 from refyield.llm.mixing import mix, word_count
-from refyield.llm.toxicity import THRESHOLD, fit_scorer, with_scores
+from refyield.llm.toxicity import THRESHOLD, scored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored under the threshold, by a network fitted on the labels."""
-    scorer = fit_scorer(docs, table(spark, sf_dir, "labels"))
-    return with_scores(docs.select(*COLUMNS), scorer, out="_score").filter(F.col("_score") < THRESHOLD).drop("_score")
+    return scored(docs.select(*COLUMNS), table(spark, sf_dir, "labels"), out="_score").filter(F.col("_score") < THRESHOLD).drop("_score")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,10 +12,10 @@ windows; its score is that of its highest window.
 The network is fitted on the driver on at most ``FIT_TOXIC`` + ``FIT_CLEAN``
 labelled rows (those with a text whose ids have the least hashes, a text of each;
 of one over ``FIT_CHARS`` characters as many in parts from all of it), a fifth of
-which is held back to place the threshold: the logits are shifted so that
-0.7 is the score with the best F1 there, weighed by the counts of all labels.
-Every text is then scored whole by the tasks, each of which gets the weights
-(about 3 MB). The input gates of a word are computed once a worker.
+which is held back. Every text is then read whole by the tasks, each of which gets
+the weights (about 3 MB); the input gates of a word are computed once a worker. The
+logits are shifted so that 0.7 is the score with the best F1 on all labelled rows,
+of any length, that were neither held out nor fitted on.
 
 Defined results: a null or empty text is one empty window and gets its score;
 without labelled rows of both kinds that have a text every score is 0; repeated rows are each
@@ -43,6 +43,8 @@ FIT_TOXIC, FIT_CLEAN, FIT_CHARS, FIT_PARTS = 1000, 2000, 4000, 8
 STEPS, RATE, SEED = 300, 0.01, 9
 DROPOUT, KEEP_WORD, DECAY, FOLDS = 0.5, 0.9, 0.1, 4
 THRESHOLD = 0.7
+#: Steps of a logit that count as one in placing the threshold.
+BINS = 256
 #: Words whose gates a worker keeps, and windows it scores at a time.
 KEPT, WINDOWS = 100_000, 1024
 
@@ -314,13 +316,14 @@ class Scorer:
         return sigmoid(self.logits(texts) + self.shift).tolist() if texts else []
 
 
-def best_shift(toxic: np.ndarray, clean: np.ndarray, clean_weight: float) -> float:
-    """What to add to logits so that the threshold has the best F1."""
-    cuts = np.unique(np.concatenate([toxic, clean]))
-    cuts = np.append((cuts[1:] + cuts[:-1]) / 2, cuts[-1] + 1)
-    hit = (toxic[:, None] >= cuts).sum(axis=0)
-    wrong = clean_weight * (clean[:, None] >= cuts).sum(axis=0)
-    f1 = 2 * hit / (hit + wrong + len(toxic))
+def best_shift(bins: dict[int, dict[int, float]]) -> float:
+    """What to add to logits so that the threshold has the best F1, by the weights
+    of the bins that toxic (1) and clean (0) rows fall in."""
+    every = np.array(sorted({*bins[0], *bins[1]}))
+    toxic, clean = (np.array([bins[k].get(b, 0.0) for b in every.tolist()]) for k in (1, 0))
+    hit, wrong = (np.append(np.cumsum(x[::-1])[::-1][1:], 0.0) for x in (toxic, clean))
+    cuts = np.append((every[1:] + every[:-1] + 1) / 2, every[-1] + 1 + BINS) / BINS
+    f1 = 2 * hit / (hit + wrong + toxic.sum())
     good = np.flatnonzero(f1 >= f1.max() - 1e-12)
     return float(np.log(THRESHOLD / (1 - THRESHOLD)) - cuts[good[len(good) // 2]])
 
@@ -344,51 +347,83 @@ def fit_text(text: str = "text") -> Column:
     return F.when(F.length(text) <= FIT_CHARS, F.col(text)).otherwise(parts)
 
 
-def fit_scorer(docs: DataFrame, labels: DataFrame) -> Scorer | None:
-    """Fit on a bounded sample of the labelled rows that are not held out."""
-    ids = with_labels(docs.filter("text <> ''").select("doc_id"), labels).distinct()
+def fit_network(docs: DataFrame, labels: DataFrame) -> tuple[GatedPair, list] | None:
+    """Fit on a bounded sample of the labelled rows that are not held out; also
+    gives the ids fitted on."""
+    docs = docs.select("doc_id", "text").filter("text <> ''")
+    ids = with_labels(docs.select("doc_id"), labels).distinct()
     ids = staged(ids.withColumn("_h", F.xxhash64("doc_id")), "toxicity-ids")
-    totals = dict(ids.groupBy("toxic").count().collect())
-    if set(totals) != {0, 1}:
+    if ids.select("toxic").distinct().count() < 2:
         return None
-    texts: dict[int, list[str]] = {}
+    fitted: dict[int, list] = {}
     for kind, most in ((1, FIT_TOXIC), (0, FIT_CLEAN)):
         chosen = ids.filter(F.col("toxic") == kind).orderBy("_h", "doc_id").limit(most).select(F.col("doc_id").alias("_d"), "_h")
-        found = docs.filter("text <> ''").join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("_h", "_d", fit_text().alias("text"))
-        texts[kind] = [r["text"] for r in found.groupBy("_h", "_d").agg(F.min("text").alias("text")).orderBy("_h", "_d").select("text").collect()]
-    held = {k: v[: max(1, len(v) // 5)] for k, v in texts.items()}
-    fitted = {k: v[max(1, len(v) // 5) :] or v for k, v in texts.items()}
+        found = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("_h", "_d", fit_text().alias("text"))
+        rows = found.groupBy("_h", "_d").agg(F.min("text").alias("text")).orderBy("_h", "_d").select("_d", "text").collect()
+        fitted[kind] = rows[max(1, len(rows) // 5) :] or rows
     net = GatedPair()
-    net.fit(fitted[1], fitted[0])
-    scorer = Scorer(net)
-    toxic, clean = scorer.logits(held[1]), scorer.logits(held[0])
-    scorer.shift = best_shift(toxic, clean, totals[0] / totals[1] * len(toxic) / len(clean))
-    scorer.reset()
-    return scorer
+    net.fit([r["text"] for r in fitted[1]], [r["text"] for r in fitted[0]])
+    return net, [r["_d"] for rows in fitted.values() for r in rows]
+
+
+def placed_shift(rows: DataFrame, labels: DataFrame, fitted: list) -> float:
+    """The best shift for all labelled rows (doc_id, _logit) that are neither held
+    out nor fitted on, each kind weighed by its number of labelled rows. A kind
+    with no others is judged by those fitted on."""
+    binned = rows.groupBy("doc_id", F.floor(F.col("_logit") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    known = with_labels(binned, labels).groupBy("toxic", F.col("doc_id").isin(fitted).alias("seen"), "bin").agg(F.sum("n").alias("n"))
+    counts = known.collect()
+    bins: dict[int, dict[int, float]] = {}
+    for kind in (0, 1):
+        own = [r for r in counts if r["toxic"] == kind]
+        placed = [r for r in own if not r["seen"]] or own
+        weight = sum(r["n"] for r in own) / sum(r["n"] for r in placed)
+        bins[kind] = {r["bin"]: r["n"] * weight for r in placed}
+    return best_shift(bins)
+
+
+def fit_scorer(docs: DataFrame, labels: DataFrame) -> Scorer | None:
+    """A scorer fitted and placed on the labelled rows that are not held out."""
+    found = fit_network(docs, labels)
+    if found is None:
+        return None
+    rows = with_logits(with_labels(docs.select("doc_id", "text"), labels).select("doc_id", "text"), found[0], keep_text=False)
+    return Scorer(found[0], placed_shift(rows, labels, found[1]))
 
 
-def with_scores(docs: DataFrame, scorer: Scorer | None, text: str = "text", out: str = "score", keep_text: bool = True) -> DataFrame:
-    """Add ``out`` to the documents (``keep_text``: with their texts)."""
+def with_logits(docs: DataFrame, net: GatedPair, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """Add ``_logit``, of the whole text, to the documents (``keep_text``: with
+    their texts)."""
     kept = [c for c in docs.columns if keep_text or c != text]
-    if scorer is None:
-        return docs.select(*kept, F.lit(0.0).alias(out))
-    net, shift = scorer.net, scorer.shift
-    schema = docs.select(*kept, F.lit(0.0).alias(out)).schema
+    schema = docs.select(*kept, F.lit(0.0).alias("_logit")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Scorer(net, shift)
+        own = Scorer(net)
         for batch in batches:
             for i in range(0, batch.num_rows, 128):
                 part = batch.slice(i, 128)
-                scores = own.scores([t or "" for t in part.column(text).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(scores, pa.float64())], names=[*kept, out])
+                logits = own.logits([t or "" for t in part.column(text).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(logits, pa.float64())], names=[*kept, "_logit"])
 
     return map_arrow(docs, run, schema)
 
 
+def scored(docs: DataFrame, labels: DataFrame, out: str = "score", keep_text: bool = True) -> DataFrame:
+    """Add ``out`` to the documents (``keep_text``: with their texts), by a network
+    fitted on their labels. Texts are read by it once: their logits are written,
+    and the threshold is placed on those of the labelled rows."""
+    kept = [c for c in docs.columns if keep_text or c != "text"]
+    found = fit_network(docs, labels)
+    if found is None:
+        return docs.select(*kept, F.lit(0.0).alias(out))
+    rows = staged(with_logits(docs, found[0], keep_text=keep_text), "toxicity-logits")
+    shift = placed_shift(rows, labels, found[1])
+    return rows.select(*kept, (1 / (1 + F.exp(-(F.col("_logit") + shift)))).alias(out))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scorer = fit_scorer(docs, table(spark, sf_dir, "labels"))
-    scored = with_scores(docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "text"), scorer, keep_text=False)
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    docs = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "text")
+    rows = scored(docs, table(spark, sf_dir, "labels"), keep_text=False)
+    return rows.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -149,6 +149,35 @@ def test_long_texts_alone_are_fitted_on(spark, write_tables):
     assert [r.predicted for r in sorted(got)] == [t for *_, t in labels]
 
 
+def test_threshold_is_the_best_on_all_labelled_rows(spark, write_tables, monkeypatch):
+    """Clean long texts hold, between the parts fitted on, a word that toxic short
+    ones have more often than clean short ones."""
+    monkeypatch.setattr(T, "FIT_TOXIC", 60)
+    monkeypatch.setattr(T, "FIT_CLEAN", 90)
+    rng = random.Random(5)
+    docs, labels = [], []
+    for word, toxic, n in (("vile", 1, 150), ("rotten", 1, 90), ("rotten", 0, 30), ("", 0, 300), ("long", 0, 160)):
+        for _ in range(n):
+            text = words(rng, 2500 if word == "long" else 40, 900)
+            at = text.index(" ", 800 if word == "long" else 100)
+            assert (len(text) > 2 * T.FIT_CHARS) == (word == "long")
+            docs.append(doc(len(docs), f"{text[:at]} {'rotten' if word == 'long' else word}{text[at:]}"))
+            labels.append((len(labels), 1, toxic))
+    folder = write_tables(documents=spark.createDataFrame(docs, DOCS), labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    rows = [(r.score, labels[r.doc_id][2]) for r in T.op9_toxicity(spark, folder).collect() if not r.held_out]
+
+    def f1(cut):
+        found = [t for s, t in rows if s >= cut]
+        return 2 * sum(found) / (len(found) + sum(t for _, t in rows))
+
+    assert f1(T.THRESHOLD) > max(f1(s) for s, _ in rows) - 0.03
+
+
+def test_shift_is_the_best_cut_of_the_bins():
+    shift = T.best_shift({1: {0: 1.0, 512: 8.0, 1024: 1.0}, 0: {-256: 50.0, 0: 20.0, 700: 1.0}})
+    assert T.sigmoid(np.array([2.0, 0.5]) + shift).tolist() == pytest.approx([T.sigmoid(np.log(7 / 3) + 2 - 1.001953125), T.sigmoid(np.log(7 / 3) + 0.5 - 1.001953125)])
+
+
 def test_labels_of_other_tables_take_no_place(spark, write_tables, monkeypatch):
     monkeypatch.setattr(T, "FIT_TOXIC", 5)
     monkeypatch.setattr(T, "FIT_CLEAN", 5)
