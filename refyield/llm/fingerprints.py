@@ -10,10 +10,9 @@ documents are ranged and sorted by key once; each task reads its range in order
 with one row in hand. Only the last row of a range waits for the first of the
 next one, which a small join brings.
 
-``near_representatives`` joins the signatures' bands: every text is compared with
-the least text of each of its buckets and kept if the Jaccard similarity of the
-shingle sets reaches the threshold, so that pairs grow with the rows and not with
-the square of a group.
+``near_representatives`` (no query runs it) joins the signatures' bands: all pairs
+of a bucket, cut into blocks, are compared and those kept whose shingle sets reach
+the threshold in Jaccard similarity.
 
 Defined results: a null text is empty; a text without words has a fingerprint of
 its own, like only that of other such texts; rows with one key follow in the order
@@ -31,12 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from refyield.llm.blocks import columns, dealt, in_block_pairs, row_pairs, whole_groups
 from refyield.llm.common import map_arrow, partitions_for, staged, table, text_or_empty
 from refyield.llm.shingles import MinHash, folded, shingle_set
 
 PERMUTATIONS, SEED = 64, 8
 BANDS, THRESHOLD = 16, 0.8
 RANGE_BYTES = 1 << 30
+#: Rows and characters of a block of a bucket.
+BLOCK_ROWS, BLOCK_CHARS = 256, 16_000_000
 HASHER = MinHash(PERMUTATIONS, SEED)
 
 
@@ -127,38 +129,41 @@ def fingerprint_chain(docs: DataFrame) -> DataFrame:
 
 
 def near_representatives(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS) -> DataFrame:
-    """(doc_id, text) -> (doc_id, near_id, jaccard): each text with the least
-    texts of its buckets that it reaches the threshold with. Equal texts count as
-    one, under their least doc_id."""
+    """(doc_id, text) -> (doc_id, near_id, jaccard): the pairs of different texts
+    that share a bucket and reach the threshold, the lesser doc_id (null last) as
+    near_id. Equal texts count as one, under their least doc_id."""
     width = PERMUTATIONS // bands * 2
-    texts = docs.filter("text IS NOT NULL").groupBy(F.md5("text").alias("key")).agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
-    texts = staged(texts.select("doc_id", "text"), "near-texts")
+    texts = docs.filter("text IS NOT NULL").groupBy(F.unhex(F.md5("text")).alias("key")).agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    texts = staged(texts, "near-texts")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(k, t, signature(t).tobytes()) for k, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if t.split(None, 1)]
-            split = [(k, i, s[i * width : (i + 1) * width]) for k, _, s in rows for i in range(bands)]
-            yield _batch(split, pa.schema([("doc_id", pa.int64()), ("band", pa.int32()), ("value", pa.binary())]))
+            rows = [(k, len(t), signature(t).tobytes()) for k, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if t.split(None, 1)]
+            split = [(k, bytes([i]) + s[i * width : (i + 1) * width], n) for k, n, s in rows for i in range(bands)]
+            yield _batch(split, pa.schema([("key", pa.binary()), ("bucket", pa.binary()), ("n_chars", pa.int64())]))
 
-    signed = staged(map_arrow(texts, sign, "doc_id long, band int, value binary"), "near-bands")
-    least = signed.groupBy("band", "value").agg(F.min("doc_id").alias("near_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = signed.join(staged(least, "near-least"), ["band", "value"]).filter("near_id < doc_id").select("doc_id", "near_id").distinct()
-    left = texts.select(F.col("doc_id").alias("_l"), F.col("text").alias("_lt"))
-    right = texts.select(F.col("doc_id").alias("_r"), F.col("text").alias("_rt"))
-    both = pairs.join(left, F.col("doc_id") == F.col("_l")).join(right, F.col("near_id") == F.col("_r")).select("doc_id", "near_id", "_lt", "_rt")
+    signed = staged(map_arrow(texts.select("key", "text"), sign, "key binary, bucket binary, n_chars long"), "near-bands")
+    placed = in_block_pairs(signed, "bucket", "key", BLOCK_ROWS, "n_chars", BLOCK_CHARS).select("key", "bucket", "lo", "hi", "blk")
+    found = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("a_id", pa.int64()), ("b_id", pa.int64()), ("jaccard", pa.float64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sx, sy = shingle_set(x), shingle_set(y)
-                common = len(np.intersect1d(sx, sy, assume_unique=True))
-                j = common / (len(sx) + len(sy) - common)
-                if j >= threshold:
-                    out.append((a, b, j))
-            yield _batch(out, pa.schema([("doc_id", pa.int64()), ("near_id", pa.int64()), ("jaccard", pa.float64())]))
-
-    return map_arrow(both, verify, "doc_id long, near_id long, jaccard double")
+        for t, starts in whole_groups(batches, "bucket"):
+            for i, start in enumerate(starts):  # one pair of blocks at a time
+                g = t.slice(start, (starts[i + 1] if i + 1 < len(starts) else t.num_rows) - start)
+                keys, ids = g.column("key").to_pylist(), g.column("doc_id").to_pylist()
+                sets = [shingle_set(x) for x in g.column("text").to_pylist()]
+                for left, right in row_pairs(np.zeros(1, np.int64), *columns(g, ["blk", "lo", "hi"])):
+                    out = []
+                    for x, y in zip(left.tolist(), right.tolist(), strict=True):
+                        common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                        j = common / (len(sets[x]) + len(sets[y]) - common)
+                        if j >= threshold:
+                            x, y = sorted((x, y), key=lambda r: (ids[r] is None, ids[r] or 0, keys[r]))
+                            out.append((keys[x], keys[y], ids[x], ids[y], j))
+                    yield _batch(out, found)
+
+    pairs = map_arrow(dealt(placed.join(texts, "key"), "bucket"), verify, "a binary, b binary, a_id long, b_id long, jaccard double")
+    return pairs.distinct().select(F.col("b_id").alias("doc_id"), F.col("a_id").alias("near_id"), "jaccard")
 
 
 def op8_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

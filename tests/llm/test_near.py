@@ -135,6 +135,23 @@ def test_near_representatives(spark):
     assert got[7, 3] == len(a & b) / len(a | b)
 
 
+def test_near_representatives_of_a_shared_template(spark, monkeypatch):
+    """Texts alike through a common passage; near pairs under ids that are not the
+    least of their buckets, and one pair under a single id."""
+    monkeypatch.setattr(fingerprints, "BLOCK_ROWS", 8)
+    rng = random.Random(6)
+    passage = words(rng, 180)
+    rows = []
+    for i in range(60):
+        own = f"{passage} {words(rng, 20)}".split()
+        near = [f"x{i}" if k in (30, 70, 110, 150) else w for k, w in enumerate(own)]
+        rows += [(2 * i, " ".join(own)), (2 * i + (i > 0), " ".join(near))]
+    got = {(r.doc_id, r.near_id) for r in fingerprints.near_representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [brute_shingles(t) for _, t in rows]
+    want = {(rows[j][0], rows[i][0]) for i in range(len(rows)) for j in range(i + 1, len(rows)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert {(2 * i + (i > 0), 2 * i) for i in range(60)} <= want and got == want
+
+
 # -- operator 10 ----------------------------------------------------------------------
 
 
