@@ -38,4 +38,5 @@ def empty(spark, write_tables):
         labels=none("doc_id long, quality int, toxic int"),
         embeddings=none("vec_id long, embedding array<float>, label int"),
         conversations=none("conv_id long, turn long, role string, text string"),
+        benchmark=none("item_id long, text string"),
     )

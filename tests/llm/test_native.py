@@ -1,4 +1,4 @@
-"""Sharding, chat formatting and mixing: against DuckDB and by their contracts."""
+"""Queries with a statement against DuckDB; sharding, chat formatting and mixing by their contracts."""
 
 from __future__ import annotations
 
@@ -22,7 +22,7 @@ def duck(folder):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark", "embeddings"):
         path = f"{folder}/{t}.parquet"
         if os.path.exists(path):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}{'/*.parquet' if os.path.isdir(path) else ''}')")
