@@ -7,7 +7,8 @@ string parse that define "search engine" and "keyword" for the report:
 * clean: leading blanks and C0 control characters are dropped, and tab,
   CR and LF are removed anywhere;
 * netloc: the text after ``scheme://`` (or a leading ``//``) up to the
-  first ``/``, ``?`` or ``#``; it keeps any user and port;
+  first ``/``, ``?`` or ``#``; it keeps any user and port; there is none where
+  it holds a character whose compatibility form (NFKC) has one of ``/?#@:``;
 * host: the netloc lower-cased with any leading run of ``w`` and ``.``
   characters removed (``strict=True`` removes exactly one ``www.``);
 * engine: the host equals an engine domain or ends with ``.`` + domain;
@@ -15,7 +16,7 @@ string parse that define "search engine" and "keyword" for the report:
 * query: between the first ``?`` and the first ``#``; parameters are split
   on ``&`` only, pairs without ``=`` or with an empty value are skipped,
   names and values are ``+``-to-space and percent decoded (malformed
-  escapes stay literal, bad UTF-8 becomes U+FFFD) and names compare
+  escapes stay literal, bad UTF-8 becomes U+FFFD as in the standard decoder) and names compare
   case-sensitively; the first remaining value wins.
 
 All functions return NULL, never raise, for NULL, blank or malformed input.
@@ -31,14 +32,27 @@ from pyspark.sql import functions as F
 from refyield.functions._memo import memo_columns
 from refyield.functions.engines import ENGINE_PARAMS, effective_engines, params_by_engine
 
+# The characters beyond ASCII whose compatibility form holds one of
+# / ? # @ : (a netloc with one of them is no netloc).
+#   2047 2048 2049  double question and exclamation marks
+#   2100 2101 2105 2106  account of, addressed to, care of, cada una
+#   2A74  double colon equal
+#   FE13 FE16 FE55 FE56 FE5F FE6B  vertical and small forms
+#   FF03 FF0F FF1A FF1F FF20  fullwidth forms
+_SPLITTERS = "\u2047\u2048\u2049\u2100\u2101\u2105\u2106\u2a74\ufe13\ufe16\ufe55\ufe56\ufe5f\ufe6b\uff03\uff0f\uff1a\uff1f\uff20"
+
 _C0_OR_SPACE = "".join(chr(i) for i in range(0x21))
-_NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
-# Same, but empty when the netloc holds a bracket (those never name an engine).
-_PLAIN_NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#\[\]]*)(?![^/?#])"
+# Empty when the netloc holds a character that would split it once normalised.
+_NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#" + _SPLITTERS + "]*)(?![^/?#])"
+# The same for brackets too (those never name an engine).
+_PLAIN_NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#\[\]" + _SPLITTERS + "]*)(?![^/?#])"
 _QUERY = r"^[^#?]*\?([^#]*)"
 _PAIR_NAME = r"^([^=]*)="
 _PAIR_VALUE = r"(?s)^[^=]*=(.*)\z"
 _BAD_ESCAPE = r"%(?![0-9A-Fa-f]{2})"
+# The first byte of an encoded surrogate, whole or cut short.
+_SURROGATE_LEAD = "%[Ee][Dd](?=%[ABab][0-9A-Fa-f])"
+_REPLACEMENT = "%EF%BF%BD"
 _LOOSE_PREFIX = r"^[w.]+"
 _STRICT_PREFIX = r"^www\."
 
@@ -143,8 +157,16 @@ def query_string(url: Column | str, *, cleaned: bool = False) -> Column:
 
 
 def decode_component(c: Column) -> Column:
-    """``+`` to blank and percent decoding; malformed escapes stay literal."""
-    return F.try_url_decode(F.regexp_replace(c, _BAD_ESCAPE, "%25"))
+    """``+`` to blank and percent decoding; malformed escapes stay literal.
+
+    Bytes that are no UTF-8 become U+FFFD, one for each longest part that begins a
+    character. Java's decoder does the same but for surrogates, which it takes for
+    one whole; no character begins with their first two bytes, so each byte stands
+    alone. Replacing the first one beforehand leaves the others alone.
+    """
+    literal = F.regexp_replace(c, _BAD_ESCAPE, "%25")
+    whole = F.when(literal.contains("%"), F.regexp_replace(literal, _SURROGATE_LEAD, _REPLACEMENT)).otherwise(literal)
+    return F.try_url_decode(whole)
 
 
 @memo_columns

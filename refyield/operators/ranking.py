@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from refyield.session import scratch_path
 
-_TIE, _RANGE, _PLACE, _BEFORE, _ROWS = "__tie", "__range", "__place", "__before", "__rows"
+RANGE, PLACE = "__range", "__place"
+_TIE, _BEFORE, _ROWS = "__tie", "__before", "__rows"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -28,21 +29,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_rank(df: DataFrame, order: Sequence[Column], name: str = "rank", ranges: int | None = None, seed: int = 1) -> DataFrame:
-    """``df`` plus the long ``name``: 1, 2, 3, ... by ``order``, ties in any order.
-
-    ``ranges`` is the number of ranges, by default the session's shuffle
-    partitions. Runs when called: ranks need the counts of all ranges.
-    """
+def sorted_ranges(df: DataFrame, order: Sequence[Column], ranges: int | None = None, seed: int = 1) -> DataFrame:
+    """``df`` dealt into ``ranges`` sorted ranges of ``order`` (by default as many as
+    the session's shuffle partitions), plus the number of a row's range and its
+    place in it, from 0. Both hold within one run alone: write them before use."""
     spark = df.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fixed = written(df.withColumn(_TIE, F.rand(seed)), "rank-rows")
-    dealt = fixed.repartitionByRange(ranges, *order, _TIE).sortWithinPartitions(*order, _TIE)
-    # monotonically_increasing_id counts rows in the lower 33 bits
+    fixed = written(df.withColumn(_TIE, F.rand(seed)), "range-rows")
+    dealt = fixed.repartitionByRange(ranges, *order, _TIE).sortWithinPartitions(*order, _TIE).drop(_TIE)
+    # monotonically_increasing_id counts a task's rows in its lower 33 bits
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = written(dealt.withColumns({_RANGE: F.spark_partition_id(), _PLACE: place}), "rank-places")
-    counts = placed.groupBy(_RANGE).agg(F.count(F.lit(1)).alias(_ROWS))
-    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)  # at most ``ranges`` rows
-    offsets = counts.select(_RANGE, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_BEFORE))
-    ranked = placed.join(F.broadcast(offsets), _RANGE)
-    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(_BEFORE) + F.col(_PLACE) + 1).cast("long").alias(name))
+    return dealt.withColumns({RANGE: F.spark_partition_id(), PLACE: place})
+
+
+def by_ranges(df: DataFrame, order: Sequence[Column], ranges: int | None = None) -> DataFrame:
+    """``sorted_ranges``, written."""
+    return written(sorted_ranges(df, order, ranges), "ranges")
+
+
+def with_rank(df: DataFrame, order: Sequence[Column], name: str = "rank", ranges: int | None = None) -> DataFrame:
+    """``df`` plus the long ``name``: 1, 2, 3, ... by ``order``, ties in any order.
+
+    Runs when called: ranks need the counts of all ranges.
+    """
+    placed = by_ranges(df, order, ranges)
+    counts = placed.groupBy(RANGE).agg(F.count(F.lit(1)).alias(_ROWS))
+    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    offsets = counts.select(RANGE, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_BEFORE))
+    ranked = placed.join(F.broadcast(offsets), RANGE)
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(_BEFORE) + F.col(PLACE) + 1).cast("long").alias(name))

@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 
 from refyield.functions import urls
 from refyield.functions.commerce import has_products, is_purchase, list_revenue
+from refyield.functions.sums import repeatable_sum
 from refyield.operators import sessions as S
+from refyield.operators.ranking import with_rank
 from refyield.operators.search import search_hits, with_search_attributes
 
 REVENUE = "revenue"
@@ -39,7 +41,12 @@ _REV = "__rev"
 _HITS = "__hits"
 
 
-def _round(c: Column, money: str) -> Column:
+def total(column: str, money: str) -> Column:
+    """Aggregate: the sum of revenues, the same in any order of the rows."""
+    return F.sum(column) if money == "decimal" else repeatable_sum(column)
+
+
+def rounded(c: Column, money: str) -> Column:
     return c.cast("decimal(28,2)") if money == "decimal" else F.round(c, 2)
 
 
@@ -57,7 +64,8 @@ def keyword_revenue(
     """``search_domain, search_keyword, revenue`` (rounded to cents), unordered.
 
     ``strict`` is the strict host rule (only ``www.`` dropped), and strict revenue
-    parsing too unless ``strict_revenue`` says otherwise. ``money="decimal"`` sums exact ``DECIMAL(18,2)``.
+    parsing too unless ``strict_revenue`` says otherwise. ``money="decimal"`` sums exact ``DECIMAL(18,2)``;
+    doubles are summed so that the order of the rows does not matter.
     ``observation`` (optional) collects attributed purchase hits and
     sessions with no extra job.
     """
@@ -73,7 +81,7 @@ def keyword_revenue(
         )
     return sessions.groupBy(
         F.col("__domain").alias(S.DOMAIN), F.col("__keyword").alias(S.KEYWORD)
-    ).agg(_round(F.sum(_REV), money).alias(REVENUE))
+    ).agg(rounded(total(_REV, money), money).alias(REVENUE))
 
 
 def session_revenue(
@@ -92,7 +100,7 @@ def session_revenue(
     buy = is_purchase("event_list") & has_products("product_list")
     revenue = list_revenue("product_list", strict=strict if strict_revenue is None else strict_revenue, money=money)
     if lookahead:
-        return _fused_sessions(hits, keys, buy, revenue, coupled=coupled, strict=strict)
+        return _fused_sessions(hits, keys, buy, revenue, coupled=coupled, strict=strict, money=money)
     return _joined_purchases(hits, keys, buy, revenue, coupled=coupled, strict=strict)
 
 
@@ -101,7 +109,7 @@ def attributed_purchase_count(hits: DataFrame, keys: str | Sequence[str] = ("ip"
     return session_revenue(hits, keys, strict=strict).agg(F.coalesce(F.sum(_HITS), F.lit(0)).alias("purchases"))
 
 
-def _fused_sessions(hits, keys, buy, revenue, *, coupled, strict) -> DataFrame:
+def _fused_sessions(hits, keys, buy, revenue, *, coupled, strict, money) -> DataFrame:
     needed = hits.select(*dict.fromkeys([*keys, S.TIME, "event_list", "product_list", "referrer"]))
     # the cheap test first: a purchase's referrer need not be searched
     wanted = needed.filter(buy | urls.is_search("referrer", strict=strict))
@@ -110,7 +118,7 @@ def _fused_sessions(hits, keys, buy, revenue, *, coupled, strict) -> DataFrame:
         *S.key_columns(keys), S.TIME, S.DOMAIN, S.KEYWORD, F.when(buy, revenue).alias(_REV), buy.alias(_HITS)
     )
     per_session = rows.groupBy(*S.key_names(keys)).agg(
-        *S.touch_aggregates(coupled=coupled), F.sum(_REV).alias(_REV), F.count_if(_HITS).alias(_HITS)
+        *S.touch_aggregates(coupled=coupled), total(_REV, money).alias(_REV), F.count_if(_HITS).alias(_HITS)
     )
     return per_session.filter(F.col("__first_domain").isNotNull() & (F.col(_HITS) > 0)).select(
         F.col("__first_domain").alias("__domain"), F.col("__first_keyword").alias("__keyword"), _REV, _HITS
@@ -143,15 +151,24 @@ def ranked(report: DataFrame, k: int | None = None) -> DataFrame:
     return out.limit(k) if k is not None else out
 
 
+def with_ranks(report: DataFrame) -> DataFrame:
+    """The report plus ``rank`` (1, 2, 3, ...) for every row, in the order of ``ranked``."""
+    return with_rank(report, rank_order())
+
+
 def with_headings(report: DataFrame) -> DataFrame:
     """Rename to the published headings: Search Engine Domain, Search Keyword, Revenue."""
     return report.select(*[F.col(src).alias(dst) for src, dst in HEADINGS])
 
 
+def _grand_total(report: DataFrame) -> Column:
+    return total(REVENUE, "double" if dict(report.dtypes)[REVENUE] == "double" else "decimal")
+
+
 def totals(report: DataFrame) -> DataFrame:
     """One row: total attributed revenue and number of (engine, keyword) rows."""
     return report.agg(
-        F.round(F.sum(REVENUE), 2).alias("total_revenue"),
+        F.round(_grand_total(report), 2).alias("total_revenue"),
         F.count(F.lit(1)).alias("keywords"),
     )
 
@@ -163,8 +180,8 @@ def revenue_share(report: DataFrame) -> DataFrame:
     and inlined), not a window over the whole report, which would pull every
     row into one partition.
     """
-    total = report.agg(F.round(F.sum(REVENUE), 2).alias("t")).scalar()
-    return report.select("*", F.round(F.col(REVENUE) * 100 / total, 2).alias("share_pct"))
+    all_revenue = report.agg(F.round(_grand_total(report), 2).alias("t")).scalar()
+    return report.select("*", F.round(F.col(REVENUE) * 100 / all_revenue, 2).alias("share_pct"))
 
 
 def engine_count(hits: DataFrame, *, strict: bool = False) -> DataFrame:

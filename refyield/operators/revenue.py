@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refyield.functions.commerce import has_products, is_purchase, product_entries, product_revenue
+from refyield.functions.sums import repeatable_sum
 from refyield.operators import sessions as S
 from refyield.operators.search import with_search_attributes
 
@@ -56,5 +57,5 @@ def hit_revenue(
     keys = S.normalize_keys(keys)
     lines = product_lines(attributed, strict=strict)
     return lines.groupBy(*keys, S.TIME, S.SESSION_DOMAIN, S.SESSION_KEYWORD).agg(
-        F.sum("product_revenue").alias("hit_revenue")
+        repeatable_sum("product_revenue").alias("hit_revenue")
     )

@@ -18,22 +18,24 @@ Plan: the first touch of each session is an aggregate over search hits only
 session key (a proxy IP holding a third of all hits) is combined inside
 every map task before the shuffle. Session keys are made null-safe by
 grouping on ``(key IS NULL, coalesce(key, ''))``. Forms that give every hit its
-credit join the hits to the touches on the key and a salt of the hit
-(``join_touch``), so that a hot session's hits are dealt over ``SALTS`` tasks; as
-both sides then come from shuffles of their own, adaptive execution can split
-them further. The touches (one row per searching session) are repeated once for
-each salt. ``min_by`` over strings is planned as a sort aggregate: the rows that
-reach it (search hits, and purchases in the fused report) are sorted by session.
+credit join the hits to the touches on the key (``join_touch``). A sketch of the
+hits' keys finds the sessions that hold more hits than a task's share
+(``hot_sessions``); their hits are dealt over as many tasks as their size asks
+for, and only their touches are repeated for each. ``min_by`` over strings is
+planned as a sort aggregate: the rows that reach it (search hits, and purchases
+in the fused report) are sorted by session.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refyield.functions._memo import memo_columns
+from refyield.operators.ranking import PLACE, RANGE, by_ranges
 from refyield.operators.search import search_hits, with_search_attributes
 
 TIME = "hit_time_gmt"
@@ -45,8 +47,9 @@ SESSION_KEYWORD = "session_search_keyword"
 # NULL times sort first: coalesce them to the smallest long.
 _TIME_FLOOR = -(2**63)
 
-# Tasks that a session's hits are dealt over where every hit gets its credit.
-SALTS = 16
+# A session is hot where it holds more hits than this and than a task's share;
+# at most so many are told apart.
+HOT_LEAST, HOT_MOST = 1_000, 1024
 _SALT = "__salt"
 
 _FIRST_DOMAIN = "__first_domain"
@@ -155,16 +158,42 @@ def credited(lookahead: bool, hit_key: str | None = None) -> tuple[Column, Colum
     )
 
 
-def join_touch(hits: DataFrame, touch: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Hits (with ``key_columns`` and a time) joined to their session's touch.
+def hot_sessions(hits: DataFrame, keys: str | Sequence[str] = ("ip",), *, least: int = HOT_LEAST) -> tuple[list[int], int]:
+    """(hashes of the hot sessions' keys, tasks to deal the largest of them over).
 
-    Salted by the hit's time, a hot session's hits meet copies of its touch in
-    several tasks.
+    One scan of the key columns feeds a sketch of the most frequent keys: a summary
+    of fixed size that every task fills and Spark merges. What it finds changes
+    how rows are dealt, never a result.
     """
-    salt = F.pmod(F.xxhash64(TIME), F.lit(SALTS)).cast("int")
-    copies = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    on = [*key_names(keys), _SALT]
-    return hits.withColumn(_SALT, salt).join(touch.withColumn(_SALT, copies), on=on, how=how).drop(_SALT)
+    return _hot(hits.select(*key_columns(normalize_keys(keys))), least)
+
+
+def _hot(keyed: DataFrame, least: int = HOT_LEAST) -> tuple[list[int], int]:
+    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(tasks, HOT_MOST)
+    tracked = max(1024, 8 << most.bit_length())
+    hashed = keyed.select(F.xxhash64(*keyed.columns).alias("h"))
+    seen = hashed.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {most}, {tracked})").alias("top")).first()
+    share = max(least, seen["n"] / tasks)
+    hot = [(t["count"], t["item"]) for t in seen["top"] or [] if t["count"] > share]
+    return [h for _, h in hot], max((min(tasks, math.ceil(n / share)) for n, _ in hot), default=1)
+
+
+def join_touch(hits: DataFrame, touch: DataFrame, keys: Sequence[str], how: str, hot: tuple[list[int], int] | None = None) -> DataFrame:
+    """Hits (with ``key_columns``) joined to their session's touch.
+
+    ``hot``: what ``hot_sessions`` gives; by default these hits are asked. A hot
+    session's hits, dealt by a hash of all their columns, meet copies of its
+    touch in several tasks.
+    """
+    names = key_names(keys)
+    hashes, salts = hot if hot is not None else _hot(hits.select(*names))
+    if not hashes:
+        return hits.join(touch, on=names, how=how)
+    is_hot = F.xxhash64(*names).isin(hashes)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hits.columns]), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    copies = F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    return hits.withColumn(_SALT, salt).join(touch.withColumn(_SALT, copies), on=[*names, _SALT], how=how).drop(_SALT)
 
 
 def attribute(
@@ -178,14 +207,14 @@ def attribute(
     """Every hit plus its own ``search_domain``/``search_keyword`` and the
     session's ``session_search_domain`` / ``session_search_keyword``.
 
-    Join form: hits LEFT JOIN first touch on the null-safe session key and the
-    salt. The hits are read twice, once for the touches. The touch side is
-    broadcast when its measured size is under the broadcast threshold.
+    Join form: hits LEFT JOIN first touch on the null-safe session key. The hits
+    are read twice, once for the touches, and their keys once for the sketch. The
+    touch side is broadcast when its measured size is under the broadcast threshold.
     """
     keys = normalize_keys(keys)
     touch = first_touch(hits, keys, coupled=coupled, with_keys=not lookahead, strict=strict)
     parsed = with_search_attributes(hits, strict=strict)
-    joined = join_touch(parsed.select("*", *key_columns(keys)), touch, keys, "left")
+    joined = join_touch(parsed.select("*", *key_columns(keys)), touch, keys, "left", hot_sessions(hits, keys))
     domain, keyword = credited(lookahead)
     return joined.select(*parsed.columns, domain.alias(SESSION_DOMAIN), keyword.alias(SESSION_KEYWORD))
 
@@ -197,27 +226,42 @@ def attribute_window(
     lookahead: bool = True,
     coupled: bool = False,
     strict: bool = False,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """Window form of ``attribute`` (same answers); kept for equivalence checks.
-
-    It sorts whole sessions inside one task each, so a hot session key is a
-    hot task; prefer ``attribute``.
+    """Window form of ``attribute`` (same answers): a prefix scan in two levels.
+
+    The hits, in the order of their sessions and times, are written in ``chunks``
+    ranges of equal size (by default as many as shuffle partitions), so that a hot
+    session is cut into several. A window runs over each session's part of a chunk;
+    what the chunks before it know (with look-ahead: all of them) comes from a
+    window over one row for each chunk of a session. Sessions in several chunks are
+    those across a border, so that table has two rows a border at most.
     """
     keys = normalize_keys(keys)
+    names = key_names(keys)
     parsed = with_search_attributes(hits, strict=strict)
-    end = Window.unboundedFollowing if lookahead else Window.currentRow
-    w = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col(TIME).asc_nulls_first(), F.col(DOMAIN).asc_nulls_first(), F.col(KEYWORD).asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, end)
+    order = [F.col(c).asc_nulls_first() for c in (TIME, DOMAIN, KEYWORD)]
+    rows = by_ranges(parsed.select("*", *key_columns(keys)), [*map(F.col, names), *order], chunks)
+
+    touch = {
+        _DOMAIN_KEY: F.when(F.col(DOMAIN).isNotNull(), order_key()),
+        _KEYWORD_KEY: F.when(F.col(DOMAIN if coupled else KEYWORD).isNotNull(), order_key()),
+    }
+    of_chunk = rows.groupBy(RANGE, *names).agg(*[F.min(c).alias(k) for k, c in touch.items()])
+    across = Window.partitionBy(*names)
+    before = across.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing if lookahead else -1)
+    carried = (
+        of_chunk.withColumn("__chunks", F.count(F.lit(1)).over(across))
+        .select(RANGE, *names, "__chunks", *[F.min(k).over(before).alias(f"{k}_carried") for k in touch])
+        .filter("__chunks > 1")
+        .drop("__chunks")
     )
-    if coupled:
-        first = F.first(F.when(F.col(DOMAIN).isNotNull(), F.struct(F.col(DOMAIN).alias("d"), F.col(KEYWORD).alias("k"))), ignorenulls=True).over(w)
-        return parsed.select("*", first.getField("d").alias(SESSION_DOMAIN), first.getField("k").alias(SESSION_KEYWORD))
-    return parsed.select(
-        "*",
-        F.first(DOMAIN, ignorenulls=True).over(w).alias(SESSION_DOMAIN),
-        F.first(KEYWORD, ignorenulls=True).over(w).alias(SESSION_KEYWORD),
+    inside = Window.partitionBy(RANGE, *names).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing if lookahead else Window.currentRow)
+    known = rows.select("*", *[F.first(c, ignorenulls=True).over(inside).alias(k) for k, c in touch.items()])
+    joined = known.join(F.broadcast(carried), [RANGE, *names], "left")  # two rows a border
+    first = {k: F.coalesce(f"{k}_carried", k) for k in touch}
+    return joined.select(
+        *[F.col(f"`{c}`") for c in parsed.columns], first[_DOMAIN_KEY]["d"].alias(SESSION_DOMAIN), first[_KEYWORD_KEY]["k"].alias(SESSION_KEYWORD)
     )
 
 
@@ -230,13 +274,16 @@ def session_pairs(
 ) -> DataFrame:
     """One row per session: its keys and attributed (domain, keyword), NULL if none.
 
-    One aggregate over one scan: hits without a search drop out of ``min_by``.
+    All sessions are a hash aggregate over the key columns alone; only search hits
+    are parsed and sorted by session. Both come in the same partitions, so the
+    join moves nothing.
     """
     keys = normalize_keys(keys)
     types = dict(hits.select(*keys).dtypes)
-    parsed = with_search_attributes(hits.select(*dict.fromkeys([*keys, TIME, "referrer"])), strict=strict)
-    sessions = parsed.select(*key_columns(keys), TIME, DOMAIN, KEYWORD).groupBy(*key_names(keys)).agg(*touch_aggregates(coupled=coupled))
-    return sessions.select(
+    names = key_names(keys)
+    sessions = hits.select(*key_columns(keys)).distinct()
+    joined = sessions.join(first_touch(hits, keys, coupled=coupled, strict=strict), names, "left")
+    return joined.select(
         *restore_keys(keys, types),
         F.col(_FIRST_DOMAIN).alias(SESSION_DOMAIN),
         F.col(_FIRST_KEYWORD).alias(SESSION_KEYWORD),

@@ -17,12 +17,13 @@ from refyield.functions import urls
 from refyield.operators import report as R
 from refyield.operators import revenue as V
 from refyield.operators import sessions as S
+from refyield.operators.days import SessionDays
 from refyield.operators.search import with_search_attributes
 from refyield.session import scratch_path
-from refyield.sinks.hits import write_hits, write_hits_by_date
+from refyield.sinks.hits import write_hits, write_hits_by_date, write_hits_by_session
 from refyield.sinks.report import read_report, write_report
 from refyield.sources.events import hits_from_events, pages
-from refyield.sources.hits import read_hits, read_hits_parquet
+from refyield.sources.hits import read_hits, read_hits_by_session, read_hits_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +51,11 @@ def top_keywords(spark, sf_dir, k: int = 5):
     return best.select(F.row_number().over(Window.orderBy(*R.rank_order())).alias("rank"), "*")
 
 
+def report_ranks(spark, sf_dir):
+    """The rank of every row of the report."""
+    return R.with_ranks(keyword_revenue(spark, sf_dir))
+
+
 def report_headings(spark, sf_dir):
     return R.with_headings(ranked_report(spark, sf_dir))
 
@@ -174,14 +180,14 @@ def hits_scan(spark, sf_dir):
 def report_write(spark, sf_dir):
     """Ranked report written with the published headings, read back."""
     out_dir = scratch_path(spark, "report")
-    path = write_report(ranked_report(spark, sf_dir), out_dir, run_date="2009-09-27")
+    path = write_report(ranked_report(spark, sf_dir), out_dir, run_date="2024-03-05")
     return read_report(spark, path)
 
 
 def report_parquet(spark, sf_dir):
     """Ranked report written as a dated Parquet partition, read back."""
     out_dir = scratch_path(spark, "report-parquet")
-    write_report(ranked_report(spark, sf_dir), out_dir, run_date="2009-09-27", fmt="parquet")
+    write_report(ranked_report(spark, sf_dir), out_dir, run_date="2024-03-05", fmt="parquet")
     return spark.read.parquet(out_dir).withColumn("run_date", F.col("run_date").cast("string"))
 
 
@@ -191,6 +197,52 @@ def hits_by_date(spark, sf_dir):
     return read_hits_parquet(spark, path).withColumn("hit_date", F.col("hit_date").cast("string"))
 
 
+def hits_scan_lossless(spark, sf_dir):
+    """The text scan with escapes: empty texts, NULL and line breaks come back."""
+    path = write_hits(_hits(spark, sf_dir), scratch_path(spark, "hits-tsv"), escapes=True)
+    return read_hits(spark, path, escapes=True)
+
+
+def hits_by_session(spark, sf_dir):
+    """Hits written in ranges of sessions, read back."""
+    path = write_hits_by_session(_hits(spark, sf_dir), scratch_path(spark, "hits-by-session"), ("ip", "user_agent"))
+    return read_hits_by_session(spark, path)
+
+
+def report_replace(spark, sf_dir):
+    """The report replaced whole, with escapes: first by its best rows, then by all."""
+    out_dir, report = scratch_path(spark, "report-replace"), ranked_report(spark, sf_dir)
+    for rows in (R.ranked(report, 1), report):
+        path = write_report(rows, out_dir, run_date="2024-03-05", mode="replace", escapes=True)
+    return read_report(spark, path, escapes=True)
+
+
+def _by_days(spark, sf_dir, **rules) -> DataFrame:
+    """Times a minute apart instead of a second: the events then cover several days."""
+    hits = _hits(spark, sf_dir).withColumn(S.TIME, F.col(S.TIME) * 60)
+    dated = read_hits_parquet(spark, write_hits_by_date(hits, scratch_path(spark, "hits-by-date")))
+    state = SessionDays(spark, scratch_path(spark, "session-days"), **rules)
+    days = dated.select("hit_date").distinct().orderBy(F.col("hit_date").asc_nulls_first()).collect()  # a row a day
+    for (day,) in days:
+        state.add(day and day.isoformat(), dated.filter(F.col("hit_date").eqNullSafe(F.lit(day))))
+    return state.report()
+
+
+def keyword_revenue_by_days(spark, sf_dir):
+    """The report from a state to which each day's hits are added once."""
+    return _by_days(spark, sf_dir)
+
+
+def keyword_revenue_by_days_no_lookahead(spark, sf_dir):
+    return _by_days(spark, sf_dir, lookahead=False)
+
+
+def session_attribution_window(spark, sf_dir):
+    """The window form: a prefix scan over chunks of sessions."""
+    hits = _hits(spark, sf_dir).select(S.TIME, "ip", "referrer")
+    return S.attribute_window(hits, lookahead=False).select(S.TIME, "ip", S.SESSION_DOMAIN, S.SESSION_KEYWORD)
+
+
 def hits_scan_strict(spark, sf_dir):
     """The text scan with every file's header checked against the schema."""
     path = write_hits(_hits(spark, sf_dir), scratch_path(spark, "hits-tsv"))
@@ -229,4 +281,11 @@ QUERIES: dict[str, Query] = {
     "report_parquet": report_parquet,
     "hits_by_date": hits_by_date,
     "hits_scan_strict": hits_scan_strict,
+    "hits_scan_lossless": hits_scan_lossless,
+    "hits_by_session": hits_by_session,
+    "report_replace": report_replace,
+    "report_ranks": report_ranks,
+    "keyword_revenue_by_days": keyword_revenue_by_days,
+    "keyword_revenue_by_days_no_lookahead": keyword_revenue_by_days_no_lookahead,
+    "session_attribution_window": session_attribution_window,
 }

@@ -166,9 +166,17 @@ ORACLE_SQL: dict[str, str] = {
     + "ROUND(SUM(product_revenue), 2) AS hit_revenue FROM lines GROUP BY ALL",
     "purchase_count": FULL + "SELECT COUNT(*) AS purchases FROM purchases",
     "hits_scan": _with(HITS) + "SELECT * EXCLUDE (referrer), NULLIF(referrer, '') AS referrer FROM hits",
-    "report_parquet": FULL + "SELECT *, '2009-09-27' AS run_date FROM report",
+    "report_parquet": FULL + "SELECT *, '2024-03-05' AS run_date FROM report",
     "hits_by_date": _with(HITS)
     + "SELECT *, CAST(DATE '1970-01-01' + CAST(floor(hit_time_gmt / 86400) AS INTEGER) AS VARCHAR) AS hit_date FROM hits",
     "hits_scan_strict": _with(HITS) + "SELECT * EXCLUDE (referrer), NULLIF(referrer, '') AS referrer FROM hits",
+    "hits_scan_lossless": _with(HITS) + "SELECT * FROM hits",
+    "hits_by_session": _with(HITS) + "SELECT * FROM hits",
+    "report_replace": FULL + f"SELECT {_HEADINGS} FROM report {_RANKED}",
+    "report_ranks": FULL + f"SELECT row_number() OVER ({_RANKED}) AS rank, * FROM report",
+    "keyword_revenue_by_days": FULL + "SELECT * FROM report",
+    "keyword_revenue_by_days_no_lookahead": _with(HITS, PARSED, _attributed(lookahead=False)) + "SELECT * FROM report",
+    "session_attribution_window": _with(HITS, PARSED, _attributed(lookahead=False))
+    + "SELECT hit_time_gmt, ip, session_search_domain, session_search_keyword FROM attributed",
     "report_write": FULL + f"SELECT {_HEADINGS} FROM report {_RANKED}",
 }

@@ -1,0 +1,128 @@
+"""Day-by-day state of sessions, and tables that are replaced whole."""
+
+from __future__ import annotations
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from refyield.operators import days as D
+from refyield.operators import report as R
+from refyield.sinks import versions
+from samples import SHOP, hit, make_hits
+
+REFERRERS = [SHOP] * 6 + ["http://www.google.com/?q=oak", "http://bing.com/?q=tea", "http://google.ca/webhp", None]
+
+
+def random_hits(seed: int, n: int = 400):
+    """Sessions that run over days 0 to 6; some hits without a time, some without a key."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        time = None if rng.random() < 0.05 else rng.randrange(7) * 86400 + rng.choice([5, 5, rng.randrange(86400)])
+        ip = rng.choice([None, "", *[f"10.1.0.{i}" for i in range(20)]])
+        buys = rng.random() < 0.4
+        products = rng.choice(["a;b;1;2.5;", "a;b;1;;", "a;b;1;4;,c;d;1;1.25;", "x;y"]) if buys else None
+        rows.append(hit(time, ip, "1" if buys else "2", products, rng.choice(REFERRERS), agent=rng.choice(["A", "B", None])))
+    return rows
+
+
+def by_day(rows):
+    """(day, its hits), hits without a time first."""
+    out: dict = {}
+    for r in rows:
+        out.setdefault(None if r[0] is None else f"day-{r[0] // 86400}", []).append(r)
+    return sorted(out.items(), key=lambda x: x[0] or "")
+
+
+def result(df):
+    return sorted(((r.search_domain, r.search_keyword or "", r.revenue) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("lookahead", [True, False])
+@pytest.mark.parametrize("coupled", [True, False])
+def test_days_add_up_to_the_report(spark, tmp_path, lookahead, coupled):
+    rows = random_hits(4 + lookahead + 2 * coupled)
+    rules = {"lookahead": lookahead, "coupled": coupled}
+    state = D.SessionDays(spark, str(tmp_path / "state"), ("ip", "user_agent"), **rules)
+    seen = []
+    for i, (day, hits) in enumerate(by_day(rows)):
+        assert state.add(day, make_hits(spark, hits))
+        seen += hits
+        if i in (2, 7):
+            want = R.keyword_revenue(make_hits(spark, seen), ("ip", "user_agent"), **rules)
+            assert result(state.report()) == result(want)
+    assert state.days() == [d for d, _ in by_day(rows)]
+    runs = versions.newest(spark, state.path)[1]["runs"]
+    assert [r["level"] for r in runs] == [3]  # eight days, one run
+
+
+def test_with_lookahead_days_come_in_any_order(spark, tmp_path):
+    rows = random_hits(11)
+    state = D.SessionDays(spark, str(tmp_path / "state"))
+    days = by_day(rows)
+    for day, hits in random.Random(2).sample(days, 5):
+        state.add(day, make_hits(spark, hits))
+    rest = [d for d in days if d[0] not in state.days()]
+    state.add(rest[0][0], make_hits(spark, rest[0][1]))
+    left = {d for d, _ in days} - set(state.days())
+    want = [r for d, hits in days if d not in left for r in hits]
+    assert result(state.report()) == result(R.keyword_revenue(make_hits(spark, want)))
+
+
+def test_states_merge_in_any_grouping(spark):
+    rows = random_hits(21)
+    parts = [D.day_state(make_hits(spark, hits), lookahead=False) for _, hits in by_day(rows)[:4]]
+    merge = lambda *s: D.merge_states(s, lookahead=False)
+    left = merge(merge(merge(parts[0], parts[1]), parts[2]), parts[3])
+    right = merge(parts[0], merge(parts[1], merge(parts[2], parts[3])))
+    flat = merge(*parts)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(left) == key(right) == key(flat)
+
+
+def test_a_day_counts_once_and_rules_are_kept(spark, tmp_path):
+    (first, one), (second, two), *_ = by_day(random_hits(5))
+    state = D.SessionDays(spark, str(tmp_path / "state"), lookahead=False)
+    with pytest.raises(ValueError, match="no day"):
+        state.state()
+    assert state.add(second, make_hits(spark, two)) and not state.add(second, make_hits(spark, two))
+    with pytest.raises(ValueError, match="come in order"):
+        state.add(first, make_hits(spark, one))
+    with pytest.raises(ValueError, match="was made with"):
+        D.SessionDays(spark, str(tmp_path / "state")).days()
+    assert result(state.report()) == result(R.keyword_revenue(make_hits(spark, two), lookahead=False))
+
+
+def test_a_failed_day_leaves_the_state(spark, tmp_path):
+    days = by_day(random_hits(6))
+    state = D.SessionDays(spark, str(tmp_path / "state"))
+    state.add(*(days[1][0], make_hits(spark, days[1][1])))
+    before = result(state.report())
+    broken = make_hits(spark, days[2][1]).withColumn("product_list", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        state.add(days[2][0], broken.filter("event_list = '1'"))
+    assert result(state.report()) == before and state.days() == [days[1][0]]
+    assert state.add(days[2][0], make_hits(spark, days[2][1]))
+
+
+def test_versions_are_replaced_whole(spark, tmp_path):
+    base = str(tmp_path / "table")
+    assert versions.newest(spark, base) == (0, None) and versions.current_folder(spark, base) is None
+    versions.replace(spark, base, spark.range(3).write.parquet)
+    kept = versions.current_folder(spark, base)
+
+    def fails(folder):
+        rows = spark.range(100, numPartitions=4)
+        rows.select(F.when(F.col("id") < 60, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")).alias("id")).write.parquet(folder)
+
+    with pytest.raises(Exception, match="lost"):
+        versions.replace(spark, base, fails)
+    assert versions.current_folder(spark, base) == kept and spark.read.parquet(kept).count() == 3
+    versions.replace(spark, base, spark.range(5).write.parquet)
+    assert spark.read.parquet(versions.current_folder(spark, base)).count() == 5
+    assert versions.newest(spark, base)[0] == 2
+    versions.remove(spark, kept)
+    assert not os.path.exists(kept)

@@ -48,12 +48,22 @@ def test_referrer_parsed_once_per_row(spark, sample):
     assert optimized.count("//([^/?#") <= 3
 
 
-def test_session_pairs_scan_and_shuffle_once(spark, tmp_path, sample):
+def test_session_pairs_sort_only_search_hits(spark, tmp_path, sample):
     path = str(tmp_path / "hits.parquet")
     sample.write.parquet(path)
-    plan = _plan(S.session_pairs(spark.read.parquet(path)))
-    assert plan.count("Scan parquet") == 1
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(S.session_pairs(spark.read.parquet(path)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # all hits: their keys alone, hash aggregates; search hits: their columns, sorted
+    assert sorted(re.findall(r"ReadSchema: struct<([^>]*)>", plan)) == ["hit_time_gmt:bigint,ip:string,referrer:string", "ip:string"]
+    sessions, touches = plan.split("SortMergeJoin")[1].split("ReadSchema: struct<ip:string>")[0], plan.split("ReadSchema: struct<ip:string>")[1]
+    assert "SortAggregate" not in sessions and sessions.count("HashAggregate") == 2
+    assert "SortAggregate" in touches and "regexp_extract" in touches
+    # one exchange for each side, none for the join
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
 
 
 def test_credited_purchase_count_scans_once(spark, tmp_path, sample):
@@ -108,6 +118,44 @@ def test_a_hot_session_is_dealt_over_tasks(spark, skewed, form):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_hot_sessions_are_found_and_no_others(spark, skewed):
+    hits = spark.read.parquet(skewed)
+    hashes, tasks = S.hot_sessions(hits, "ip")
+    hot = hits.select(*S.key_columns(("ip",)), "ip").distinct().filter(F.xxhash64(*S.key_names(("ip",))).isin(hashes)).collect()
+    assert [r.ip for r in hot] == ["hot"] and 2 <= tasks <= 4
+    assert S.hot_sessions(hits, "ip", least=50_000) == ([], 1)
+    assert S.hot_sessions(hits.limit(0), "ip") == ([], 1)
+    assert S.hot_sessions(hits.limit(0), ("ip", "event_list")) == ([], 1)
+
+
+def test_only_hot_touches_are_repeated(spark, skewed):
+    """The touches that are shuffled: one a session, and a few of the hot one."""
+    hits = spark.read.parquet(skewed).withColumn("referrer", F.lit("http://bing.com/?q=x"))
+    hot = S.hot_sessions(hits, "ip")
+    touch = S.first_touch(hits, "ip")
+    joined = S.join_touch(hits.select("*", *S.key_columns(("ip",))), touch, ("ip",), "left", hot)
+    assert "explode" in _optimized(joined) and joined.count() == 60_000
+    sessions = touch.count()
+    is_hot = F.xxhash64(*S.key_names(("ip",))).isin(hot[0])
+    copies = touch.select(F.when(is_hot, hot[1]).otherwise(1).alias("n")).agg(F.sum("n")).first()[0]
+    assert sessions > 50 and copies <= 1.1 * sessions
+    # without a hot session nothing is salted, and the touches stay where they are
+    plain = S.join_touch(hits.select("*", *S.key_columns(("ip",))), touch, ("ip",), "left", ([], 1))
+    assert "explode" not in _optimized(plain)
+
+
+@pytest.mark.parametrize("lookahead", [True, False])
+@pytest.mark.parametrize("coupled", [True, False])
+def test_window_form_cuts_a_hot_session(spark, skewed, lookahead, coupled):
+    hits = spark.read.parquet(skewed)
+    columns = ["ip", "hit_time_gmt", S.SESSION_DOMAIN, S.SESSION_KEYWORD]
+    window = S.attribute_window(hits, lookahead=lookahead, coupled=coupled, chunks=16).select(*columns)
+    plain = S.attribute(hits, lookahead=lookahead, coupled=coupled).select(*columns)
+    assert window.exceptAll(plain).isEmpty() and plain.exceptAll(window).isEmpty()
+    sizes = S.by_ranges(hits, [F.col("ip"), F.col("hit_time_gmt")], 16).groupBy(S.RANGE, "ip").count()
+    assert sizes.agg(F.max("count")).first()[0] < 2 * 60_000 / 16
+
+
 def test_a_hot_session_is_split_by_adaptive_execution(spark, skewed):
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
