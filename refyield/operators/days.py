@@ -160,18 +160,18 @@ class SessionDays:
         self.keys = S.normalize_keys(keys)
         self.rules = {"lookahead": lookahead, "coupled": coupled, "strict": strict, "strict_revenue": strict_revenue, "money": money}
 
-    def _content(self) -> dict:
-        _, content = newest(self.spark, self.path)
+    def _newest(self) -> tuple[int, dict]:
+        version, content = newest(self.spark, self.path)
         made = {"keys": list(self.keys), "rules": self.rules}
         if content is None:
-            return made | {"runs": [], "superseded": []}
+            return version, made | {"runs": [], "superseded": []}
         if {k: content[k] for k in made} != made:
             raise ValueError(f"the state at {self.path} was made with {content['keys']}, {content['rules']}")
-        return content
+        return version, content
 
     def days(self) -> list[str | None]:
         """The days that count, in the order they were added."""
-        return [d for run in self._content()["runs"] for d in run["days"]]
+        return [d for run in self._newest()[1]["runs"] for d in run["days"]]
 
     def _read(self, run: dict) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{run['folder']}")
@@ -186,7 +186,7 @@ class SessionDays:
 
         Without look-ahead days come in order, None (hits without a time) first.
         """
-        content = self._content()
+        version, content = self._newest()
         known = [d for run in content["runs"] for d in run["days"]]
         if day in known:
             return False
@@ -199,14 +199,14 @@ class SessionDays:
             merged = merge_states([self._read(r) for r in pair], self.keys, lookahead=self.rules["lookahead"])
             runs.append(self._write(merged, pair[0]["days"] + pair[1]["days"], pair[0]["level"] + 1))
             superseded += [r["folder"] for r in pair]
-        publish(self.spark, self.path, content | {"runs": runs, "superseded": superseded})
+        publish(self.spark, self.path, content | {"runs": runs, "superseded": superseded}, after=version)
         for folder in content["superseded"]:  # those of the version before, which readers may still hold, stay
             remove(self.spark, f"{self.path}/{folder}")
         return True
 
     def state(self) -> DataFrame:
         """One row for each session of all days."""
-        runs = self._content()["runs"]
+        runs = self._newest()[1]["runs"]
         if not runs:
             raise ValueError(f"no day has been added to {self.path}")
         return merge_states([self._read(r) for r in runs], self.keys, lookahead=self.rules["lookahead"])

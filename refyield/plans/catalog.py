@@ -218,8 +218,8 @@ def report_replace(spark, sf_dir):
 
 
 def _by_days(spark, sf_dir, **rules) -> DataFrame:
-    """Times a minute apart instead of a second: the events then cover several days."""
-    hits = _hits(spark, sf_dir).withColumn(S.TIME, F.col(S.TIME) * 60)
+    """Times half a minute apart instead of a second: the events then cover days."""
+    hits = _hits(spark, sf_dir).withColumn(S.TIME, F.col(S.TIME) * 30)
     dated = read_hits_parquet(spark, write_hits_by_date(hits, scratch_path(spark, "hits-by-date")))
     state = SessionDays(spark, scratch_path(spark, "session-days"), **rules)
     days = dated.select("hit_date").distinct().orderBy(F.col("hit_date").asc_nulls_first()).collect()  # a row a day

@@ -50,18 +50,19 @@ def utc_day(time: Column) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(time / 86400).cast("int"))
 
 
-def write_hits_by_date(hits: DataFrame, path: str, *, mode: str = "overwrite", rows_per_file: int = 1_000_000) -> str:
+def write_hits_by_date(hits: DataFrame, path: str, *, mode: str = "overwrite", rows_per_file: int = 1_000_000, files_per_date: int | None = None) -> str:
     """Write hits as Parquet partitioned by ``hit_date`` (UTC day of ``hit_time_gmt``).
 
     Readers that filter on ``hit_date`` then list and scan only those
     partitions (see ``read_hits_parquet``); hits without a time go to the
     null partition. The days are counted first (a scan of the times alone), and a
     day's rows are dealt by a hash to as many files, and tasks, as its count asks
-    for. Only the dates present in ``hits`` are replaced on overwrite.
+    for. ``files_per_date`` sets one number for all days instead. Only the dates
+    present in ``hits`` are replaced on overwrite.
     """
     dated = hits.select(*HIT_COLUMNS, utc_day(F.col("hit_time_gmt")).alias("hit_date"))
-    files = F.ceil(F.count(F.lit(1)) / rows_per_file).alias("__files")
-    counted = dated.groupBy(F.col("hit_date").alias("__date")).agg(files)
+    files = F.ceil(F.count(F.lit(1)) / rows_per_file) if files_per_date is None else F.lit(files_per_date)
+    counted = dated.groupBy(F.col("hit_date").alias("__date")).agg(files.alias("__files"))
     dealt = dated.join(F.broadcast(counted), F.col("hit_date").eqNullSafe(F.col("__date")))  # a row a day
     salt = F.pmod(F.xxhash64(*HIT_COLUMNS), F.col("__files"))
     (
@@ -96,7 +97,8 @@ def write_hits_by_session(hits: DataFrame, path: str, keys: str | Sequence[str]
         for k in keys:
             out = out.option(f"parquet.bloom.filter.enabled#{k}", "true")
         out.parquet(f"{folder}/{SESSION_RANGES}")
-        written = hits.sparkSession.read.parquet(f"{folder}/{SESSION_RANGES}")
+        schema = ordered.withColumnRenamed(RANGE, "range").schema
+        written = hits.sparkSession.read.schema(schema).parquet(f"{folder}/{SESSION_RANGES}")
         written.filter(F.col(PLACE) == 0).select("range", *names).coalesce(1).write.parquet(f"{folder}/{FIRST_KEYS}")
 
     return replace(hits.sparkSession, path, write).rsplit("/", 1)[0]

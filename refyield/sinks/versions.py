@@ -39,9 +39,12 @@ def newest(spark: SparkSession, base: str) -> tuple[int, Any]:
     return (found[0].version, json.loads(found[0].content)) if found else (0, None)
 
 
-def publish(spark: SparkSession, base: str, content: Any) -> int:
-    """Make ``content`` (anything JSON holds) the newest version; return its number."""
-    version = newest(spark, base)[0] + 1
+def publish(spark: SparkSession, base: str, content: Any, after: int | None = None) -> int:
+    """Make ``content`` (anything JSON holds) the newest version; return its number.
+
+    ``after``: the number of the version before, where it is known.
+    """
+    version = (newest(spark, base)[0] if after is None else after) + 1
     line = spark.createDataFrame([(version, json.dumps(content))], _SCHEMA)
     line.coalesce(1).write.mode("append").json(_manifest(base))
     return version

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from refyield.functions.escapes import unescape
 from refyield.sinks.versions import current_folder
@@ -123,7 +123,8 @@ def _session_table(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     folder = current_folder(spark, path)
     if folder is None:
         raise ValueError(f"no hits by session at {path}")
-    return spark.read.parquet(f"{folder}/{SESSION_RANGES}"), spark.read.parquet(f"{folder}/{FIRST_KEYS}")
+    schema = StructType(HIT_SCHEMA.fields + [StructField("range", IntegerType())])
+    return spark.read.schema(schema).parquet(f"{folder}/{SESSION_RANGES}"), spark.read.parquet(f"{folder}/{FIRST_KEYS}")
 
 
 def session_hits(spark: SparkSession, path: str, **key_values) -> DataFrame:

@@ -7,7 +7,7 @@ from refyield.sources.hits import HIT_SCHEMA
 
 def hit(t, ip, events, products, referrer, agent="Mozilla/5.0"):
     """A hit row in HIT_SCHEMA order; unused columns get plain values."""
-    return (t, "2009-09-27 06:00:00", agent, ip, events, "City", "ST", "US", "Page", "http://shop.example/", products, referrer)
+    return (t, "2024-03-05 06:00:00", agent, ip, events, "City", "ST", "US", "Page", "http://shop.example/", products, referrer)
 
 
 SHOP = "http://www.shop.example/"

@@ -15,7 +15,7 @@ from refyield.operators import revenue as V
 from refyield.operators import sessions as S
 
 GOOGLE_NO_KW = "http://www.google.com/search?hl=en"
-BING_ZUNE = "http://www.bing.com/search?q=Zune"
+BING_OAK = "http://www.bing.com/search?q=Oak+desk"
 
 
 def _report(df, **kw):
@@ -84,32 +84,32 @@ def test_no_search_no_credit(spark):
 
 
 def test_lookahead_decoupled_and_options(spark):
-    # t1 purchase (no search), t2 google without keyword, t3 bing with Zune.
+    # t1 purchase (no search), t2 google without keyword, t3 bing with Oak desk.
     rows = [
         hit(1, "9.9.9.9", "1", "a;b;1;10;", SHOP),
         hit(2, "9.9.9.9", "1", "a;b;1;20;", GOOGLE_NO_KW),
-        hit(3, "9.9.9.9", "1", "a;b;1;30;", BING_ZUNE),
+        hit(3, "9.9.9.9", "1", "a;b;1;30;", BING_OAK),
     ]
     df = make_hits(spark, rows)
-    assert _report(df) == {("google.com", "Zune"): 60.0}
+    assert _report(df) == {("google.com", "Oak desk"): 60.0}
     assert _report(df, coupled=True) == {("google.com", None): 60.0}
-    assert _report(df, lookahead=False) == {("google.com", None): 20.0, ("google.com", "Zune"): 30.0}
+    assert _report(df, lookahead=False) == {("google.com", None): 20.0, ("google.com", "Oak desk"): 30.0}
     assert _report(df, lookahead=False, coupled=True) == {("google.com", None): 50.0}
     per_hit = {r.hit_time_gmt: (r.session_search_domain, r.session_search_keyword)
                for r in S.attribute(df, lookahead=False).collect()}
-    assert per_hit == {1: (None, None), 2: ("google.com", None), 3: ("google.com", "Zune")}
+    assert per_hit == {1: (None, None), 2: ("google.com", None), 3: ("google.com", "Oak desk")}
 
 
 def test_null_ip_is_one_session_and_null_time_first(spark):
     rows = [
-        hit(None, None, "", "", BING_ZUNE),
+        hit(None, None, "", "", BING_OAK),
         hit(5, None, "1", "a;b;1;7;", SHOP),
         hit(1, None, "", "", "http://www.google.com/?q=later"),
         hit(3, "", "1", "a;b;1;4;", SHOP),
         hit(2, "", "", "", "http://www.google.com/?q=empty"),
     ]
     df = make_hits(spark, rows)
-    assert _report(df) == {("bing.com", "Zune"): 7.0, ("google.com", "empty"): 4.0}
+    assert _report(df) == {("bing.com", "Oak desk"): 7.0, ("google.com", "empty"): 4.0}
 
 
 def test_ties_in_time_take_lowest_domain_then_keyword(spark):
@@ -171,7 +171,7 @@ def test_decimal_money_is_exact(spark):
 
 def _random_sessions(seed: int, n: int = 400):
     rnd = random.Random(seed)
-    refs = [SHOP, GOOGLE_NO_KW, BING_ZUNE, "http://www.google.com/?q=Ipod", "http://search.yahoo.com/?p=cd",
+    refs = [SHOP, GOOGLE_NO_KW, BING_OAK, "http://www.google.com/?q=Kettle", "http://search.yahoo.com/?p=cd",
             "http://www.google.com/?q=ipod", "http://www.aol.com/?q=x+y"]
     rows = []
     for i in range(n):

@@ -93,9 +93,9 @@ def test_hits_round_trip(spark, tmp_path, sample):
 
 def test_report_tab_and_parquet(spark, tmp_path, sample):
     report = R.ranked(R.keyword_revenue(sample))
-    path = write_report(report, str(tmp_path / "out"), run_date="2009-09-27", single_file=True)
-    assert path == report_path(str(tmp_path / "out"), "2009-09-27")
-    assert path.endswith("2009-09-27_SearchKeywordPerformance.tab")
+    path = write_report(report, str(tmp_path / "out"), run_date="2024-03-05", single_file=True)
+    assert path == report_path(str(tmp_path / "out"), "2024-03-05")
+    assert path.endswith("2024-03-05_SearchKeywordPerformance.tab")
     parts = glob.glob(os.path.join(path, "part-*"))
     assert len(parts) == 1
     lines = open(parts[0]).read().splitlines()
@@ -104,18 +104,18 @@ def test_report_tab_and_parquet(spark, tmp_path, sample):
     assert read_report(spark, path).count() == 3
     assert sorted(read_report_plain(spark, path).collect()) == sorted(R.keyword_revenue(sample).collect())
 
-    pq = write_report(report, str(tmp_path / "pq"), run_date="2009-09-27", fmt="parquet")
-    write_report(report.limit(1), str(tmp_path / "pq"), run_date="2009-09-28", fmt="parquet")
+    pq = write_report(report, str(tmp_path / "pq"), run_date="2024-03-05", fmt="parquet")
+    write_report(report.limit(1), str(tmp_path / "pq"), run_date="2024-03-06", fmt="parquet")
     both = spark.read.parquet(str(tmp_path / "pq"))
-    assert pq.endswith("run_date=2009-09-27")
-    assert both.filter(F.col("run_date") == "2009-09-27").count() == 3
+    assert pq.endswith("run_date=2024-03-05")
+    assert both.filter(F.col("run_date") == "2024-03-05").count() == 3
     assert both.count() == 4
 
 
 def test_job_end_to_end(spark, tmp_path):
     src = _write_tsv(tmp_path / "hits.tsv", SAMPLE_ROWS)
     out = str(tmp_path / "reports")
-    args = job.parse_args(["--input", src, "--output", out, "--run-date", "2009-09-27", "--single-file"])
+    args = job.parse_args(["--input", src, "--output", out, "--run-date", "2024-03-05", "--single-file"])
     path = job.run(spark, args)
     lines = open(glob.glob(os.path.join(path, "part-*"))[0]).read().splitlines()
     assert lines[0].split("\t") == ["Search Engine Domain", "Search Keyword", "Revenue"]
@@ -217,3 +217,16 @@ def test_scratch_needs_a_shared_folder_off_the_local_machine():
             checkpoint_dir(session(master))
         assert checkpoint_dir(session(master, "hdfs://x/y")) == "hdfs://x/y"
     assert os.path.isdir(checkpoint_dir(session("local[3]")))
+
+
+def test_job_adds_days_to_a_state(spark, tmp_path):
+    """The report after each day is that of all hits so far; a day counts once."""
+    days = {"2024-03-04": SAMPLE_ROWS[:6], "2024-03-05": SAMPLE_ROWS[6:]}
+    for day, rows in days.items():
+        src = _write_tsv(tmp_path / f"{day}.tsv", rows)
+        args = ["--input", src, "--output", str(tmp_path / "out"), "--run-date", day, "--state", str(tmp_path / "state"), "--replace", "--escapes"]
+        path = job.run(spark, job.parse_args(args))
+    again = job.run(spark, job.parse_args(args))
+    assert again == path == report_path(str(tmp_path / "out"), "2024-03-05")
+    rows = R.ranked(read_report_plain(spark, path, escapes=True)).collect()
+    assert [tuple(r) for r in rows] == SAMPLE_REPORT
