@@ -10,13 +10,18 @@ Texts link if the sets of their five-word shingles have a Jaccard similarity of
    is dropped if the probability that its similarity reaches the threshold, given
    the values that agree (uniform prior; two different shingles agree by chance
    once in 256), is below 1e-6. The pairs that remain join texts into clusters.
-4. In each cluster all pairs are pruned the same way and the rest verified on the
-   whole shingle sets. Links are counted where they are found, and classes are
-   the components of the verified links.
+4. In each cluster all pairs are pruned the same way, on the values alone, and rows
+   without a pair left are dropped from that pair of blocks. What remains is
+   verified on the whole shingle sets. Links are counted where they are found, and
+   classes are the components of the verified links. A cluster may be a chain of
+   texts under the threshold; comparing values then costs it little, and its texts
+   are not fetched.
 
 Buckets and clusters are cut into blocks and every pair of blocks is work of its
-own, so no group meets in one task and no pair leaves a worker. Texts move once
-to their class and, only those in clusters, once more to their blocks.
+own, so no group meets in one task and no pair leaves a worker. Only texts that
+have a pair to verify move: a Bloom filter of their keys, of bounded size, picks
+them where the table is read; they go once to their class and once more to each
+pair of blocks that has such a pair.
 
 Defined results: a null text links with nothing and is a class of its own row;
 texts without words are linked with equal texts only; one to four words are one
@@ -30,13 +35,15 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refyield.llm.blocks import columns, dealt, group_edges, in_block_pairs, row_pairs, whole_groups
-from refyield.llm.common import map_arrow, one_of_each, row_keys, staged, table
+from refyield.llm.common import map_arrow, one_of_each, row_keys, ship_package, staged, table
 from refyield.llm.components import components
+from refyield.llm.decontamination import bloom_filter, passes
 from refyield.llm.shingles import MinHash, folded, shingle_set
 
 THRESHOLD, TOLERANCE = 0.8, 1e-6
@@ -126,13 +133,47 @@ def candidate_edges(signs: DataFrame, needed: dict[int, int]) -> DataFrame:
     return map_arrow(dealt(members, "bucket"), run, "a binary, b binary")
 
 
+def pairs_left(members: DataFrame, needed: dict[int, int]) -> DataFrame:
+    """(root, key, sign, n_chars) of clusters -> (root, lo, hi, blk, key): the rows of
+    each pair of blocks with at least one pair that survives there."""
+    placed = in_block_pairs(members.select("root", "key", "n_chars", "sign"), "root", "key", CLUSTER_BLOCK, "n_chars", CLUSTER_CHARS)
+    names = ["root", "lo", "hi", "blk", "key"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, starts in whole_groups(batches, "root"):
+            rows, kept = _signs(t), np.zeros(t.num_rows, bool)
+            for left, right in row_pairs(starts, *columns(t, ["blk", "lo", "hi"])):
+                alive = surviving(rows, left, right, needed)
+                kept[left[alive]] = kept[right[alive]] = True
+            if kept.any():
+                yield from t.select(names).filter(pa.array(kept)).to_batches()
+
+    return map_arrow(dealt(placed.select(*names, "sign"), "root"), run, "root binary, lo int, hi int, blk int, key binary")
+
+
+def may_hold(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose key a Bloom filter of ``keys`` lets pass: all whose
+    key is there, few others. Keys alone go to Python."""
+    h = F.xxhash64("key")
+    bloom = texts.sparkSession.sparkContext.broadcast(bloom_filter(keys.select(h.alias("fp")), keys.count()))
+    ship_package(texts.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def held(fp: pd.Series) -> pd.Series:
+        return pd.Series(passes(bloom.value, fp.to_numpy().view(np.uint64)))
+
+    return texts.filter(held(h))
+
+
 def verified_links(members: DataFrame, texts: DataFrame, threshold: float, needed: dict[int, int]) -> DataFrame:
     """(root, key, sign, n_chars, copies) of clusters and (key, text) -> (key, peer,
     links): for each pair of blocks, the copies that a text links with and a text
     of its component there."""
-    narrow = in_block_pairs(members.select("root", "key", "n_chars"), "root", "key", CLUSTER_BLOCK, "n_chars", CLUSTER_CHARS)
-    whole = members.select("key", "sign", "copies").join(texts, "key")
-    pairs = narrow.drop("n_chars").join(whole, "key")
+    left_over = staged(pairs_left(members, needed), "jaccard-pairs-left")
+    keys = left_over.select("key").distinct()
+    once = may_hold(texts, keys).groupBy("key").agg(F.first("text").alias("text"))
+    whole = members.select("key", "sign", "copies").join(keys, "key").join(once, "key")
+    pairs = left_over.join(whole, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, starts in whole_groups(batches, "root"):
@@ -197,8 +238,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     signs = staged(signatures(texts), "jaccard-signs")
     clusters = components(candidate_edges(signs, needed))
     members = clusters.select(F.col("node").alias("key"), "root").join(signs, "key").join(classes.select("key", "copies"), "key")
-    once = texts.groupBy("key").agg(F.first("text").alias("text"))
-    links = staged(verified_links(staged(members, "jaccard-clusters"), once, threshold, needed), "jaccard-links")
+    links = staged(verified_links(staged(members, "jaccard-clusters"), texts.select("key", "text"), threshold, needed), "jaccard-links")
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
     groups = components(links.select(F.col("key").alias("a"), F.col("peer").alias("b")))
     member = classes.join(groups.withColumnRenamed("node", "key"), "key", "left").join(counts, "key", "left")

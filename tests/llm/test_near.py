@@ -202,6 +202,27 @@ def test_jaccard_classes_equal_brute_force(spark, monkeypatch):
     assert all(r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def test_a_chain_of_templates_is_no_class(spark, monkeypatch):
+    """Neighbours of a chain are alike at 0.65, so one cluster holds them; few link,
+    and only texts with a pair to verify are fetched."""
+    monkeypatch.setattr(jaccard, "CLUSTER_BLOCK", 8)
+    rng = random.Random(12)
+    text, rows = [f"w{i}" for i in range(100)], []
+    for i in range(60):
+        rows.append((i, " ".join(text)))
+        for at in range(i % 4 * 5 + 4, 100, 25):
+            text[at] = f"n{i}-{at}"
+    near = [(200 + i, rows[i][1] + " end") for i in range(0, 60, 20)]
+    far = [(300 + i, words(rng, 50)) for i in range(20)]
+    rows += near + far
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.jaccard_classes(df).collect()
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=str) == brute_classes(rows)
+    keyed = df.select(jaccard.text_key().alias("key"), "text")
+    fetched = jaccard.may_hold(keyed, keyed.filter("text LIKE '% end'").select("key"))
+    assert 3 <= fetched.count() < 20
+
+
 def test_a_null_id_is_not_the_least(spark):
     rng = random.Random(5)
     base = words(rng, 100)
@@ -300,3 +321,14 @@ def test_recall_of_codes(cosine, least):
     salt = np.zeros(600, np.int64)
     met = [bool(set(x) & set(y)) for x, y in zip(hasher.codes(a, salt).tolist(), hasher.codes(b, salt).tolist(), strict=True)]
     assert np.mean(met) >= least
+
+
+def test_closest_axes():
+    rng = np.random.default_rng(2)
+    for d in (1, 2, 4, 64):
+        y = rng.normal(size=(50, d))
+        most = min(3, 2 * d)
+        best, close = vectors.closest_axes(y, most)
+        both = np.concatenate([y, -y], axis=1)
+        order = np.argsort(-both, axis=1)[:, :most]
+        assert (best == order).all() and np.allclose(close, np.take_along_axis(both, order, 1))
