@@ -46,13 +46,32 @@ BLOCK = 512
 
 def hadamard(x: np.ndarray) -> np.ndarray:
     """The fast Hadamard transform of each row (its length a power of two)."""
+    x = x.copy()
     n, d = x.shape
     step = 1
     while step < d:
-        x = x.reshape(n, -1, 2, step)
-        x = np.stack([x[:, :, 0] + x[:, :, 1], x[:, :, 0] - x[:, :, 1]], axis=2)
+        y = x.reshape(n, -1, 2, step)
+        first, second = y[:, :, 0], y[:, :, 1]
+        total = first + second
+        np.subtract(first, second, out=second)
+        first[...] = total
         step *= 2
-    return x.reshape(n, d)
+    return x
+
+
+def closest_axes(y: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, closeness) of the ``most`` signed axes closest to each row, best
+    first; axis i + d is the negative of axis i."""
+    d = y.shape[1]
+    if most > d:  # an axis and its negative may both be among them
+        both = np.concatenate([y, -y], axis=1)
+        best = np.argsort(-both, axis=1, kind="stable")[:, :most]
+        return best, np.take_along_axis(both, best, 1)
+    size = np.abs(y)
+    best = np.argpartition(size, d - most, axis=1)[:, d - most :]
+    order = np.argsort(-np.take_along_axis(size, best, 1), axis=1, kind="stable")
+    best = np.take_along_axis(best, order, 1)
+    return best + d * (np.take_along_axis(y, best, 1) < 0), np.take_along_axis(size, best, 1)
 
 
 class CrossPolytope:
@@ -62,7 +81,8 @@ class CrossPolytope:
         self.dims, self.tables, self.hashes, self.probes = dims, tables, hashes, probes
         self.size = 1 << max(0, dims - 1).bit_length()
         rng = np.random.default_rng([seed, dims])
-        self.signs = rng.choice([-1.0, 1.0], (tables, hashes, 3, self.size))
+        # codes are made in single precision; pairs are verified in doubles
+        self.signs = rng.choice([-1.0, 1.0], (tables, hashes, 3, self.size)).astype(np.float32)
         self.choices = np.array(list(product(range(min(3, 2 * self.size)), repeat=hashes)))
         self.factors = rng.integers(1, 2**62, (tables, hashes), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -70,7 +90,7 @@ class CrossPolytope:
         """(n, tables * probes) bucket numbers; ``salt`` (the label) tells equal
         codes of different labels apart."""
         n = len(unit)
-        padded = np.zeros((n, self.size))
+        padded = np.zeros((n, self.size), np.float32)
         padded[:, : self.dims] = unit
         out = np.empty((n, self.tables, self.probes), np.uint64)
         probes = min(self.probes, len(self.choices))
@@ -81,10 +101,8 @@ class CrossPolytope:
                 y = padded
                 for signs in self.signs[t, h]:
                     y = hadamard(y * signs)
-                y = y / self.size**1.5
-                both = np.concatenate([y, -y], axis=1)  # closeness to each signed axis
-                best = np.argsort(-both, axis=1, kind="stable")[:, : self.choices.max() + 1]
-                close = np.take_along_axis(both, best, 1)
+                best, close = closest_axes(y, self.choices.max() + 1)
+                close = close.astype(float) / self.size**1.5
                 cost += (close[:, :1] - close)[:, self.choices[:, h]] ** 2
                 code += (best.astype(np.uint64) * self.factors[t, h])[:, self.choices[:, h]]
             first = np.argsort(cost, axis=1, kind="stable")[:, :probes]
