@@ -9,7 +9,9 @@
    shards by the same rule, which gives integer quotas. All seats that any
    divisor close to the mean grants are granted at once; only the (at most two
    a party) seats between the two bounding divisors are ranked by quotient.
-3. In a shard the documents stand in seeded order as one stream of words. A
+3. In a shard the documents stand in seeded order as one stream of words. Shard and
+   order come from a hash of id and text, so that rows that share an id, or have
+   none, are dealt and told apart; rows equal in both are interchangeable. A
    quota of q over N blocks takes q div N whole passes and a run of q mod N
    further blocks from a seeded start, round the end. A document takes the words
    of its own stretch of the stream that lie in chosen blocks: all or none, but
@@ -101,13 +103,16 @@ def hash_long(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("long")
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), block: int = BLOCK, shard_rows: int = SHARD_ROWS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), block: int = BLOCK, shard_rows: int = SHARD_ROWS, max_repeat: int = MAX_REPEAT, seed: str = SEED, tie: str | None = None) -> DataFrame:
     """(doc_id, source, size) -> and source_size, target, taken.
 
+    ``tie``: a string column that tells apart rows of one doc_id (a text's md5, say).
+
     ``docs`` is read three times, for the sums by source, by shard and for the
     stream of each shard, so it should be a table rather than a count over texts.
     """
-    doc_hash = hash_long(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    ties = [F.col(tie)] if tie else []
+    doc_hash = hash_long(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), *ties)
     totals = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     shards = F.ceil(F.col("_rows") / shard_rows).cast("long")
     sources = targets(totals, weights, max_repeat).withColumn("_shards", shards)
@@ -126,7 +131,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), block: int = BLOCK,
     quotas = quotas.select(
         F.col("source").alias("_s"), F.col("_shard").alias("_h"), blocks.alias("_n"), F.least(F.col("_share"), max_repeat * blocks).alias("_q")
     )
-    order = Window.partitionBy("source", "_shard").orderBy("_hash", "doc_id", "size")
+    order = Window.partitionBy("source", "_shard").orderBy("_hash", "doc_id", "size", *ties)
     stream = placed.withColumn("_end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     start = F.expr("pmod(_start_hash, greatest(_n, 1L))")
     chosen = stream.join(quotas, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_h"))).withColumn(
@@ -150,8 +155,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), block: int = BLOCK,
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by the weights 1, 2, 3 (repeating) of their sources."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(text_or_empty()).alias("size"))
-    return mix(staged(docs, "mix-sizes")).select("doc_id", "size", "source_size", "target", "taken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(text_or_empty()).alias("size"), F.md5(text_or_empty()).alias("_text"))
+    return mix(staged(docs, "mix-sizes"), tie="_text").select("doc_id", "size", "source_size", "target", "taken")
 
 
 def _apportion_sql(src: str, group: str, party: str, votes: str, seats: str) -> str:
@@ -176,7 +181,7 @@ def _hash_sql(parts: str) -> str:
 OP5_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
-         {_hash_sql(f"'{SEED}', coalesce(CAST(doc_id AS VARCHAR), 'null')")} AS h
+         md5(coalesce(text, '')) AS tie, {_hash_sql(f"'{SEED}', coalesce(CAST(doc_id AS VARCHAR), 'null'), md5(coalesce(text, ''))")} AS h
   FROM documents),
 src AS (
   SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_rows,
@@ -206,7 +211,7 @@ z3 AS (
   FROM z2),
 e AS (
   SELECT p.*, q % greatest(n, 1) AS r, q // greatest(n, 1) AS passes, start_hash % greatest(n, 1) AS phase, n,
-         CAST(sum(size) OVER (PARTITION BY p.source, p.shard ORDER BY h, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop
+         CAST(sum(size) OVER (PARTITION BY p.source, p.shard ORDER BY h, doc_id NULLS FIRST, size, tie ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop
   FROM p JOIN z3 ON p.source IS NOT DISTINCT FROM z3.source AND p.shard = z3.shard)
 SELECT doc_id, size, source_size, target,
        CAST(passes * size + {_BELOW.format(x="stop", b=BLOCK)} - ({_BELOW.format(x="stop - size", b=BLOCK)}) AS BIGINT) AS taken

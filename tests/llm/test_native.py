@@ -200,3 +200,13 @@ def test_mix_comes_near_its_targets(spark):
     assert abs(sum(target.values()) - sum(size.values())) < 1e-3
     for s, t in target.items():
         assert t <= 3 * size[s] + 1e-6 and abs(taken[s] - t) <= 0.005 * t
+
+
+def test_a_hot_id_is_dealt_over_shards(spark):
+    """A third of all rows share an id, a third have none: shards stay within their size."""
+    rows = [(1 if i % 3 else None, "a", 5, f"t{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, tie string")
+    shards = df.select((mixing.hash_long(F.lit(mixing.SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("tie")) % 12).alias("s"))
+    assert shards.groupBy("s").count().agg(F.max("count")).first()[0] < 700
+    got = [mixing.mix(df.repartition(n), shard_rows=500, tie="tie").select("tie", "taken").collect() for n in (2, 5)]
+    assert sorted(map(tuple, got[0])) == sorted(map(tuple, got[1]))

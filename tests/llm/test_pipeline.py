@@ -67,11 +67,11 @@ def test_stages(spark, corpus, tmp_path):
     assert sum(r.text is None for r in seen[1]) == sum(t is None for _, t in left)
 
     # the mix: each row as often as taken / size rounds to
-    sizes = [(r.doc_id, r.source, len((r.text or "").split())) for r in seen[1]]
-    mixed = mixing.mix(spark.createDataFrame(sizes, "doc_id long, source string, size long")).collect()
+    sizes = [(r.doc_id, r.source, len((r.text or "").split()), hashlib.md5((r.text or "").encode()).hexdigest()) for r in seen[1]]
+    mixed = mixing.mix(spark.createDataFrame(sizes, "doc_id long, source string, size long, tie string"), tie="tie").collect()
     want = {r.doc_id: int(r.taken / max(r["size"], 1) + 0.5) for r in mixed}
     assert Counter(r.doc_id for r in seen[2]) == Counter({d: n for d, n in want.items() if n})
-    total = sum(s for *_, s in sizes)
+    total = sum(r[2] for r in sizes)
     assert abs(sum(len(r.text.split()) for r in seen[2]) - total) < 0.1 * total
 
     # ids of every row
@@ -84,3 +84,14 @@ def test_stages(spark, corpus, tmp_path):
 
 def test_empty(spark, empty):
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_the_mix_tells_texts_without_an_id_apart(spark):
+    """Rows of one id and size, dealt in two orders: the same texts are kept."""
+    rows = [(None, f"{'a b c d e f g'} w{i}", "en", "ab"[i % 2], None) for i in range(60)]
+    rows += [(7, f"one id w{i} x y z", "en", "a", None) for i in range(30)]
+    kept = []
+    for seed in range(2):
+        docs = spark.createDataFrame(random.Random(seed).sample(rows, len(rows)), "doc_id long, text string, lang string, source string, n_chars long").repartition(2 + seed)
+        kept.append(Counter(r.text for r in corpus_pipeline.mix_sources(spark, docs, "").collect()))
+    assert kept[0] == kept[1] and len(kept[0]) < 90
