@@ -1,21 +1,21 @@
 """Operator 9: toxicity by a bidirectional gated recurrent network in numpy.
 
-A word's input is a learned vector of its hash, the mean of learned vectors of its
-byte 4-grams, so that unseen forms of a known stem are recognised, and two numbers:
-the log odds of toxic texts among those fitted on that hold the word, and the
-highest of its 4-grams (each text is fitted with the odds of the other folds). Two gated
+A word's input is a learned vector of its own and the mean of learned vectors of its
+byte 4-grams, so that unseen forms of a known stem are recognised. Words and 4-grams
+have vectors if ``MIN_TEXTS`` of the texts fitted on hold them (half, of very few);
+all others have zeros, so that what is told of one text alone is not learnt. Two gated
 recurrent units read a window of 32 words in both directions; attention over
 their states pools the window, which gets one logit. Windows start every 16 words
 and the last ends with the text, so that all of a text is read by overlapping
 windows; its score is that of its highest window.
 
 The network is fitted on the driver on at most ``FIT_TOXIC`` + ``FIT_CLEAN``
-labelled rows (those with a text whose ids have the least hashes, a text of each;
-of one over ``FIT_CHARS`` characters as many in parts from all of it), a fifth of
-which is held back. Every text is then read whole by the tasks, each of which gets
-the weights (about 3 MB); the input gates of a word are computed once a worker. The
-logits are shifted so that 0.7 is the score with the best F1 on all labelled rows,
-of any length, that were neither held out nor fitted on.
+labelled rows (those with a text whose ids have the least hashes, a text of each),
+a fifth of which is held back. Texts are fitted on whole, by all their windows;
+four in ten words of a batch are left out at random. Every text is then read whole by
+the tasks, each of which gets the weights (some MB); the input gates of a word are
+computed once a worker. The logits are shifted so that 0.7 is the score with the
+best F1 on all labelled rows, of any length, that were neither held out nor fitted on.
 
 Defined results: a null or empty text is one empty window and gets its score;
 without labelled rows of both kinds that have a text every score is 0; repeated rows are each
@@ -37,11 +37,15 @@ from refyield.llm.common import map_arrow, staged, table
 from refyield.llm.shingles import _pieces
 
 WINDOW, STRIDE, PIECE = 32, 16, 32
-WORD_ROWS, WORD_DIMS, GRAM_ROWS, GRAM_DIMS, HIDDEN, GRAM = 1 << 15, 8, 1 << 15, 12, 8, 4
-INPUTS = WORD_DIMS + GRAM_DIMS + 2
-FIT_TOXIC, FIT_CLEAN, FIT_CHARS, FIT_PARTS = 1000, 2000, 4000, 8
+WORD_DIMS, GRAM_DIMS, HIDDEN, GRAM = 8, 12, 8, 4
+INPUTS = WORD_DIMS + GRAM_DIMS
+FIT_TOXIC, FIT_CLEAN = 1000, 2000
 STEPS, RATE, SEED = 300, 0.01, 9
-DROPOUT, KEEP_WORD, DECAY, FOLDS = 0.5, 0.9, 0.1, 4
+DROPOUT, KEEP_WORD, DECAY = 0.3, 0.6, 0.1
+#: Words and 4-grams in fewer of the texts fitted on have a vector of zeros.
+MIN_TEXTS = 4
+#: Of the soft maximum over a text's windows.
+SHARPNESS = 2
 THRESHOLD = 0.7
 #: Steps of a logit that count as one in placing the threshold.
 BINS = 256
@@ -61,20 +65,19 @@ def split_words(text: str) -> list[str]:
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of the word table; rows of the 4-gram table, and where each word's begin."""
+    """Hashes of the words; their 4-grams, and where each word's begin."""
     plain = [w.lower().strip(".,;:!?\"'()[]") for w in words]
-    rows = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % WORD_ROWS for w in plain), np.int64, len(words))
+    rows = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))  for w in plain), np.uint64, len(words))
     framed = [b"\x02" + w.encode("utf-8", "surrogatepass") + b"\x03\x03\x03" for w in plain]
     sizes = np.fromiter(map(len, framed), np.int64, len(framed))
     raw = np.frombuffer(b"".join(framed) + b"\0" * GRAM, np.uint8).astype(np.uint64)
     n = len(raw) - GRAM
     code = sum(raw[k : k + n] << np.uint64(8 * k) for k in range(GRAM))
-    grams = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(GRAM_ROWS)
     ends = np.cumsum(sizes)
     begins = ends - sizes
     inside = np.arange(n) < np.repeat(ends - GRAM + 1, sizes)  # one at least, as the frame has four bytes
     counts = np.add.reduceat(inside, begins) if len(words) else np.zeros(0, np.int64)
-    return rows, grams[inside].astype(np.int64), np.cumsum(counts) - counts
+    return rows, code[inside], np.cumsum(counts) - counts
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -96,36 +99,57 @@ def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.array(first, np.int64), np.array(stop, np.int64), np.array(begin, np.int64)
 
 
-def log_odds(met: list[list[tuple[np.ndarray, np.ndarray]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Of toxic texts ``met[0]`` against clean ones ``met[1]``, by the texts that
-    touch each row of the two tables; 0 for rows that none touches."""
+def shared(texts: list[np.ndarray], every: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes and the 4-grams, in order, that ``MIN_TEXTS`` of the texts (of
+    word numbers) hold, or half of them if that is fewer."""
+    parts = [[np.unique(f) for f in taken(every, np.unique(t))[:2]] for t in texts]
     out = []
-    for k, rows in enumerate((WORD_ROWS, GRAM_ROWS)):
-        hit, miss = (np.bincount(np.concatenate([m[k] for m in part]), minlength=rows) for part in met)
-        out.append((np.log(hit + 0.5) - np.log(miss * len(met[0]) / len(met[1]) + 0.5)).astype(np.float32))
+    for found in zip(*parts, strict=True):
+        values, counts = np.unique(np.concatenate(found), return_counts=True)
+        out.append(values[counts >= min(MIN_TEXTS, len(texts) // 2)])
     return out[0], out[1]
 
 
+def taken(every: tuple[np.ndarray, np.ndarray, np.ndarray], words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The features of some of the words."""
+    rows, grams, begins = every
+    counts = np.diff(np.append(begins, len(grams)))[words]
+    ends = np.cumsum(counts)
+    shift = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
+    return rows[words], grams[np.repeat(begins[words], counts) + shift], ends - counts
+
+
 class GatedPair:
     """The network: parameters, training and window logits."""
 
-    def __init__(self, seed: int = SEED):
+    def __init__(self, seed: int = SEED, known: tuple[np.ndarray, np.ndarray] | None = None):
         rng = np.random.default_rng(seed)
         d, h = INPUTS, HIDDEN
         draw = lambda *s, scale=0.1: rng.normal(0, scale, s).astype(np.float32)
-        self.p = {"word": draw(WORD_ROWS, WORD_DIMS), "gram": draw(GRAM_ROWS, GRAM_DIMS), "attend": draw(2 * h, scale=0.5), "out": draw(2 * h, scale=0.5), "bias": np.zeros(1, np.float32)}
-        self.odds = np.zeros(WORD_ROWS, np.float32), np.zeros(GRAM_ROWS, np.float32)
+        #: Word hashes and 4-grams that have a vector, in order; the last row of a table is that of all others.
+        self.known = known or (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        self.p = {"word": draw(len(self.known[0]) + 1, WORD_DIMS), "gram": draw(len(self.known[1]) + 1, GRAM_DIMS), "attend": draw(2 * h, scale=0.5), "out": draw(2 * h, scale=0.5), "bias": np.zeros(1, np.float32)}
+        self.p["word"][-1] = self.p["gram"][-1] = 0
         for k in "fb":
             self.p |= {f"W{k}": draw(d, 3 * h, scale=0.4), f"c{k}": np.zeros(3 * h, np.float32), f"U{k}": draw(h, 3 * h, scale=0.3)}
 
-    def inputs(self, features: tuple[np.ndarray, np.ndarray, np.ndarray], odds: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    def rows(self, features: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes and 4-grams as rows of the tables."""
+        found = []
+        for values, known in zip(features[:2], self.known, strict=True):
+            at = np.searchsorted(known, values)
+            held = at < len(known)
+            held[held] = known[at[held]] == values[held]
+            found.append(np.where(held, at, len(known)))
+        return found[0], found[1], features[2]
+
+    def inputs(self, features: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """Of words, by rows of the tables."""
         rows, grams, begins = features
         if not len(rows):
             return np.zeros((0, INPUTS), np.float32)
-        word_odds, gram_odds = odds or self.odds
-        counts = np.diff(np.append(begins, len(grams)))[:, None]
-        learned = [self.p["word"][rows], np.add.reduceat(self.p["gram"][grams], begins) / counts]
-        return np.hstack([*learned, word_odds[rows, None], np.maximum.reduceat(gram_odds[grams], begins)[:, None]]).astype(np.float32)
+        counts = np.diff(np.append(begins, len(grams)))[:, None].astype(np.float32)
+        return np.hstack([self.p["word"][rows], np.add.reduceat(self.p["gram"][grams], begins) / counts])
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         """Input gates of both directions, side by side."""
@@ -162,78 +186,82 @@ class GatedPair:
     def logits(self, gates: np.ndarray, words: np.ndarray, mask: np.ndarray) -> np.ndarray:
         return self.pooled(self.states(gates, words, mask), mask)[2]
 
-    def gradients(self, features, words: np.ndarray, mask: np.ndarray, texts: np.ndarray, labels: np.ndarray, seen: np.ndarray, odds: tuple) -> dict:
+    def gradients(self, features, words: np.ndarray, mask: np.ndarray, texts: np.ndarray, labels: np.ndarray, seen: np.ndarray) -> dict:
         """Of the mean log loss of texts, whose logit is the soft maximum over
         their windows (``texts``: each text's first window). ``seen`` scales the
-        inputs of each word (dropout)."""
-        p, h, h3 = self.p, HIDDEN, 3 * HIDDEN
-        x = self.inputs(features, odds) * seen
-        kept: list = []
-        states = self.states(self.gates(x), words, mask, kept)
-        w, c, s = self.pooled(states, mask)
+        inputs of each word (dropout). Windows are read ``WINDOWS`` at a time, so
+        that a text of any length needs the memory of that many."""
+        p = self.p
+        x = self.inputs(features) * seen
+        gates = self.gates(x)
+        parts = [slice(i, i + WINDOWS) for i in range(0, len(words), WINDOWS)]
+        s = np.concatenate([self.logits(gates, words[part], mask[part]) for part in parts])
         sizes = np.diff(np.append(texts, len(s)))
         top = np.repeat(np.maximum.reduceat(s, texts), sizes)
-        share = np.exp(2 * (s - top))
+        share = np.exp(SHARPNESS * (s - top))
         share /= np.repeat(np.add.reduceat(share, texts), sizes)
         loss = sigmoid(np.add.reduceat(share * s, texts)) - labels
         ds = (share * np.repeat(loss / len(labels), sizes)).astype(np.float32)
-        g = {"out": c.T @ ds, "bias": ds.sum(keepdims=True)}
+        g = {k: np.zeros_like(p[k]) for k in ("out", "bias", "attend", "Uf", "Ub")}
+        dgates = np.zeros((len(x), 6 * HIDDEN), np.float32)
+        for part in parts:
+            self._back(gates, words[part], mask[part], ds[part], g, dgates)
+        dgates[0] = 0  # the padding word
+        dx = 0
+        for name, d in zip("fb", np.split(dgates, 2, axis=1), strict=True):
+            g |= {f"W{name}": x.T @ d, f"c{name}": d.sum(axis=0)}
+            dx = dx + d @ p[f"W{name}"].T * seen
+        rows, grams, begins = features
+        counts = np.diff(np.append(begins, len(grams)))
+        g["word"] = np.stack([np.bincount(rows, col, len(p["word"])).astype(np.float32) for col in dx[:, :WORD_DIMS].T], axis=1)
+        spread = np.repeat(dx[:, WORD_DIMS:] / counts[:, None], counts, axis=0)
+        g["gram"] = np.stack([np.bincount(grams, col, len(p["gram"])).astype(np.float32) for col in spread.T], axis=1)
+        g["word"][-1] = g["gram"][-1] = 0
+        return g
+
+    def _back(self, gates: np.ndarray, words: np.ndarray, mask: np.ndarray, ds: np.ndarray, g: dict, dgates: np.ndarray) -> None:
+        """Add the gradients of some windows, ``ds`` those of their logits, to ``g``
+        and to ``dgates``, those of the words' input gates."""
+        p, h, h3 = self.p, HIDDEN, 3 * HIDDEN
+        kept: list = []
+        states = self.states(gates, words, mask, kept)
+        w, c, _ = self.pooled(states, mask)
+        g["out"] += c.T @ ds
+        g["bias"] += ds.sum(keepdims=True)
         dc = ds[:, None] * p["out"]
         dw = np.einsum("tnh,nh->tn", states, dc)
         de = w * (dw - (w * dw).sum(axis=0))
-        g["attend"] = np.einsum("tn,tnh->h", de, states)
+        g["attend"] += np.einsum("tn,tnh->h", de, states)
         dstates = w[:, :, None] * dc + de[:, :, None] * p["attend"]
-        dgates = [np.zeros((words.shape[1], len(words), h3), np.float32) for _ in "fb"]
-        dU = [np.zeros_like(p["Uf"]) for _ in "fb"]
+        own = np.zeros((words.shape[1], len(words), 2 * h3), np.float32)
         back = [np.zeros((len(words), h), np.float32) for _ in "fb"]
         for k, t, before, z, r, q, new in reversed(kept):
+            U = "fb"[k]
             d = (dstates[t, :, k * h : (k + 1) * h] + back[k]) * mask[:, t, None]
             dnew = d * (1 - z) * (1 - new * new)
             dz = d * (before - new) * z * (1 - z)
             dr = dnew * q * r * (1 - r)
             da = np.hstack([dz, dr, dnew * r])
-            dgates[k][t] = np.hstack([dz, dr, dnew])
-            dU[k] += before.T @ da
-            back[k] = d * z + da @ p["Uf" if k == 0 else "Ub"].T
-        dx = 0
+            own[t, :, k * h3 : (k + 1) * h3] = np.hstack([dz, dr, dnew])
+            g[f"U{U}"] += before.T @ da
+            back[k] = d * z + da @ p[f"U{U}"].T
         flat = words.T.ravel()
-        for k, name in enumerate("fb"):
-            by_word = np.stack([np.bincount(flat, col, len(x)) for col in dgates[k].reshape(-1, h3).T], axis=1).astype(np.float32)
-            by_word[0] = 0  # the padding word
-            g |= {f"W{name}": x.T @ by_word, f"c{name}": by_word.sum(axis=0), f"U{name}": dU[k]}
-            dx = dx + by_word @ p[f"W{name}"].T * seen
-        rows, grams, begins = features
-        counts = np.diff(np.append(begins, len(grams)))
-        g["word"] = np.stack([np.bincount(rows, col, WORD_ROWS).astype(np.float32) for col in dx[:, :WORD_DIMS].T], axis=1)
-        spread = np.repeat(dx[:, WORD_DIMS : WORD_DIMS + GRAM_DIMS] / counts[:, None], counts, axis=0)
-        g["gram"] = np.stack([np.bincount(grams, col, GRAM_ROWS).astype(np.float32) for col in spread.T], axis=1)
-        return g
-
-    def met(self, text: np.ndarray, every: tuple, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The rows of both tables that a text's words touch."""
-        words = np.unique(text)
-        counts = stops[words] - every[2][words]
-        shift = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        grams = every[1][np.repeat(every[2][words], counts) + shift]
-        return np.unique(every[0][words]).astype(np.int32), np.unique(grams).astype(np.int32)
+        dgates += np.stack([np.bincount(flat, col, len(dgates)) for col in own.reshape(len(flat), -1).T], axis=1).astype(np.float32)
 
-    def fit(self, toxic: list[str], clean: list[str], steps: int = STEPS, seed: int = SEED) -> None:
+    @classmethod
+    def fitted(cls, toxic: list[str], clean: list[str], steps: int = STEPS, seed: int = SEED) -> GatedPair:
         """Adam over balanced batches of texts."""
         rng = np.random.default_rng(seed)
         split = [[split_words(t) or [""] for t in part] for part in (toxic, clean)]
         names = {w: i for i, w in enumerate(dict.fromkeys(["", *(w for part in split for t in part for w in t)]))}
         every = word_features(list(names))
-        stops = np.append(every[2][1:], len(every[1]))
         coded = [[np.array([names[w] for w in t]) for t in part] for part in split]
-        folds = [[part[i::FOLDS] or part for part in coded] for i in range(FOLDS)]
-        met = [[[self.met(t, every, stops) for t in part] for part in fold] for fold in folds]
-        rest = [log_odds([[m for j in range(FOLDS) if j != i or FOLDS > min(map(len, coded)) for m in met[j][k]] for k in (0, 1)]) for i in range(FOLDS)]
-        self.odds = log_odds([[m for fold in met for m in fold[k]] for k in (0, 1)])
-        first = {k: np.zeros_like(v) for k, v in self.p.items()}
-        second = {k: np.zeros_like(v) for k, v in self.p.items()}
+        net = cls(seed, shared([t for part in coded for t in part], every))
+        every = net.rows(every)
+        first = {k: np.zeros_like(v) for k, v in net.p.items()}
+        second = {k: np.zeros_like(v) for k, v in net.p.items()}
         for step in range(1, steps + 1):
-            fold = step % FOLDS
-            chosen = [part[i] for part, n in zip(folds[fold], (16, 24), strict=True) for i in rng.integers(0, len(part), n)]
+            chosen = [part[i] for part, n in zip(coded, (16, 24), strict=True) for i in rng.integers(0, len(part), n)]
             labels = np.repeat([1.0, 0.0], [16, 24])
             begin, stop, texts = windows_of(np.array([len(t) for t in chosen]))
             flat = np.concatenate(chosen)
@@ -242,19 +270,17 @@ class GatedPair:
             used, words = np.unique(np.where(mask > 0, flat[np.minimum(at, len(flat) - 1)], 0), return_inverse=True)
             if used[0] != 0:
                 used, words = np.append(0, used), words + 1
-            counts = stops[used] - every[2][used]
-            shift = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            features = every[0][used], every[1][np.repeat(every[2][used], counts) + shift], np.cumsum(counts) - counts
             seen = np.ones((len(used), INPUTS), np.float32)
             seen[:, :WORD_DIMS] = (rng.random((len(used), 1)) < 1 - DROPOUT) / (1 - DROPOUT)
             seen *= rng.random((len(used), 1)) < KEEP_WORD
-            g = self.gradients(features, words.reshape(at.shape), mask, texts, labels, seen, rest[fold])
+            g = net.gradients(taken(every, used), words.reshape(at.shape), mask, texts, labels, seen)
             rate = RATE * min(1, 2 * (1 - step / (steps + 1)))
             for k, v in g.items():
                 first[k] += 0.1 * (v - first[k])
                 second[k] += 0.01 * (v * v - second[k])
                 move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
-                self.p[k] = (self.p[k] * (1 - DECAY * rate) - rate * move).astype(np.float32)
+                net.p[k] = (net.p[k] * (1 - DECAY * rate) - rate * move).astype(np.float32)
+        return net
 
 
 class Scorer:
@@ -267,7 +293,7 @@ class Scorer:
     def reset(self) -> None:
         self.place = {"": 0}
         self.gates = np.zeros((KEPT + 1, 6 * HIDDEN), np.float32)
-        self.gates[:1] = self.net.gates(self.net.inputs(word_features([""])))
+        self.gates[:1] = self.net.gates(self.net.inputs(self.net.rows(word_features([""]))))
 
     def numbers(self, words: list[str]) -> np.ndarray:
         place = self.place
@@ -280,7 +306,7 @@ class Scorer:
             at = len(place)
             if at + len(new) > len(self.gates):
                 self.gates = np.vstack([self.gates, np.zeros((len(new), 6 * HIDDEN), np.float32)])
-            self.gates[at : at + len(new)] = self.net.gates(self.net.inputs(word_features(new)))
+            self.gates[at : at + len(new)] = self.net.gates(self.net.inputs(self.net.rows(word_features(new))))
             place.update(zip(new, range(at, at + len(new)), strict=True))
         return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
 
@@ -338,15 +364,6 @@ def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(known.withColumnRenamed("doc_id", "_d"), F.col("doc_id") == F.col("_d")).drop("_d")
 
 
-def fit_text(text: str = "text") -> Column:
-    """A text to fit on: whole up to ``FIT_CHARS`` characters, or as many of a
-    longer one in ``FIT_PARTS`` parts spread evenly from its start to its end."""
-    size = FIT_CHARS // FIT_PARTS
-    starts = [F.floor((F.length(text) - size) * i / (FIT_PARTS - 1)).cast("int") + 1 for i in range(FIT_PARTS)]
-    parts = F.concat_ws(" ", *(F.substring(text, at, F.lit(size)) for at in starts))
-    return F.when(F.length(text) <= FIT_CHARS, F.col(text)).otherwise(parts)
-
-
 def fit_network(docs: DataFrame, labels: DataFrame) -> tuple[GatedPair, list] | None:
     """Fit on a bounded sample of the labelled rows that are not held out; also
     gives the ids fitted on."""
@@ -358,11 +375,10 @@ def fit_network(docs: DataFrame, labels: DataFrame) -> tuple[GatedPair, list] |
     fitted: dict[int, list] = {}
     for kind, most in ((1, FIT_TOXIC), (0, FIT_CLEAN)):
         chosen = ids.filter(F.col("toxic") == kind).orderBy("_h", "doc_id").limit(most).select(F.col("doc_id").alias("_d"), "_h")
-        found = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("_h", "_d", fit_text().alias("text"))
+        found = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("_h", "_d", "text")
         rows = found.groupBy("_h", "_d").agg(F.min("text").alias("text")).orderBy("_h", "_d").select("_d", "text").collect()
         fitted[kind] = rows[max(1, len(rows) // 5) :] or rows
-    net = GatedPair()
-    net.fit([r["text"] for r in fitted[1]], [r["text"] for r in fitted[0]])
+    net = GatedPair.fitted(*([r["text"] for r in fitted[kind]] for kind in (1, 0)))
     return net, [r["_d"] for rows in fitted.values() for r in rows]
 
 

@@ -2,34 +2,41 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from conftest_llm import DOCS, doc, odd_rows, words
 
 from refyield.llm import toxicity as T
 
 
-def tiny_batch(net, rng):
-    names = ["", "good", "bad", "awful.", "x", "y" * 30]
-    features = T.word_features(names)
+def net_of(names, seed: int):
+    hashes, grams, _ = T.word_features(names)
+    return T.GatedPair(seed, (np.unique(hashes), np.unique(grams)))
+
+
+def tiny_batch(net, names, rng):
+    features = net.rows(T.word_features(names))
     words_ = rng.integers(1, len(names), (5, 7))
     mask = np.ones((5, 7), np.float32)
     mask[1, 4:] = mask[4, 2:] = 0
     words_[mask == 0] = 0
-    odds = tuple(rng.normal(size=n).astype(np.float32) for n in (T.WORD_ROWS, T.GRAM_ROWS))
     seen = np.ones((len(names), T.INPUTS), np.float32)
-    return features, words_, mask, np.array([0, 2, 3]), np.array([1.0, 0.0, 1.0]), seen, odds
+    return features, words_, mask, np.array([0, 2, 3]), np.array([1.0, 0.0, 1.0]), seen
+
+
+NAMES = ["", "good", "bad", "awful.", "x", "y" * 30]
 
 
-def test_gradients_equal_differences(monkeypatch):
+def test_gradients_equal_differences():
     rng = np.random.default_rng(1)
-    net = T.GatedPair(seed=3)
+    net = net_of(NAMES[:5], 3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    features, words_, mask, texts, labels, seen, odds = tiny_batch(net, rng)
-    monkeypatch.setattr(T.GatedPair, "inputs", lambda self, f, o=None: T.np.hstack([self.p["word"][f[0]], T.np.add.reduceat(self.p["gram"][f[1]], f[2]) / T.np.diff(T.np.append(f[2], len(f[1])))[:, None], odds[0][f[0], None], T.np.maximum.reduceat(odds[1][f[1]], f[2])[:, None]]))
+    features, words_, mask, texts, labels, seen = tiny_batch(net, NAMES, rng)
     shares = []
 
     def loss(shares=None):
@@ -37,13 +44,14 @@ def test_gradients_equal_differences(monkeypatch):
         s = net.pooled(net.states(net.gates(x), words_, mask), mask)[2]
         if shares is None:
             sizes = np.diff(np.append(texts, len(s)))
-            e = np.exp(2 * (s - np.repeat(np.maximum.reduceat(s, texts), sizes)))
+            e = np.exp(T.SHARPNESS * (s - np.repeat(np.maximum.reduceat(s, texts), sizes)))
             return e / np.repeat(np.add.reduceat(e, texts), sizes)
         z = np.add.reduceat(shares * s, texts)
         return float(np.mean(np.log1p(np.exp(z)) - labels * z))
 
     shares = loss()
-    g = net.gradients(features, words_, mask, texts, labels, seen, odds)
+    g = net.gradients(features, words_, mask, texts, labels, seen)
+    assert not g["word"][-1].any() and not g["gram"][-1].any()
     for name in ("attend", "out", "bias", "Wf", "Wb", "Uf", "Ub", "cf", "word", "gram"):
         value = net.p[name]
         at = tuple(rng.integers(0, n) for n in value.shape)
@@ -60,6 +68,75 @@ def test_gradients_equal_differences(monkeypatch):
         assert g[name][at] == pytest.approx((up - down) / 2e-3, abs=2e-4), name
 
 
+def test_gradients_by_parts_of_windows(monkeypatch):
+    net = net_of(NAMES, 5)
+    batch = tiny_batch(net, NAMES, np.random.default_rng(2))
+    whole = net.gradients(*batch)
+    monkeypatch.setattr(T, "WINDOWS", 2)
+    parts = net.gradients(*batch)
+    assert whole.keys() == parts.keys()
+    for k, v in whole.items():
+        assert np.allclose(v, parts[k], atol=1e-6), k
+
+
+def plain_logit(net, text: str) -> float:
+    """A text's highest window, word by word and unit by unit."""
+    words_ = [w[i : i + T.PIECE] for w in text.split() for i in range(0, len(w), T.PIECE)]
+    last = max(0, len(words_) - T.WINDOW)
+    hashes, grams = ([int(v) for v in known] for known in net.known)
+    p = {k: v.tolist() for k, v in net.p.items()}
+    h = T.HIDDEN
+
+    def vector(word):
+        plain = word.lower().strip(".,;:!?\"'()[]").encode()
+        own = p["word"][hashes.index(x) if (x := xxhash.xxh3_64_intdigest(plain)) in hashes else -1]
+        framed = b"\x02" + plain + b"\x03\x03\x03"
+        codes = [int.from_bytes(framed[i : i + 4], "little") for i in range(len(framed) - 3)]
+        rows = [p["gram"][grams.index(c) if c in grams else -1] for c in codes]
+        return own + [sum(col) / len(rows) for col in zip(*rows, strict=True)]
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    def read(xs, name):
+        W, c, U = p[f"W{name}"], p[f"c{name}"], p[f"U{name}"]
+        now, out = [0.0] * h, []
+        for x in xs:
+            g = [c[j] + sum(x[i] * W[i][j] for i in range(len(x))) for j in range(3 * h)]
+            a = [sum(now[i] * U[i][j] for i in range(h)) for j in range(3 * h)]
+            z = [sigmoid(g[j] + a[j]) for j in range(h)]
+            r = [sigmoid(g[h + j] + a[h + j]) for j in range(h)]
+            new = [math.tanh(g[2 * h + j] + r[j] * a[2 * h + j]) for j in range(h)]
+            now = [z[j] * now[j] + (1 - z[j]) * new[j] for j in range(h)]
+            out.append(now)
+        return out
+
+    best = -math.inf
+    for start in sorted({*range(0, last, T.STRIDE), last}):
+        xs = [vector(w) for w in words_[start : start + T.WINDOW]]
+        states = [f + b for f, b in zip(read(xs, "f"), read(xs[::-1], "b")[::-1], strict=True)]
+        weights = [math.exp(sum(s * e for s, e in zip(state, p["attend"], strict=True))) for state in states]
+        pooled = [sum(w * s[j] for w, s in zip(weights, states, strict=True)) / sum(weights) for j in range(2 * h)] if states else [0.0] * 2 * h
+        best = max(best, p["bias"][0] + sum(x * o for x, o in zip(pooled, p["out"], strict=True)))
+    return best
+
+
+def test_scores_equal_plain_loops():
+    rng = random.Random(3)
+    texts = [words(rng, n, 60) for n in (1, 7, 31, 32, 33, 48, 49, 95)] + ["", " \n", "Vile!! unknown " * 9, "z" * 100, "Ünïcode (wörds), \u00e9"]
+    net = net_of([w for t in texts[:-1] for w in T.split_words(t)][::2], 7)
+    net.p |= {k: net.p[k] * 4 for k in ("word", "gram")} | {"bias": np.array([0.3], np.float32)}
+    assert T.Scorer(net).logits(texts).tolist() == pytest.approx([plain_logit(net, t) for t in texts], abs=1e-4)
+
+
+def test_vectors_are_of_what_several_texts_hold():
+    net = T.GatedPair.fitted(["vile apple", "vile pear", "vile plum", "vile fig"] * 2, ["calm apple", "calm kiwi", "calm date", "calm lime"], steps=2)
+    hashes = T.word_features(["vile", "calm", "apple", "pear"])[0]
+    assert np.isin(hashes, net.known[0]).tolist() == [True, True, False, False]
+    assert not net.p["word"][-1].any() and not net.p["gram"][-1].any()
+    assert net.rows(T.word_features(["kiwi"]))[0].tolist() == [len(net.known[0])]
+
+
 def test_windows_cover_every_word():
     lengths = np.array([0, 1, 31, 32, 33, 47, 48, 49, 500])
     first, stop, begin = T.windows_of(lengths)
@@ -130,14 +207,14 @@ def test_two_labels_are_enough_to_run(spark, write_tables):
 
 
 def long_rows(rng, n: int):
-    """Texts over the bound of fitting; every other one toxic all over."""
+    """Long texts; every other one toxic all over."""
     docs, labels = [], []
     for i in range(n):
         text = words(rng, 1200, 900).split()
         if i % 2:
             text[::10] = ["vile"] * len(text[::10])
         docs.append(doc(i, " ".join(text)))
-        assert len(docs[-1][1]) > T.FIT_CHARS
+        assert len(docs[-1][1]) > 4000
         labels.append((i, 1, i % 2))
     return docs, labels
 
@@ -150,8 +227,8 @@ def test_long_texts_alone_are_fitted_on(spark, write_tables):
 
 
 def test_threshold_is_the_best_on_all_labelled_rows(spark, write_tables, monkeypatch):
-    """Clean long texts hold, between the parts fitted on, a word that toxic short
-    ones have more often than clean short ones."""
+    """Clean long texts hold a word that toxic short ones have more often than clean
+    short ones."""
     monkeypatch.setattr(T, "FIT_TOXIC", 60)
     monkeypatch.setattr(T, "FIT_CLEAN", 90)
     rng = random.Random(5)
@@ -160,7 +237,7 @@ def test_threshold_is_the_best_on_all_labelled_rows(spark, write_tables, monkeyp
         for _ in range(n):
             text = words(rng, 2500 if word == "long" else 40, 900)
             at = text.index(" ", 800 if word == "long" else 100)
-            assert (len(text) > 2 * T.FIT_CHARS) == (word == "long")
+            assert (len(text) > 8000) == (word == "long")
             docs.append(doc(len(docs), f"{text[:at]} {'rotten' if word == 'long' else word}{text[at:]}"))
             labels.append((len(labels), 1, toxic))
     folder = write_tables(documents=spark.createDataFrame(docs, DOCS), labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
@@ -187,19 +264,10 @@ def test_labels_of_other_tables_take_no_place(spark, write_tables, monkeypatch):
     assert len({r.score for r in T.op9_toxicity(spark, folder).collect()}) > 1
 
 
-def test_parts_of_a_long_text_reach_its_end(spark):
-    text = "a" * 3000 + "b" * 3000 + "c" * 3000
-    rows = spark.createDataFrame([(text,), ("x y",), ("z" * T.FIT_CHARS,)], "text string")
-    got = [r[0] for r in rows.select(T.fit_text()).collect()]
-    assert got[1:] == ["x y", "z" * T.FIT_CHARS]
-    size = T.FIT_CHARS // T.FIT_PARTS
-    assert got[0] == " ".join(text[(len(text) - size) * i // (T.FIT_PARTS - 1) :][:size] for i in range(T.FIT_PARTS))
-
-
 def test_a_text_scores_alike_in_any_company(monkeypatch):
     rng = random.Random(1)
-    net = T.GatedPair(seed=1)
     texts = [words(rng, n) for n in (0, 1, 20, 32, 33, 400)] + ["z" * 100]
+    net = net_of([w for t in texts for w in T.split_words(t)], 1)
     together = T.Scorer(net).logits(texts)
     monkeypatch.setattr(T, "KEPT", 40)
     alone = [T.Scorer(net).logits([t])[0] for t in texts]
