@@ -11,10 +11,10 @@ windows; its score is that of its highest window.
 
 The network is fitted on the driver on at most ``FIT_TOXIC`` + ``FIT_CLEAN``
 labelled rows (those with a text whose ids have the least hashes, a text of each),
-a fifth of which is held back. Texts are fitted on whole, by all their windows;
-four in ten words of a batch are left out at random. Every text is then read whole by
-the tasks, each of which gets the weights (some MB); the input gates of a word are
-computed once a worker. The logits are shifted so that 0.7 is the score with the
+a fifth of which is held back. Texts are fitted on whole: each step draws
+``FIT_WINDOWS`` windows from all of a text, and leaves out four in ten words. Every
+text is then read whole by the tasks, each of which gets the weights (some MB); the
+input gates of a word are computed once a worker. The logits are shifted so that 0.7 is the score with the
 best F1 on all labelled rows, of any length, that were neither held out nor fitted on.
 
 Defined results: a null or empty text is one empty window and gets its score;
@@ -40,6 +40,8 @@ WINDOW, STRIDE, PIECE = 32, 16, 32
 WORD_DIMS, GRAM_DIMS, HIDDEN, GRAM = 8, 12, 8, 4
 INPUTS = WORD_DIMS + GRAM_DIMS
 FIT_TOXIC, FIT_CLEAN = 1000, 2000
+#: Windows of a text that a step of the fit reads, drawn anew each time.
+FIT_WINDOWS = 32
 STEPS, RATE, SEED = 300, 0.01, 9
 DROPOUT, KEEP_WORD, DECAY = 0.3, 0.6, 0.1
 #: Words and 4-grams in fewer of the texts fitted on have a vector of zeros.
@@ -99,6 +101,15 @@ def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.array(first, np.int64), np.array(stop, np.int64), np.array(begin, np.int64)
 
 
+def drawn(rng: np.random.Generator, begin: np.ndarray, stop: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``FIT_WINDOWS`` windows of each text, any of them, in order; all of a text with fewer."""
+    sizes = np.diff(np.append(texts, len(begin)))
+    order = np.lexsort((rng.random(len(begin)), np.repeat(np.arange(len(sizes)), sizes)))
+    kept = np.sort(order[np.arange(len(begin)) - np.repeat(texts, sizes) < FIT_WINDOWS])
+    sizes = np.minimum(sizes, FIT_WINDOWS)
+    return begin[kept], stop[kept], np.cumsum(sizes) - sizes
+
+
 def shared(texts: list[np.ndarray], every: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The word hashes and the 4-grams, in order, that ``MIN_TEXTS`` of the texts (of
     word numbers) hold, or half of them if that is fewer."""
@@ -264,6 +275,7 @@ class GatedPair:
             chosen = [part[i] for part, n in zip(coded, (16, 24), strict=True) for i in rng.integers(0, len(part), n)]
             labels = np.repeat([1.0, 0.0], [16, 24])
             begin, stop, texts = windows_of(np.array([len(t) for t in chosen]))
+            begin, stop, texts = drawn(rng, begin, stop, texts)
             flat = np.concatenate(chosen)
             at = begin[:, None] + np.arange(WINDOW)
             mask = (at < stop[:, None]).astype(np.float32)

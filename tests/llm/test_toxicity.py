@@ -14,6 +14,18 @@ from conftest_llm import DOCS, doc, odd_rows, words
 from refyield.llm import toxicity as T
 
 
+def test_windows_are_drawn_from_all_of_a_text():
+    rng = np.random.default_rng(4)
+    windows = T.windows_of(np.array([5, 3000, 600, 0]))
+    seen = set()
+    for _ in range(60):
+        begin, stop, texts = T.drawn(rng, *windows)
+        assert np.diff(np.append(texts, len(begin))).tolist() == [1, T.FIT_WINDOWS, T.FIT_WINDOWS, 1]
+        assert (np.diff(begin) > 0).sum() >= len(begin) - 2 and set(zip(begin, stop)) <= set(zip(*windows[:2]))
+        seen |= set(begin.tolist())
+    assert seen == set(windows[0].tolist())
+
+
 def net_of(names, seed: int):
     hashes, grams, _ = T.word_features(names)
     return T.GatedPair(seed, (np.unique(hashes), np.unique(grams)))
