@@ -15,7 +15,9 @@ file pairs in the shared folder:
 Files are written under a name of their own and then moved into place, so that a
 task that runs again leaves the same files. A table of the files (one row each:
 range, documents, ids) is written by Spark, and the ids before each file are a
-running sum over that table.
+running sum over that table. ``directory`` adds the first and last key of each
+file, read from its index's ends; ``lookup`` picks by them the files that may hold
+the keys asked for and opens no other.
 
 Defined results: a null or empty text has the end id alone; a null key is the
 smallest key; a repeated key has an entry for each of its rows, numbered in the
@@ -27,7 +29,7 @@ others of one key are dealt over ranges.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import lru_cache
 
@@ -340,6 +342,63 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
     return map_arrow(spread, run, "doc_id long, start long, n_tokens long, ids_crc32 long, file string, file_offset long")
 
 
+def end_keys(index: pa.NativeFile) -> tuple[int, int]:
+    """First and last key of an index file, without reading the rest."""
+    n = HEADER.unpack(index.read(HEADER.size))[3]
+    found = []
+    for from_end in (n, 1):
+        index.seek(index.size() - from_end * KEY.itemsize)
+        found.append(int(np.frombuffer(index.read(KEY.itemsize), KEY)["key"][0]))
+    return found[0], found[1]
+
+
+def directory(files: DataFrame, folder: str) -> DataFrame:
+    """The table of files with the first and last key of each (a null key as the
+    least long), written once for any number of lookups."""
+    spread = files.select("name", "first_id").repartition(max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "name")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = arrow_files(folder)
+        for batch in batches:
+            ends = []
+            for name in batch.column("name").to_pylist():
+                with store.open_input_file(f"{root}/{name}.idx") as f:
+                    ends.append(end_keys(f))
+            low, high = zip(*ends, strict=True) if ends else ((), ())
+            added = [pa.array(np.array(x, np.int64)) for x in (low, high)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=["name", "first_id", "first_key", "last_key"])
+
+    return staged(map_arrow(spread, run, "name string, first_id long, first_key long, last_key long"), "ids-directory")
+
+
+def lookup(where: DataFrame, folder: str, keys: Sequence[int | None]) -> DataFrame:
+    """The documents with these keys: doc_id, start, ids, one row for each of a key's
+    rows; absent keys have none. ``where`` is the ``directory`` of the folder; only
+    files whose keys range over one of those asked for are opened, and there each
+    key is found by its hash."""
+    asked = make_keys(sorted(set(keys), key=lambda k: (k is not None, k or 0)))
+    longs = F.from_json(F.lit(str(asked["key"].tolist())), "array<long>")
+    may_hold = where.filter(F.exists(longs, lambda k: k.between(F.col("first_key"), F.col("last_key"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                wanted = asked[(asked["key"] >= row["first_key"]) & (asked["key"] <= row["last_key"])].copy()
+                out: list[tuple] = []
+                with open_ids(folder, row["name"]) as file:
+                    while len(wanted):  # the rows of a key are numbered from 0
+                        offsets, lengths = file.find(wanted)
+                        for k, at, n in zip(wanted, offsets.tolist(), lengths.tolist(), strict=True):
+                            if at >= 0:
+                                out.append((None if k["null"] else int(k["key"]), row["first_id"] + at, file.read(at, n).tolist()))
+                        wanted = wanted[offsets >= 0]
+                        wanted["repeat"] += 1
+                columns = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64())))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "ids"])
+
+    return map_arrow(may_hold, run, "doc_id long, start long, ids array<long>")
+
+
 def op3_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, written to files and read back by key."""
     import public_tokenizers

@@ -12,6 +12,7 @@ import pytest
 P = pytest.importorskip("public_tokenizers")
 
 from refyield.llm import bpe, counting, idstore  # noqa: E402
+from refyield.llm.common import staged  # noqa: E402
 
 BLANKS = "".join(map(chr, [9, 10, 11, 12, 13, 28, 31, 32, 0x85, 0xA0, 0x1680, 0x180E, 0x2003, 0x200B, 0x2028, 0x3000]))
 STOCK = "ab'srtdlvemTHE 01½²٣éñßçàñ你好абв\U0001f600-_.,!?#" + BLANKS
@@ -168,6 +169,31 @@ def test_one_document_by_key(spark, odd, tmp_path):
     assert found == {k: want[k] for k in (8, 10, 123, None)}
 
 
+def test_lookup_opens_the_files_of_its_keys_alone(spark, odd, empty, tmp_path, monkeypatch):
+    monkeypatch.setattr(idstore, "FILE_DOCS", 2)  # many files; rows of one key fall into several
+    with open(P.path("word_bpe_49k.json"), "rb") as f:
+        tokenizer = f.read()
+    folder = f"file://{tmp_path}/ids"
+    files = staged(idstore.write_ids(spark.read.parquet(f"{odd[0]}/documents.parquet"), tokenizer, folder), "files")
+    starts = {(r.doc_id, r.start) for r in idstore.read_documents(files, folder).collect()}
+    where = idstore.directory(files, folder)
+    asked = [8, 2, 123, None, 99_999, 8]
+    spoilt = 0
+    for r in where.collect():
+        if not any(r.first_key <= (idstore.NULL_KEY if k is None else k) <= r.last_key for k in asked):
+            spoilt += 1
+            for end in ("idx", "ids"):
+                (tmp_path / "ids" / f"{r.name}.{end}").write_bytes(b"rubbish")
+    assert spoilt
+    got = idstore.lookup(where, folder, asked).collect()
+    want = [(d, ids) for (d, *_), ids in zip(odd[1], brute_id_rows([t for _, t, *_ in odd[1]]), strict=True) if d in asked]
+    assert sorted(((r.doc_id, r.ids) for r in got), key=str) == sorted(want, key=str)
+    assert {(r.doc_id, r.start) for r in got} == {s for s in starts if s[0] in asked}
+    assert idstore.lookup(where, folder, []).count() == 0
+    none = idstore.write_ids(spark.read.parquet(f"{empty}/documents.parquet"), tokenizer, f"file://{tmp_path}/none")
+    assert idstore.lookup(idstore.directory(none, f"file://{tmp_path}/none"), f"file://{tmp_path}/none", [1]).count() == 0
+
+
 def test_files_are_the_same_when_a_task_runs_again(tmp_path):
     folder = f"file://{tmp_path}"
     for _ in range(2):
