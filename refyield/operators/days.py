@@ -12,10 +12,12 @@ from states alone and no day is read twice:
   tells whether that was nothing, an engine, or an engine and a keyword; where
   an earlier day knows more, the revenue moves up when the two are merged.
 
-States are kept in runs of days, in their order, like the digits of a counter: two
-neighbours of one size are merged to one of the next. A session's row is thus written
-again about log2(days) times, and a report merges as many runs. The list of runs is a
-manifest (``refyield.sinks.versions``): a day counts once it is published, a failed day
+States are kept in runs of days, in their order, like the digits of a counter: a new
+run is merged, as it is written, with those before it that are no larger. A session's
+row is thus written again about log2(days) times, and a report merges as many runs.
+Many days come as one run (``add_days``): one job reduces and merges them all, so that
+the number of jobs does not grow with the days. The list of runs is a manifest
+(``refyield.sinks.versions``): a day counts once it is published, a failed day
 leaves the state as it was, and a day that is already there is not added again.
 
 Look-ahead and money are fixed when a state is made; without look-ahead days must
@@ -24,10 +26,11 @@ come in their order, hits without a time (which come first) as the day None.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from refyield.functions import urls
@@ -40,6 +43,7 @@ from refyield.sinks.versions import new_folder, newest, publish, remove
 _ENGINE_KEY, _KEYWORD_KEY = "engine_key", "keyword_key"
 #: What a purchase's own days know before it: nothing, an engine, a keyword too.
 _KNOWN = ("open", "engine", "keyword")
+_RUN = "__run"
 
 
 def _plus(a: Column, b: Column) -> Column:
@@ -70,20 +74,18 @@ def day_state(
     buy = is_purchase("event_list") & has_products("product_list")
     revenue = list_revenue("product_list", strict=strict if strict_revenue is None else strict_revenue, money=money)
     needed = hits.select(*dict.fromkeys([*keys, S.TIME, "event_list", "product_list", "referrer"]))
-    parsed = with_search_attributes(needed.filter(buy | urls.is_search("referrer", strict=strict)), strict=strict)
-    rows = parsed.select(
-        *S.key_columns(keys),
-        F.when(F.col(S.DOMAIN).isNotNull(), S.order_key()).alias(_ENGINE_KEY),
-        F.when(F.col(S.DOMAIN if coupled else S.KEYWORD).isNotNull(), S.order_key()).alias(_KEYWORD_KEY),
-        S.order_key().alias("__at"),
-        buy.alias("__buy"),
-        F.when(buy, revenue).alias("__rev"),
-    )
-    touches = [F.min(c).alias(c) for c in (_ENGINE_KEY, _KEYWORD_KEY)]
+    searched = {
+        _ENGINE_KEY: F.when(F.col(S.DOMAIN).isNotNull(), S.order_key()),
+        _KEYWORD_KEY: F.when(F.col(S.DOMAIN if coupled else S.KEYWORD).isNotNull(), S.order_key()),
+    }
+    touches = [F.min(c).alias(c) for c in searched]
     if lookahead:
+        parsed = with_search_attributes(needed.filter(buy | urls.is_search("referrer", strict=strict)), strict=strict)
+        rows = parsed.select(*S.key_columns(keys), *[c.alias(n) for n, c in searched.items()], buy.alias("__buy"), F.when(buy, revenue).alias("__rev"))
         return _summed(rows, names, F.when(F.col("__buy"), F.lit("open")), F.col("__rev"), money, *touches)
-    touch = rows.filter(F.col(_ENGINE_KEY).isNotNull()).groupBy(*names).agg(*touches)
-    bought = rows.filter("__buy").select(*names, "__at", "__rev")
+    parsed = with_search_attributes(needed.filter(buy | urls.is_search("referrer", strict=strict)), strict=strict)
+    touch = parsed.select(*S.key_columns(keys), *[c.alias(n) for n, c in searched.items()]).filter(F.col(_ENGINE_KEY).isNotNull()).groupBy(*names).agg(*touches)
+    bought = parsed.filter(buy).select(*S.key_columns(keys), S.order_key().alias("__at"), revenue.alias("__rev"))
     credit = S.join_touch(bought, touch, keys, "left")
     known = (
         F.when(F.col(_KEYWORD_KEY) <= F.col("__at"), F.lit("keyword"))
@@ -98,37 +100,45 @@ def day_state(
 
 def merge_states(states: Sequence[DataFrame], keys: str | Sequence[str] = ("ip",), *, lookahead: bool = True) -> DataFrame:
     """The state of all days of ``states``, which come in the order of their days."""
-    names = S.key_names(S.normalize_keys(keys))
     if len(states) == 1:
         return states[0]
-    runs = reduce(DataFrame.unionByName, [s.withColumn("__run", F.lit(i)) for i, s in enumerate(states)])
-    touches = [F.min(c).alias(c) for c in (_ENGINE_KEY, _KEYWORD_KEY)]
-    amounts = [f"{n}_{what}" for n in _KNOWN for what in ("revenue", "hits")]
-    if lookahead:
-        money = "double" if dict(states[0].dtypes)["open_revenue"] == "double" else "decimal"
-        return runs.groupBy(*names).agg(*touches, *[(total(a, money) if a.endswith("revenue") else F.sum(a)).alias(a) for a in amounts])
-    # one part for each run: their number is bounded by the runs, not the rows
-    first = [F.min(F.when(F.col(c).isNotNull(), F.col("__run"))).alias(f"__first_{c}") for c in (_ENGINE_KEY, _KEYWORD_KEY)]
-    grouped = runs.groupBy(*names).agg(*touches, *first, F.array_sort(F.collect_list(F.struct("__run", *amounts))).alias("__parts"))
+    runs = reduce(DataFrame.unionByName, [s.withColumn(_RUN, F.lit(i)) for i, s in enumerate(states)])
+    return _merged(runs, S.key_names(S.normalize_keys(keys)), lookahead)
+
 
-    def level(part: Column, name: str) -> Column:
-        """What the part's purchases of this kind are known as, all runs taken."""
-        engine = F.coalesce(part["__run"] > F.col(f"__first_{_ENGINE_KEY}"), F.lit(False))
-        keyword = F.coalesce(part["__run"] > F.col(f"__first_{_KEYWORD_KEY}"), F.lit(False))
-        own = F.lit(_KNOWN.index(name))
-        return F.greatest(own, F.when(keyword, F.lit(2)).when(engine, F.lit(1)).otherwise(F.lit(0)))
+def days_state(hits: DataFrame, keys: str | Sequence[str] = ("ip",), column: str = "hit_date", **rules) -> DataFrame:
+    """The state of several days of ``hits``, told apart by a date column (NULL: first).
 
-    def spent(what: str, wanted: int) -> Column:
-        def moved(name: str) -> Column:
-            return F.transform("__parts", lambda p: F.when(level(p, name) == wanted, p[f"{name}_{what}"]))
+    The day is one more session key, so that all days are reduced in one job, each to
+    its own row for a session; these are then merged in the order of the days.
+    """
+    keys = S.normalize_keys(keys)
+    *names, undated, day = S.key_names([*keys, column])
+    runs = day_state(hits, (*keys, column), **rules).withColumnRenamed(day, _RUN).drop(undated)  # no date: ''
+    return _merged(runs, names, rules.get("lookahead", True))
+
+
+def _merged(runs: DataFrame, names: Sequence[str], lookahead: bool) -> DataFrame:
+    """One row for each session of states that come in the order of ``_RUN``."""
+    kinds = dict(runs.dtypes)
+    money = "double" if kinds["open_revenue"] == "double" else "decimal"
+    keys = (_ENGINE_KEY, _KEYWORD_KEY)
+    amounts = [f"{n}_{what}" for n in _KNOWN for what in ("revenue", "hits")]
+    if not lookahead:
+        # a session has a row for each run: their number is bounded by the runs, not the hits
+        session = Window.partitionBy(*names)
+        first = {f"__first_{c}": F.min(F.when(F.col(c).isNotNull(), F.col(_RUN))).over(session) for c in keys}
+        engine, keyword = (F.col(_RUN) > F.col(f"__first_{c}") for c in keys)
+        earlier = F.when(keyword, F.lit(2)).when(engine, F.lit(1)).otherwise(F.lit(0))
 
-        kind = dict(states[0].dtypes)[f"open_{what}"]
-        return F.aggregate(F.concat(*map(moved, _KNOWN)), F.lit(None).cast(kind), lambda a, b: _plus(a, b).cast(kind))
+        def spent(what: str, wanted: int) -> Column:
+            """What the row's purchases known as ``wanted`` amount to, all runs taken."""
+            return reduce(_plus, [F.when(F.greatest(F.lit(own), "__earlier") == wanted, F.col(f"{n}_{what}")) for own, n in enumerate(_KNOWN[: wanted + 1])])
 
-    sums = []
-    for i, n in enumerate(_KNOWN):
-        sums += [spent("revenue", i).alias(f"{n}_revenue"), F.coalesce(spent("hits", i), F.lit(0)).cast("long").alias(f"{n}_hits")]
-    return grouped.select(*names, _ENGINE_KEY, _KEYWORD_KEY, *sums)
+        known = runs.withColumns(first).withColumn("__earlier", earlier)
+        runs = known.withColumns({f"{n}_{what}": spent(what, i) for i, n in enumerate(_KNOWN) for what in ("revenue", "hits")})
+    sums = [(total(a, money) if a.endswith("revenue") else F.coalesce(F.sum(a), F.lit(0))).alias(a) for a in amounts]
+    return runs.groupBy(*names).agg(*[F.min(c).alias(c) for c in keys], *sums)
 
 
 def state_report(state: DataFrame, *, lookahead: bool = True, money: str = "double") -> DataFrame:
@@ -141,6 +151,11 @@ def state_report(state: DataFrame, *, lookahead: bool = True, money: str = "doub
     return bought.groupBy(S.DOMAIN, S.KEYWORD).agg(rounded(total("__rev", money), money).alias(REVENUE))
 
 
+def _level(days: Sequence[str | None]) -> int:
+    """The place of a run of so many days: log2, rounded down."""
+    return len(days).bit_length() - 1
+
+
 class SessionDays:
     """A state table below ``path`` to which days are added."""
 
@@ -181,28 +196,52 @@ class SessionDays:
         state.write.parquet(folder)
         return {"folder": folder.rsplit("/", 1)[1], "days": days, "level": level}
 
+    def _append(self, version: int, content: dict, days: list[str | None], state: DataFrame) -> None:
+        """Publish a run of days, merged with the runs before it that are no larger."""
+        runs, merged = list(content["runs"]), []
+        while runs and runs[-1]["level"] <= _level(days):
+            merged.insert(0, runs.pop())
+            days = merged[0]["days"] + days
+        whole = merge_states([*map(self._read, merged), state], self.keys, lookahead=self.rules["lookahead"])
+        runs.append(self._write(whole, days, _level(days)))
+        publish(self.spark, self.path, content | {"runs": runs, "superseded": [r["folder"] for r in merged]}, after=version)
+        for folder in content["superseded"]:  # those of the version before, which readers may still hold, stay
+            remove(self.spark, f"{self.path}/{folder}")
+
+    def _new(self, content: dict, days: Sequence[str | None]) -> list[str | None]:
+        """Those of ``days`` that are not there, in their order."""
+        known = [d for run in content["runs"] for d in run["days"]]
+        new = sorted(set(days) - set(known), key=lambda d: d or "")
+        if new and not self.rules["lookahead"] and any((d or "") > (new[0] or "") for d in known):
+            raise ValueError(f"without look-ahead days come in order: {new[0]} after {known[-1]}")
+        return new
+
     def add(self, day: str | None, hits: DataFrame) -> bool:
         """Add a day's hits; False if the day is already there.
 
         Without look-ahead days come in order, None (hits without a time) first.
         """
         version, content = self._newest()
-        known = [d for run in content["runs"] for d in run["days"]]
-        if day in known:
-            return False
-        if not self.rules["lookahead"] and any((d or "") > (day or "") for d in known):
-            raise ValueError(f"without look-ahead days come in order: {day} after {known[-1]}")
-        runs = [*content["runs"], self._write(day_state(hits, self.keys, **self.rules), [day], 0)]
-        superseded = []
-        while len(runs) > 1 and runs[-2]["level"] == runs[-1]["level"]:
-            pair, runs = runs[-2:], runs[:-2]
-            merged = merge_states([self._read(r) for r in pair], self.keys, lookahead=self.rules["lookahead"])
-            runs.append(self._write(merged, pair[0]["days"] + pair[1]["days"], pair[0]["level"] + 1))
-            superseded += [r["folder"] for r in pair]
-        publish(self.spark, self.path, content | {"runs": runs, "superseded": superseded}, after=version)
-        for folder in content["superseded"]:  # those of the version before, which readers may still hold, stay
-            remove(self.spark, f"{self.path}/{folder}")
-        return True
+        new = self._new(content, [day])
+        if new:
+            self._append(version, content, new, day_state(hits, self.keys, **self.rules))
+        return bool(new)
+
+    def add_days(self, hits: DataFrame, column: str = "hit_date", *, parts: int = 1) -> list[str | None]:
+        """Add each day of ``hits``, told apart by a date column; the days added, in their order.
+
+        As ``add`` for one day after another, but the number of jobs depends on
+        ``parts``, not on the days: a part is a run of days that one job reduces and
+        publishes. A load that failed goes on after the parts that it has published.
+        """
+        text = F.col(column).cast("string")
+        new = self._new(self._newest()[1], [d for (d,) in hits.select(text).distinct().collect()])  # a row a day
+        size = max(1, math.ceil(len(new) / parts))
+        for part in (new[i : i + size] for i in range(0, len(new), size)):
+            chosen = text.isin([d for d in part if d is not None])
+            some = hits.filter(chosen | text.isNull() if None in part else chosen)
+            self._append(*self._newest(), part, days_state(some, self.keys, column, **self.rules))
+        return new
 
     def state(self) -> DataFrame:
         """One row for each session of all days."""

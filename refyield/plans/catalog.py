@@ -222,9 +222,7 @@ def _by_days(spark, sf_dir, **rules) -> DataFrame:
     hits = _hits(spark, sf_dir).withColumn(S.TIME, F.col(S.TIME) * 30)
     dated = read_hits_parquet(spark, write_hits_by_date(hits, scratch_path(spark, "hits-by-date")))
     state = SessionDays(spark, scratch_path(spark, "session-days"), **rules)
-    days = dated.select("hit_date").distinct().orderBy(F.col("hit_date").asc_nulls_first()).collect()  # a row a day
-    for (day,) in days:
-        state.add(day and day.isoformat(), dated.filter(F.col("hit_date").eqNullSafe(F.lit(day))))
+    state.add_days(dated, parts=2)  # in turn: sessions go on from one part to the next
     return state.report()
 
 

@@ -96,6 +96,53 @@ def test_a_day_counts_once_and_rules_are_kept(spark, tmp_path):
     assert result(state.report()) == result(R.keyword_revenue(make_hits(spark, two), lookahead=False))
 
 
+def dated(spark, rows):
+    hits = make_hits(spark, rows)
+    return hits.withColumn("hit_date", F.date_add(F.lit("2024-03-05").cast("date"), F.floor(F.col("hit_time_gmt") / 86400).cast("int")))
+
+
+@pytest.mark.parametrize(("lookahead", "parts", "money"), [(True, 2, "decimal"), (False, 1, "double")])
+def test_days_added_together_give_the_state_of_one_after_another(spark, tmp_path, lookahead, parts, money):
+    rows = random_hits(30 + parts)
+    keys, rules = ("ip", "user_agent"), {"lookahead": lookahead, "coupled": lookahead, "money": money}
+    hits = dated(spark, rows)
+    state = D.SessionDays(spark, str(tmp_path / "state"), keys, **rules)
+    state.add(None, hits.filter("hit_date IS NULL"))
+    days = ["2024-03-05", "2024-03-06", "2024-03-07"]
+    assert state.add_days(hits, parts=parts) == days and state.add_days(hits) == []
+    assert state.days() == [None, *days]
+    apart = [D.day_state(hits.filter(F.col("hit_date").eqNullSafe(F.lit(d).cast("date"))), keys, **rules) for d in state.days()]
+    want = D.merge_states(apart, keys, lookahead=lookahead)
+    assert sorted(map(str, state.state().collect())) == sorted(map(str, want.collect()))
+    levels = [r["level"] for r in versions.newest(spark, state.path)[1]["runs"]]
+    assert levels == sorted(set(levels), reverse=True)
+
+
+def test_days_added_together_come_in_order_too(spark, tmp_path):
+    rows = [r for r in random_hits(8) if r[0] is not None]
+    hits = dated(spark, rows)
+    state = D.SessionDays(spark, str(tmp_path / "state"), lookahead=False)
+    state.add("2024-03-06", hits.filter("hit_date = '2024-03-06'"))
+    with pytest.raises(ValueError, match="come in order"):
+        state.add_days(hits)
+    assert state.days() == ["2024-03-06"]
+
+
+@pytest.mark.parametrize("name", ["keyword_revenue_by_days", "keyword_revenue_by_days_no_lookahead"])
+def test_the_queries_add_many_days_in_two_parts(spark, tmp_path, monkeypatch, name):
+    from refyield.plans import catalog
+
+    rows = [hit(i * 2880 if i % 9 else None, f"10.1.0.{i % 4}", "1" if i % 3 else "2", "a;b;1;2;", REFERRERS[i % len(REFERRERS)]) for i in range(40)]
+    published = []
+    publish = D.publish
+    monkeypatch.setattr(D, "publish", lambda *a, **k: published.append(a[2]) or publish(*a, **k))
+    monkeypatch.setattr(catalog, "_hits", lambda *a: make_hits(spark, rows))
+    got = catalog.QUERIES[name](spark, str(tmp_path))
+    want = R.keyword_revenue(make_hits(spark, rows), lookahead=not name.endswith("no_lookahead"))
+    assert result(got) == result(want)
+    assert len(published) == 2 and len({d for p in published for r in p["runs"] for d in r["days"]}) > 30
+
+
 def test_a_failed_day_leaves_the_state(spark, tmp_path):
     days = by_day(random_hits(6))
     state = D.SessionDays(spark, str(tmp_path / "state"))
