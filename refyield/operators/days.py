@@ -37,7 +37,7 @@ from refyield.functions import urls
 from refyield.functions.commerce import has_products, is_purchase, list_revenue
 from refyield.operators import sessions as S
 from refyield.operators.report import REVENUE, rounded, total
-from refyield.operators.search import with_search_attributes
+from refyield.operators.search import search_hits, with_search_attributes
 from refyield.sinks.versions import new_folder, newest, publish, remove
 
 _ENGINE_KEY, _KEYWORD_KEY = "engine_key", "keyword_key"
@@ -83,9 +83,11 @@ def day_state(
         parsed = with_search_attributes(needed.filter(buy | urls.is_search("referrer", strict=strict)), strict=strict)
         rows = parsed.select(*S.key_columns(keys), *[c.alias(n) for n, c in searched.items()], buy.alias("__buy"), F.when(buy, revenue).alias("__rev"))
         return _summed(rows, names, F.when(F.col("__buy"), F.lit("open")), F.col("__rev"), money, *touches)
-    parsed = with_search_attributes(needed.filter(buy | urls.is_search("referrer", strict=strict)), strict=strict)
-    touch = parsed.select(*S.key_columns(keys), *[c.alias(n) for n, c in searched.items()]).filter(F.col(_ENGINE_KEY).isNotNull()).groupBy(*names).agg(*touches)
-    bought = parsed.filter(buy).select(*S.key_columns(keys), S.order_key().alias("__at"), revenue.alias("__rev"))
+    # apart, so that a search is told once for a hit and a purchase needs no such test
+    searches = with_search_attributes(search_hits(needed, strict=strict), strict=strict)
+    touch = searches.select(*S.key_columns(keys), *[c.alias(n) for n, c in searched.items()]).groupBy(*names).agg(*touches)
+    purchases = with_search_attributes(needed.filter(buy), strict=strict)
+    bought = purchases.select(*S.key_columns(keys), S.order_key().alias("__at"), revenue.alias("__rev"))
     credit = S.join_touch(bought, touch, keys, "left")
     known = (
         F.when(F.col(_KEYWORD_KEY) <= F.col("__at"), F.lit("keyword"))
